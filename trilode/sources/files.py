@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from trilode.spec import FileSource
 
@@ -24,11 +24,7 @@ def read_layer(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
-    """The Parquet table at ``path``, or None when nothing has been written there yet."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
+def read_or_create(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
+    """The Parquet table at ``path``, made empty with ``schema`` when there is none yet."""
+    spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
+    return spark.read.parquet(path)

@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 
 from trilode.sinks.write import written_rows
 from trilode.sources.control import last_mark, mark_text, write_mark
-from trilode.sources.files import read_if_present
 from trilode.sources.lineage import with_lineage
 from trilode.spec import CatalogSource, DatabaseSource, SinkSpec
 
 LOADED_AFTER = "loaded_after"
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"  # Spark's directory name for a NULL partition value
 
 
 def as_relation(query: str) -> str:
@@ -112,8 +112,9 @@ def load_increment(spark: SparkSession, source: CatalogSource, control_path: str
     """
     step = plan_increment(spark, source, control_path)
     if step.upper is None:
-        if read_if_present(spark, out) is None:
-            return written_rows(_stamped(step, source), SinkSpec(path=out))
+        if step.last is None:
+            empty = _stamped(step, source).drop(LOADED_AFTER).limit(0)
+            empty.write.mode("ignore").parquet(f"{out.rstrip('/')}/{LOADED_AFTER}={NO_VALUE}")
         return 0
     sink = SinkSpec(
         path=out,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from trilode.sources.files import configure, read_if_present
+from trilode.sources.files import configure, read_layer, read_or_create
 from trilode.sources.lineage import with_lineage
 from trilode.spec import EventSource
 
@@ -53,11 +53,6 @@ def load_arrivals(spark: SparkSession, source: EventSource, out: str, checkpoint
 
     Counts come from Parquet footers, no column data is read.
     """
-    before = _rows(spark, out)
+    before = read_or_create(spark, out, landing_stream(spark, source).schema).count()
     ingest_stream(spark, source, out, checkpoint).awaitTermination()
-    return _rows(spark, out) - before
-
-
-def _rows(spark: SparkSession, path: str) -> int:
-    table = read_if_present(spark, path)
-    return 0 if table is None else table.count()
+    return read_layer(spark, out).count() - before
