@@ -1,0 +1,155 @@
+from datetime import date
+
+import pytest
+from helpers import rows, unordered
+from pyspark.sql import functions as F
+
+from trilode import functions as T
+from trilode.operators import (
+    apply_rules,
+    clean,
+    dedup,
+    drop_nulls,
+    fill_nulls,
+    fix_types,
+    require_columns,
+    select_columns,
+    union_all,
+)
+from trilode.operators.clean import _independent
+from trilode.spec import CleaningSpec, RuleSpec
+
+
+@pytest.mark.parametrize(
+    "text, whole, long, real, day",
+    [
+        ("12.5", 12, 12, 12.5, None),
+        ("-12.9", -12, -12, -12.9, None),
+        ("abc", None, None, None, None),
+        (None, None, None, None, None),
+        ("", None, None, None, None),
+        ("9007199254740993", None, 9007199254740993, 9007199254740992.0, None),
+        ("2024-02-30", None, None, None, None),
+        ("2024-02-29", None, None, None, date(2024, 2, 29)),
+    ],
+)
+def test_casts_never_throw(spark, text, whole, long, real, day):
+    df = spark.createDataFrame([(text,)], "t string")
+    got = df.select(T.to_int("t"), T.to_long("t"), T.to_double("t"), T.to_day("t")).first()
+    assert tuple(got) == (whole, long, real, day)
+
+
+def test_decimal_overflow_and_bad_time_are_null(spark):
+    df = spark.createDataFrame([("12345678901234.5", "25:00"), ("1.239", "2024-01-01 10:00:00")],
+                               "n string, t string")
+    got = rows(df.select(T.to_decimal("n", 10, 2).cast("string"),
+                         T.to_moment("t").cast("string")))
+    assert got == [(None, None), ("1.24", "2024-01-01 10:00:00")]
+
+
+def test_fixes_are_applied_in_order(spark):
+    df = spark.createDataFrame([("3", "4")], "a string, b string")
+    fixes = {"a": "try_cast(a AS INT) + 1", "b": "a * try_cast(b AS INT)"}
+    assert not _independent(fixes)
+    assert rows(fix_types(df, fixes)) == [(4, 16)]
+    assert rows(fix_types(df, {k: F.expr(v) for k, v in fixes.items()})) == [(4, 16)]
+
+
+def test_independent_fixes_are_one_projection(spark):
+    df = spark.createDataFrame([("3", "x")], "a string, b string")
+    fixes = {"a": "try_cast(a AS INT)", "b": "try_cast(b AS INT)"}
+    assert _independent(fixes)
+    assert rows(fix_types(df, fixes)) == [(3, None)]
+    assert rows(fix_types(df, {})) == [("3", "x")]
+
+
+def test_null_drop_is_any(spark):
+    df = spark.createDataFrame([(1, None), (None, 1), (1, 1), (None, None)], "a int, b int")
+    assert rows(drop_nulls(df, ["a", "b"])) == [(1, 1)]
+    assert drop_nulls(df, []).count() == 4
+
+
+def test_fill_keeps_the_type(spark):
+    df = spark.createDataFrame([(None, None, 1), (2.5, "x", 2)], "d double, s string, n int")
+    filled = fill_nulls(df, {"d": "0", "s": "'PENDING'"})
+    assert filled.dtypes == df.dtypes
+    assert unordered(filled) == [(0.0, "PENDING", 1), (2.5, "x", 2)]
+
+
+def test_null_outcome_drops_the_row(spark):
+    df = spark.createDataFrame([(None,), (5,), (-5,)], "n int")
+    for rule in ("n > 0", T.positive("n"), T.within("n", 0, 10), T.one_of("n", [5, 6]),
+                 T.equals("n", 5), T.at_least("n", 1) & T.at_most("n", 5)):
+        assert rows(apply_rules(df, [RuleSpec("n", rule)])) == [(5,)]
+
+
+def test_flag_rule_means_not_null(spark):
+    df = spark.createDataFrame([(None,), (True,), (False,)], "f boolean")
+    assert unordered(apply_rules(df, [RuleSpec("f", T.is_flag("f"))])) == [(False,), (True,)]
+
+
+def test_future_dates(spark):
+    df = spark.sql("SELECT current_date() AS d UNION ALL SELECT date_add(current_date(), 1)")
+    assert apply_rules(df, [RuleSpec("d", T.not_future("d"))]).count() == 1
+
+
+@pytest.mark.parametrize(
+    "text, valid",
+    [("a.b+c@x-y.org", True), ("a@b", False), ("bad", False), ("a@b.c", False), ("@b.co", False)],
+)
+def test_email(spark, text, valid):
+    df = spark.createDataFrame([(text,)], "e string")
+    assert apply_rules(df, [RuleSpec("e", T.matches("e"))]).count() == int(valid)
+
+
+def test_dedup_treats_null_keys_as_equal(spark):
+    df = spark.createDataFrame([(None, 2), (None, 1), (1, 3), (1, 3)], "k int, v int")
+    assert dedup(df, ["k"]).count() == 2
+    assert unordered(dedup(df, ["k"], ["v"])) == [(1, 3), (None, 1)]
+    assert unordered(dedup(df, ["k"], [F.desc("v")])) == [(1, 3), (None, 2)]
+    assert dedup(df, []).count() == 4
+
+
+def test_ordered_dedup_ignores_partitioning(spark):
+    df = spark.range(5000).select((F.col("id") % 97).alias("k"), F.col("id").alias("v"))
+    hot = df.withColumn("k", F.when(F.col("v") % 3 == 0, 0).otherwise(F.col("k")))
+    want = unordered(dedup(hot.coalesce(1), ["k"], ["v"]))
+    for n in (2, 16):
+        assert unordered(dedup(hot.repartition(n, F.rand(n)), ["k"], ["v"])) == want
+
+
+def test_order_of_steps(spark):
+    """Fix, then drop NULLs, then fill, then rules, then one row per key."""
+    df = spark.createDataFrame(
+        [("1", None, "a"), ("x", "1", "a"), ("2", "-1", "a"), ("1", None, "a")],
+        "n string, v string, k string",
+    )
+    spec = CleaningSpec(
+        type_fixes={"n": "try_cast(n AS INT)", "v": "try_cast(v AS DOUBLE)"},
+        null_drop=["n"],
+        null_fill={"v": "0", "n": "7"},
+        rules=[RuleSpec("v", "v >= 0")],
+        dedup_keys=["n", "k"],
+    )
+    assert rows(clean(df, spec)) == [(1, 0.0, "a")]
+
+
+def test_empty_and_all_null_inputs(spark):
+    spec = CleaningSpec(null_drop=["a"], null_fill={"b": "1"}, rules=[RuleSpec("b", "b > 0")],
+                        dedup_keys=["a"], dedup_order=["b"])
+    for data in ([], [(None, None)]):
+        assert rows(clean(spark.createDataFrame(data, "a int, b int"), spec)) == []
+
+
+def test_column_contract(spark):
+    df = spark.createDataFrame([(1, 2)], "a int, b int")
+    assert select_columns(df, ["b"]).columns == ["b"]
+    assert require_columns(df, ["b"]) is df
+    with pytest.raises(ValueError, match="missing columns"):
+        require_columns(df, ["a", "z"])
+
+
+def test_union_is_by_name_and_keeps_copies(spark):
+    a = spark.createDataFrame([(1, "x")], "n int, s string")
+    b = spark.createDataFrame([("x", 1)], "s string, n int")
+    assert rows(union_all(a, b)) == [(1, "x"), (1, "x")]

@@ -1,0 +1,36 @@
+"""Every registered query against its SQL twin."""
+
+import pytest
+from oracle import connect, difference
+
+from trilode.checks import ORACLES, QUERIES
+
+
+@pytest.fixture(scope="module")
+def con(sf_dir):
+    return connect(sf_dir)
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_same_rows(spark, sf_dir, con, name):
+    assert difference(QUERIES[name](spark, sf_dir), con, ORACLES[name]) is None
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
+def test_runs(spark, sf_dir, name):
+    assert QUERIES[name](spark, sf_dir).count() > 0
+
+
+def test_queries_can_be_repeated(spark, sf_dir, con):
+    for name in ("bronze_append", "bronze_event_prefix", "gold_warehouse_table", "gold_partitioned"):
+        for _ in range(2):
+            assert difference(QUERIES[name](spark, sf_dir), con, ORACLES[name]) is None
+
+
+def test_entry(spark):
+    import __spark_entry__ as entry
+
+    df = entry.entry(spark)
+    assert df.columns == ["l_partkey", "revenue"]
+    assert df.count() > 0
+    assert set(entry.oracle_sql()) <= set(entry.queries())

@@ -25,7 +25,7 @@ from trilode.spec import FileSource, FlowSpec, GroupSpec, SinkSpec, Source
 # Sums are compared to the cent. Means get the digits their size allows.
 DIGITS = {
     "avg_order_value": 4, "avg_transaction_value": 4, "completion_rate": 9,
-    "avg_temperature": 9, "avg_humidity": 9, "avg_temp": 9, "hourly_avg_temp": 9,
+    "avg_temperature": 11, "avg_humidity": 11, "avg_temp": 11, "hourly_avg_temp": 11,
 }
 
 

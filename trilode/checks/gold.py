@@ -93,7 +93,7 @@ def gold_daily_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @check(
-    """SELECT date_trunc('hour', ts) AS hour, ROUND(avg(value), 9) AS hourly_avg
+    """SELECT date_trunc('hour', ts) AS hour, ROUND(avg(value), 11) AS hourly_avg
        FROM events GROUP BY 1"""
 )
 def gold_hourly_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,7 +101,7 @@ def gold_hourly_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
         "hourly_avg", [AggSpec("value", "avg", "hourly_avg")],
         date_column="ts", grain="hour", sort=["hour ASC"],
     )
-    hourly = fine(group_table(table(spark, sf_dir, "events"), group), 9, "hourly_avg")
+    hourly = fine(group_table(table(spark, sf_dir, "events"), group), 11, "hourly_avg")
     return hourly.withColumn("hour", F.col("hour").cast("timestamp_ntz"))
 
 

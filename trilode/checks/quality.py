@@ -146,7 +146,7 @@ FROM events
                count(*) FILTER (WHERE NOT success) AS failed,
                ROUND(100.0 * count(*) FILTER (WHERE success) / CAST(count(*) AS DOUBLE), 6)
                  AS success_rate,
-               ROUND(sum(seconds), 2) AS total_seconds, ROUND(avg(seconds), 9) AS avg_seconds
+               ROUND(sum(seconds), 2) AS total_seconds, ROUND(avg(seconds), 11) AS avg_seconds
         FROM ({RUNS}) r"""
 )
 def quality_audit_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -155,7 +155,7 @@ def quality_audit_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
         {
             "success_rate": F.round("success_rate", 6),
             "total_seconds": F.round("total_seconds", 2),
-            "avg_seconds": F.round("avg_seconds", 9),
+            "avg_seconds": F.round("avg_seconds", 11),
         }
     )
 

@@ -8,7 +8,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from trilode.operators.audit import audit_rows
 from trilode.operators.clean import clean, require_columns
@@ -18,7 +18,7 @@ from trilode.sources.files import read_files, read_layer
 from trilode.sources.lineage import with_lineage
 from trilode.sources.queries import load_increment, load_query
 from trilode.spec import LAYERS, CatalogSource, EventSource, FlowSpec, SinkSpec, layer_path
-from trilode.streaming.ingest import load_arrivals
+from trilode.streaming.ingest import load_arrivals, read_arrivals
 
 
 @dataclass(frozen=True)
@@ -49,8 +49,14 @@ def run_bronze(spark: SparkSession, flow: FlowSpec) -> tuple[int, int]:
     return rows, rows
 
 
+def read_bronze(spark: SparkSession, flow: FlowSpec) -> DataFrame:
+    if isinstance(flow.source, EventSource) and flow.source.streaming:
+        return read_arrivals(spark, flow.source, flow.bronze_path)
+    return read_layer(spark, flow.bronze_path)
+
+
 def run_silver(spark: SparkSession, flow: FlowSpec) -> tuple[int, int]:
-    bronze = require_columns(read_layer(spark, flow.bronze_path), flow.columns)
+    bronze = require_columns(read_bronze(spark, flow), flow.columns)
     written = written_rows(clean(bronze, flow.cleaning), SinkSpec(path=flow.silver_path))
     return bronze.count(), written
 

@@ -1,5 +1,5 @@
 from trilode.sources.control import last_mark, write_mark
-from trilode.sources.files import read_files, read_layer, read_or_create
+from trilode.sources.files import ensure_table, read_files, read_layer
 from trilode.sources.lineage import with_lineage
 from trilode.sources.queries import (
     Increment,
@@ -11,7 +11,7 @@ from trilode.sources.queries import (
 from trilode.sources.samples import inline_rows, sales_rows, sales_sample
 
 __all__ = [
-    "Increment", "inline_rows", "last_mark", "load_increment", "load_query", "plan_increment",
-    "read_files", "read_layer", "read_or_create", "read_query", "sales_rows", "sales_sample",
+    "Increment", "ensure_table", "inline_rows", "last_mark", "load_increment", "load_query",
+    "plan_increment", "read_files", "read_layer", "read_query", "sales_rows", "sales_sample",
     "with_lineage", "write_mark",
 ]

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trilode.sources.files import read_or_create
+from trilode.sources.files import ensure_table
 
 CONTROL_SCHEMA = "source string, column_name string, last_value string, updated_at timestamp"
 
@@ -19,9 +19,11 @@ def mark_text(column: Column, dtype: T.DataType) -> Column:
 
 
 def last_mark(spark: SparkSession, control_path: str, source: str, column: str) -> str | None:
-    control = read_or_create(spark, control_path, CONTROL_SCHEMA)
+    ensure_table(spark, control_path, CONTROL_SCHEMA)
     return (
-        control.filter((F.col("source") == source) & (F.col("column_name") == column))
+        spark.read.schema(CONTROL_SCHEMA)
+        .parquet(control_path)
+        .filter((F.col("source") == source) & (F.col("column_name") == column))
         .agg(F.max_by("last_value", "updated_at"))
         .first()[0]
     )

@@ -24,7 +24,6 @@ def read_layer(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def read_or_create(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
-    """The Parquet table at ``path``, made empty with ``schema`` when there is none yet."""
+def ensure_table(spark: SparkSession, path: str, schema: str | StructType) -> None:
+    """Make an empty Parquet table at ``path`` unless something is there already."""
     spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
-    return spark.read.parquet(path)

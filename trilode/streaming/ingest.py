@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from trilode.sources.files import configure, read_layer, read_or_create
+from trilode.sources.files import configure, ensure_table
 from trilode.sources.lineage import with_lineage
 from trilode.spec import EventSource
 
@@ -53,6 +53,12 @@ def load_arrivals(spark: SparkSession, source: EventSource, out: str, checkpoint
 
     Counts come from Parquet footers, no column data is read.
     """
-    before = read_or_create(spark, out, landing_stream(spark, source).schema).count()
+    ensure_table(spark, out, landing_stream(spark, source).schema)
+    before = read_arrivals(spark, source, out).count()
     ingest_stream(spark, source, out, checkpoint).awaitTermination()
-    return read_layer(spark, out).count() - before
+    return read_arrivals(spark, source, out).count() - before
+
+
+def read_arrivals(spark: SparkSession, source: EventSource, out: str) -> DataFrame:
+    """What has been ingested; a schema of its own, as there may be no file yet to take it from."""
+    return spark.read.schema(landing_stream(spark, source).schema).parquet(out)
