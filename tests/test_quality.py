@@ -3,7 +3,6 @@ from datetime import datetime
 from helpers import plan, rows, unordered
 
 from trilode.operators import (
-    audit_rows,
     audit_summary,
     bronze_contract,
     clean,
@@ -13,6 +12,8 @@ from trilode.operators import (
     rule_report,
     silver_contract,
 )
+from trilode.operators.audit import AUDIT_SCHEMA
+from trilode.sources import inline_rows
 from trilode.spec import (
     AggSpec,
     CatalogSource,
@@ -92,9 +93,9 @@ def run_row(run, layer, good, seconds, minute):
 
 
 def test_audit(spark):
-    history = audit_rows(spark, [
+    history = inline_rows(spark, [
         run_row("r1", "bronze", True, 1.0, 1), run_row("r1", "silver", False, 2.0, 2),
-        run_row("r2", "bronze", True, 3.0, 3), run_row("r2", "silver", True, 2.0, 4)])
+        run_row("r2", "bronze", True, 3.0, 3), run_row("r2", "silver", True, 2.0, 4)], AUDIT_SCHEMA)
     assert rows(audit_summary(history)) == [(4, 3, 1, 75.0, 8.0, 2.0)]
     assert [(r.run_id, r.layer) for r in recent_runs(history, 3).collect()] == [
         ("r2", "silver"), ("r2", "bronze"), ("r1", "silver")]

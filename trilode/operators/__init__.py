@@ -7,7 +7,7 @@ from trilode.operators.aggregate import (
     rows_of,
     top_n,
 )
-from trilode.operators.audit import audit_rows, audit_summary, recent_runs
+from trilode.operators.audit import audit_row, audit_summary, recent_runs
 from trilode.operators.clean import (
     apply_rules,
     clean,
@@ -28,7 +28,7 @@ from trilode.operators.quality import (
 )
 
 __all__ = [
-    "apply_rules", "audit_rows", "audit_summary", "bronze_contract", "build_gold", "clean",
+    "apply_rules", "audit_row", "audit_summary", "bronze_contract", "build_gold", "clean",
     "dedup", "drop_nulls", "fill_nulls", "fix_types", "fused_groups", "gold_contract",
     "group_table", "metric_table", "metrics", "recent_runs", "require_columns", "row_accounting",
     "rows_of", "rule_report", "select_columns", "silver_contract", "top_n", "union_all",

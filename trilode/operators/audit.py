@@ -7,14 +7,16 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trilode.sources.samples import one_row
+
 AUDIT_SCHEMA = (
     "run_id string, layer string, success boolean, seconds double, input_rows bigint, "
     "output_rows bigint, output_path string, error string, started_at timestamp"
 )
 
 
-def audit_rows(spark: SparkSession, rows: Sequence[tuple]) -> DataFrame:
-    return spark.createDataFrame(list(rows), AUDIT_SCHEMA)
+def audit_row(spark: SparkSession, values: Sequence) -> DataFrame:
+    return one_row(spark, values, AUDIT_SCHEMA)
 
 
 def audit_summary(runs: DataFrame) -> DataFrame:

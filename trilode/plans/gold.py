@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
+from functools import partial
+from typing import TypeVar
 
-from pyspark.sql import DataFrame
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trilode.operators.aggregate import (
@@ -20,6 +24,11 @@ from trilode.sinks.write import written_rows
 from trilode.spec import FlowSpec, GroupSpec, SinkSpec, layer_path
 
 
+T = TypeVar("T")
+
+MAX_CONCURRENT_JOBS = 8
+
+
 def output_sink(flow: FlowSpec, name: str, columns: Sequence[str]) -> SinkSpec:
     """The flow's Gold sink for one output, with the layout columns that output has."""
     sink = flow.gold_sink
@@ -38,13 +47,29 @@ def write_gold(df: DataFrame, flow: FlowSpec) -> dict[str, int]:
     """Write every output; returns rows per output.
 
     Silver is scanned once for all scalar metrics and once for all grouped outputs. The two
-    results are staged as small tables, from which the outputs are written.
+    results are staged as small tables, from which the outputs are written. Jobs that do not
+    depend on each other are submitted together, so that short ones fill idle executors.
     """
-    tables = {**_metric_tables(df, flow), **_group_tables(df, flow)}
-    return {
-        o.name: written_rows(tables[o.name], output_sink(flow, o.name, tables[o.name].columns))
-        for o in flow.outputs
-    }
+    spark = df.sparkSession
+    metric_part, group_part = _together(
+        spark, [lambda: _metric_tables(df, flow), lambda: _group_tables(df, flow)]
+    )
+    tables = {**metric_part, **group_part}
+
+    def save(name: str) -> int:
+        return written_rows(tables[name], output_sink(flow, name, tables[name].columns))
+
+    names = [o.name for o in flow.outputs]
+    return dict(zip(names, _together(spark, [partial(save, name) for name in names])))
+
+
+def _together(spark: SparkSession, jobs: Sequence[Callable[[], T]]) -> list[T]:
+    """Submit Spark jobs from several driver threads; the first failure is raised."""
+    if not jobs:
+        return []
+    with ThreadPoolExecutor(max_workers=min(len(jobs), MAX_CONCURRENT_JOBS)) as pool:
+        inherit = inheritable_thread_target(spark)
+        return [f.result() for f in [pool.submit(inherit(job)) for job in jobs]]
 
 
 def _stage(df: DataFrame, flow: FlowSpec, part: str, split_by: Sequence[str] = ()) -> DataFrame:

@@ -10,7 +10,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trilode.operators.audit import audit_rows
+from trilode.operators.audit import audit_row
 from trilode.operators.clean import clean, require_columns
 from trilode.plans.gold import write_gold
 from trilode.sinks.write import written_rows
@@ -103,7 +103,7 @@ def run(
                 run_id, layer, result.success, result.seconds, result.input_rows,
                 result.output_rows, result.output_path, result.error, started,
             )
-            audit_rows(spark, [row]).coalesce(1).write.mode("append").parquet(flow.audit_path)
+            audit_row(spark, row).write.mode("append").parquet(flow.audit_path)
         if not result.success:
             break
     return results

@@ -8,10 +8,10 @@ from trilode.sources.queries import (
     plan_increment,
     read_query,
 )
-from trilode.sources.samples import inline_rows, sales_rows, sales_sample
+from trilode.sources.samples import inline_rows, one_row, sales_rows, sales_sample
 
 __all__ = [
     "Increment", "ensure_table", "inline_rows", "last_mark", "load_increment", "load_query",
-    "plan_increment", "read_files", "read_layer", "read_query", "sales_rows", "sales_sample",
+    "one_row", "plan_increment", "read_files", "read_layer", "read_query", "sales_rows", "sales_sample",
     "with_lineage", "write_mark",
 ]

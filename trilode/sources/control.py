@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trilode.sources.files import ensure_table
+from trilode.sources.samples import one_row
 
 CONTROL_SCHEMA = "source string, column_name string, last_value string, updated_at timestamp"
 
@@ -30,10 +31,5 @@ def last_mark(spark: SparkSession, control_path: str, source: str, column: str)
 
 
 def write_mark(spark: SparkSession, control_path: str, source: str, column: str, value: str) -> None:
-    row: DataFrame = spark.range(1).select(
-        F.lit(source).alias("source"),
-        F.lit(column).alias("column_name"),
-        F.lit(value).alias("last_value"),
-        F.current_timestamp().alias("updated_at"),
-    )
-    row.coalesce(1).write.mode("append").parquet(control_path)
+    row = one_row(spark, (source, column, value, F.current_timestamp()), CONTROL_SCHEMA)
+    row.write.mode("append").parquet(control_path)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from trilode.spec import FileSource
@@ -26,4 +27,6 @@ def read_layer(spark: SparkSession, path: str) -> DataFrame:
 
 def ensure_table(spark: SparkSession, path: str, schema: str | StructType) -> None:
     """Make an empty Parquet table at ``path`` unless something is there already."""
-    spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
+    fields = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    nothing = spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
+    nothing.write.mode("ignore").parquet(path)

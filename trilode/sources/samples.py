@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # The sample's product and region names.
 PRODUCTS = ("Laptop", "Mouse", "Keyboard", "Monitor", "Desk", "Chair", "Headphones")
@@ -17,6 +18,13 @@ NULL_EVERY = 50
 COPY_EVERY, COPY_AT = 100, 7
 
 
+def one_row(spark: SparkSession, values: Sequence, schema: str) -> DataFrame:
+    """A single literal row, made in the JVM."""
+    fields = zip(StructType.fromDDL(schema), values)
+    columns = [F.lit(value).cast(field.dataType).alias(field.name) for field, value in fields]
+    return spark.range(0, 1, 1, 1).select(*columns)
+
+
 def inline_rows(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
     """Literal rows with a declared schema, so all-NULL columns keep their type."""
     return spark.createDataFrame(list(rows), schema)
