@@ -1,7 +1,7 @@
 from datetime import date
 
 import pytest
-from helpers import rows, unordered
+from helpers import plan, rows, unordered
 from pyspark.sql import functions as F
 
 from trilode import functions as T
@@ -69,6 +69,18 @@ def test_null_drop_is_any(spark):
     assert drop_nulls(df, []).count() == 4
 
 
+def test_null_drop_agrees_with_dropna_and_reaches_the_scan(spark, root):
+    df = spark.createDataFrame(
+        [(1.0, "a"), (float("nan"), "b"), (None, "c"), (2.0, None)], "d double, s string")
+    df.write.parquet(f"{root}/t")
+    stored = spark.read.parquet(f"{root}/t")
+    for columns in (["d"], ["s"], ["d", "s"]):
+        kept = drop_nulls(stored, columns)
+        assert repr(unordered(kept)) == repr(unordered(stored.dropna(subset=columns)))
+        for column in columns:
+            assert f"IsNotNull({column})" in plan(kept)
+
+
 def test_fill_keeps_the_type(spark):
     df = spark.createDataFrame([(None, None, 1), (2.5, "x", 2)], "d double, s string, n int")
     filled = fill_nulls(df, {"d": "0", "s": "'PENDING'"})
@@ -110,6 +122,21 @@ def test_dedup_treats_null_keys_as_equal(spark):
     assert dedup(df, []).count() == 4
 
 
+def test_dedup_knows_equal_floats(spark):
+    df = spark.createDataFrame([(0.0,), (-0.0,), (float("nan"),), (float("nan"),)], "d double")
+    assert dedup(df, ["d"]).count() == dedup(df, ["d"], ["d"]).count() == 2
+
+
+def test_copies_are_thinned_out_before_the_shuffle(spark, sf_dir):
+    lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    ordered = plan(dedup(lineitem, ["l_orderkey"], ["l_partkey"]), "simple")
+    before_shuffle = ordered[ordered.index("Exchange"):]
+    assert "WindowGroupLimit" in before_shuffle and "Partial" in before_shuffle
+    any_row = plan(dedup(lineitem, ["l_orderkey"]), "simple")
+    assert "partial_first" in any_row[any_row.index("Exchange"):]
+    assert any_row.count("Exchange") == ordered.count("Exchange") == 1
+
+
 def test_ordered_dedup_ignores_partitioning(spark):
     df = spark.range(5000).select((F.col("id") % 97).alias("k"), F.col("id").alias("v"))
     hot = df.withColumn("k", F.when(F.col("v") % 3 == 0, 0).otherwise(F.col("k")))

@@ -1,3 +1,4 @@
+from dataclasses import replace
 from pathlib import Path
 
 import pytest
@@ -61,17 +62,47 @@ def test_partitioned_output_prunes(spark, root, days):
     assert "PartitionFilters: [isnotnull(date" in text
 
 
-def test_partition_layout_can_split_a_hot_value(days):
-    assert "REBALANCE_PARTITIONS_BY_COL" in plan(prepare(days, SinkSpec("p", partition_by=["date"])),
-                                                 "simple")
+def test_partition_layout_can_split_a_hot_value(spark, days):
+    by_date = SinkSpec("p", partition_by=["date"])
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan(prepare(days, by_date), "simple")
+    assert prepare(days, replace(by_date, rebalance=False)) is days
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert prepare(days, by_date) is days
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
-def test_clustered_output_is_sorted_and_spreads_a_hot_key(spark, root):
+def test_a_hot_partition_value_becomes_several_files(spark, root):
+    hot = spark.range(0, 400_000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, F.col("id") % 50).otherwise(7).alias("k"),
+        F.sha2(F.col("id").cast("string"), 256).alias("v"),
+    )
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+    try:
+        assert written_rows(hot, SinkSpec(f"{root}/t", partition_by=["k"])) == 400_000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    files = {p.name: len(list(p.glob("*.parquet"))) for p in Path(root, "t").glob("k=*")}
+    # values that hash next to the hot one are split along with it, the others stay whole
+    assert files["k=7"] > 4 and sorted(files.values())[len(files) // 2] == 1
+    assert spark.read.parquet(f"{root}/t").count() == 400_000
+
+
+def test_clustered_output_spreads_a_hot_key(spark, root):
     hot = spark.range(60_000).select(F.lit(1).alias("k"), F.col("id").alias("v"))
-    laid_out = prepare(hot, SinkSpec("p", cluster_by=["k"]))
-    sizes = rows(laid_out.groupBy(F.spark_partition_id()).count())
-    assert len(sizes) > 1 or spark.conf.get("spark.sql.adaptive.enabled") == "true"
-    write_table(hot, SinkSpec(f"{root}/t", cluster_by=["k"]))
+    sink = SinkSpec(f"{root}/t", cluster_by=["k", "v"])
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        by_k = prepare(hot, replace(sink, cluster_by=["k"]))
+        sizes = [r[1] for r in rows(by_k.groupBy(F.spark_partition_id()).count())]
+        assert len(sizes) == 8 and max(sizes) < 20_000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    write_table(hot.orderBy(F.rand(1)), sink)
+    for file in Path(root, "t").glob("*.parquet"):
+        values = [r.v for r in spark.read.parquet(str(file)).collect()]
+        assert values == sorted(values)
     assert spark.read.parquet(f"{root}/t").count() == 60_000
 
 

@@ -8,10 +8,12 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from trilode.functions.exprs import as_column
 from trilode.spec import CleaningSpec, Expr, RuleSpec
 
+KEY_HASH = "__key_hash"
 RANK = "__survivor_rank"
 
 
@@ -46,9 +48,21 @@ def _independent(fixes: Mapping[str, Expr]) -> bool:
     )
 
 
+def present(df: DataFrame, column: str) -> Column:
+    """Neither NULL nor, in a floating-point column, NaN."""
+    there = F.col(column).isNotNull()
+    if isinstance(df.schema[column].dataType, (T.DoubleType, T.FloatType)):
+        there = there & ~F.isnan(column)
+    return there
+
+
 def drop_nulls(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Drop a row when any listed column is NULL."""
-    return df.dropna(subset=list(columns)) if columns else df
+    """Drop a row when any listed column is missing.
+
+    Keeps the rows ``dropna(subset=columns)`` keeps. Written as plain predicates it also reaches
+    the scan, which skips Parquet row groups by their null counts.
+    """
+    return reduce(lambda d, c: d.filter(present(d, c)), columns, df)
 
 
 def fill_nulls(df: DataFrame, defaults: Mapping[str, Expr]) -> DataFrame:
@@ -71,14 +85,17 @@ def dedup(df: DataFrame, keys: Sequence[str], order: Sequence[Expr] = ()) -> Dat
 
     Without ``order`` an arbitrary row survives. With it the first row in that order survives.
     Either way copies are thinned out before the shuffle, so a key with very many copies sends one
-    row per input partition.
+    row per input partition. Both plans sort by key; a hash in front of the key makes nearly every
+    comparison one of two integers, whatever the key consists of.
     """
     if not keys:
         return df
+    hashed = df.withColumn(KEY_HASH, F.xxhash64(*keys))
     if not order:
-        return df.dropDuplicates(list(keys))
-    first = Window.partitionBy(*keys).orderBy(*[as_column(o) for o in order])
-    return df.withColumn(RANK, F.row_number().over(first)).filter(F.col(RANK) == 1).drop(RANK)
+        return hashed.dropDuplicates([KEY_HASH, *keys]).drop(KEY_HASH)
+    first = Window.partitionBy(KEY_HASH, *keys).orderBy(*[as_column(o) for o in order])
+    ranked = hashed.withColumn(RANK, F.row_number().over(first))
+    return ranked.filter(F.col(RANK) == 1).drop(RANK, KEY_HASH)
 
 
 def clean(df: DataFrame, spec: CleaningSpec) -> DataFrame:

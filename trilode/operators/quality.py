@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trilode.functions.exprs import as_column
-from trilode.operators.clean import fill_nulls, fix_types
+from trilode.operators.clean import fill_nulls, fix_types, present
 from trilode.sources.lineage import INGESTED_AT, lineage_column
 from trilode.spec import CleaningSpec, FlowSpec, RuleSpec, Source
 
@@ -43,10 +43,9 @@ def row_accounting(df: DataFrame, spec: CleaningSpec) -> DataFrame:
     Kept rows are counted per key on the map side first, so a hot key is one row per partition.
     """
     fixed = fix_types(df, spec.type_fixes)
-    no_nulls = [F.col(c).isNotNull() for c in spec.null_drop]
     complete = F.lit(True)
-    for present in no_nulls:
-        complete = complete & present
+    for column in spec.null_drop:
+        complete = complete & present(fixed, column)
     filled = fill_nulls(fixed.withColumn("__complete", complete), spec.null_fill)
     valid = F.lit(True)
     for rule in spec.rules:
@@ -103,7 +102,7 @@ def bronze_contract(df: DataFrame, source: Source) -> DataFrame:
 def silver_contract(df: DataFrame, spec: CleaningSpec) -> DataFrame:
     """Silver has no NULL in a required column and no key twice. One pass over the data."""
     names = [f"no null {c}" for c in spec.null_drop]
-    checks = [F.count_if(F.col(c).isNull()) for c in spec.null_drop]
+    checks = [F.count_if(~present(df, c)) for c in spec.null_drop]
     if spec.dedup_keys:
         # a struct, so that keys with NULL parts are compared and not skipped
         key = F.struct(*spec.dedup_keys)

@@ -29,15 +29,17 @@ def prepare(df: DataFrame, sink: SinkSpec) -> DataFrame:
     """Lay rows out for the sink.
 
     Partitioned output is rebalanced on the partition columns: one file set per partition value,
-    while adaptive execution splits a value that holds far more rows than the rest. Clustered
-    output is range-partitioned; a hash of the whole row breaks ties, so a hot cluster key also
-    spreads over several tasks.
+    while adaptive execution splits a value that holds far more rows than the rest. Without
+    adaptive execution a hot value would be one task, so rows are then written where they are.
+    Clustered output is range-partitioned; a hash of the whole row breaks ties, so a hot cluster
+    key also spreads over several tasks.
     """
     if sink.cluster_by:
         tie = F.xxhash64(*df.columns)
         keys = [*sink.partition_by, *sink.cluster_by]
         return df.repartitionByRange(*keys, tie).sortWithinPartitions(*keys)
-    if sink.partition_by:
+    adaptive = df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true"
+    if sink.partition_by and sink.rebalance and adaptive:
         return df.hint("rebalance", *sink.partition_by)
     return df
 

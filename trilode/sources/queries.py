@@ -120,6 +120,7 @@ def load_increment(spark: SparkSession, source: CatalogSource, control_path: str
         path=out,
         options={"compression": "snappy", "partitionOverwriteMode": "dynamic"},
         partition_by=(LOADED_AFTER,),
+        rebalance=False,  # a window has one partition value
     )
     rows = written_rows(_stamped(step, source), sink)
     write_mark(spark, control_path, source.name, source.increment.column, step.upper)

@@ -213,7 +213,11 @@ Output = Union[MetricSpec, GroupSpec]
 
 @dataclass(frozen=True)
 class SinkSpec:
-    """Where a table goes. ``mode`` takes a Spark save mode or a warehouse write disposition."""
+    """Where a table goes. ``mode`` takes a Spark save mode or a warehouse write disposition.
+
+    ``rebalance`` shuffles partitioned output once, for few files per partition value; leave it
+    off when each task holds rows of few values anyway.
+    """
 
     path: str | None = None
     table: str | None = None
@@ -222,6 +226,7 @@ class SinkSpec:
     options: Mapping[str, str] = field(default_factory=dict)
     partition_by: Sequence[str] = ()
     partition_type: str = "DAY"
+    rebalance: bool = True
     cluster_by: Sequence[str] = ()
 
 
