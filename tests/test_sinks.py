@@ -74,19 +74,19 @@ def test_partition_layout_can_split_a_hot_value(spark, days):
 
 
 def test_a_hot_partition_value_becomes_several_files(spark, root):
-    hot = spark.range(0, 400_000, 1, 8).select(
+    hot = spark.range(0, 120_000, 1, 8).select(
         F.when(F.col("id") % 3 == 0, F.col("id") % 50).otherwise(7).alias("k"),
         F.sha2(F.col("id").cast("string"), 256).alias("v"),
     )
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
     try:
-        assert written_rows(hot, SinkSpec(f"{root}/t", partition_by=["k"])) == 400_000
+        assert written_rows(hot, SinkSpec(f"{root}/t", partition_by=["k"])) == 120_000
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     files = {p.name: len(list(p.glob("*.parquet"))) for p in Path(root, "t").glob("k=*")}
     # values that hash next to the hot one are split along with it, the others stay whole
-    assert files["k=7"] > 4 and sorted(files.values())[len(files) // 2] == 1
-    assert spark.read.parquet(f"{root}/t").count() == 400_000
+    assert files["k=7"] > 2 and sorted(files.values())[len(files) // 2] == 1
+    assert spark.read.parquet(f"{root}/t").count() == 120_000
 
 
 def test_clustered_output_spreads_a_hot_key(spark, root):
