@@ -87,11 +87,15 @@ def bronze_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_layer(spark, out)
 
 
-@check("SELECT n_name AS name FROM nation UNION ALL SELECT r_name AS name FROM region")
+@check(
+    """SELECT c_name AS name, c_nationkey AS nation FROM customer
+       UNION ALL SELECT s_name AS name, s_nationkey AS nation FROM supplier"""
+)
 def bronze_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nations = table(spark, sf_dir, "nation").select(F.col("n_name").alias("name"))
-    regions = table(spark, sf_dir, "region").select(F.col("r_name").alias("name"))
-    return union_all(nations, regions)
+    """Two feeds with their columns in different order."""
+    buyers = table(spark, sf_dir, "customer").selectExpr("c_name name", "c_nationkey nation")
+    sellers = table(spark, sf_dir, "supplier").selectExpr("s_nationkey nation", "s_name name")
+    return union_all(buyers, sellers)
 
 
 UNPROCESSED = "SELECT * FROM trilode_queue WHERE processed = false"
@@ -147,7 +151,7 @@ def bronze_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     source = EventSource(
         drop.path, "csv", drop.options, schema=EVENTS_DDL, suffix=".csv", track_file=True,
-        max_files_per_trigger=5, archive_dir=f"{folder}/processed",
+        max_files_per_trigger=1000, archive_dir=f"{folder}/processed",
     )
     events.select("props").write.mode("append").text(drop.path)
     for part in (events.filter(views), events.filter(~views)):
