@@ -10,6 +10,13 @@ from pathlib import Path
 import duckdb
 
 
+# DuckDB type names and the Spark types that hold the same values.
+TYPES = {
+    "BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "FLOAT": "float",
+    "VARCHAR": "string", "BOOLEAN": "boolean", "DATE": "date", "TIMESTAMP": "timestamp_ntz",
+}
+
+
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     for file in sorted(Path(sf_dir).glob("*.parquet")):
@@ -37,6 +44,14 @@ def difference(df, con: duckdb.DuckDBPyConnection, sql: str) -> str | None:
     wanted = _rows(wanted_columns, result.fetchall())
     if sorted(df.columns) != sorted(wanted_columns):
         return f"columns {sorted(df.columns)} != {sorted(wanted_columns)}"
+    kinds = {d[0]: str(d[1]) for d in result.description}
+    other = {
+        name: (kind, kinds[name])
+        for name, kind in df.dtypes
+        if TYPES.get(kinds[name], kinds[name].lower()) != kind
+    }
+    if other:
+        return f"types {other}"
     got = _rows(df.columns, df.collect())
     if got == wanted:
         return None

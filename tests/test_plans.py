@@ -1,0 +1,80 @@
+"""The physical plans the library stands for."""
+
+from dataclasses import replace
+
+import pytest
+from helpers import plan
+from pyspark.sql import functions as F
+
+from trilode.operators import clean, group_table, metrics, silver_contract
+from trilode.plans.domains import FINTECH_CLEANING, FINTECH_OUTPUTS, SALES_CLEANING
+from trilode.plans.gold import write_gold
+from trilode.spec import AggSpec, FileSource, FlowSpec, GroupSpec, MetricSpec
+
+
+@pytest.fixture
+def transactions(spark, root):
+    spark.sql("""
+        SELECT CAST(id AS STRING) AS transaction_id, 'a' AS account_id,
+               CAST('2024-01-01' AS TIMESTAMP) AS transaction_date,
+               CAST(1 AS DECIMAL(15,2)) AS amount, 'PAYMENT' AS transaction_type,
+               'COMPLETED' AS status, 'm' AS merchant_category, true AS fraud_flag
+        FROM range(100)""").write.parquet(f"{root}/t")
+    return spark.read.parquet(f"{root}/t")
+
+
+def test_rules_reach_the_scan_where_the_type_stays(transactions):
+    text = plan(clean(transactions, FINTECH_CLEANING))
+    pushed = next(line for line in text.splitlines() if "PushedFilters" in line)
+    for part in ("IsNotNull(transaction_id)", "IsNotNull(amount)", "GreaterThan(amount,0.00)",
+                 "In(transaction_type", "In(fraud_flag"):
+        assert part in pushed
+    assert text.count("Exchange") == 2  # one node, listed in the tree and in the details
+
+
+def test_cleaning_without_keys_has_no_shuffle(transactions):
+    text = plan(clean(transactions, replace(FINTECH_CLEANING, dedup_keys=())), "simple")
+    assert "Exchange" not in text
+
+
+def test_metrics_scan_once_and_narrow(transactions):
+    wide = metrics(transactions, [o for o in FINTECH_OUTPUTS if isinstance(o, MetricSpec)])
+    text = plan(wide)
+    assert text.count("Scan parquet") == 2  # tree and details
+    assert "ReadSchema: struct<amount:decimal(15,2),status:string,fraud_flag:boolean>" in text
+
+
+def test_groups_combine_before_the_shuffle(transactions):
+    text = plan(group_table(transactions, GroupSpec(
+        "g", [AggSpec("amount", "sum", "s")], ["account_id"])), "simple")
+    assert "partial_sum" in text[text.index("Exchange"):]
+
+
+def test_contract_is_one_pass(transactions):
+    text = plan(silver_contract(transactions, FINTECH_CLEANING), "simple")
+    assert text.count("FileScan") == 1 and "Expand" not in text
+
+
+def test_independent_fixes_make_one_projection(spark, sf_dir):
+    text = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
+        F.col("l_shipdate").cast("string").alias("transaction_date"),
+        F.col("l_quantity").cast("string").alias("quantity"),
+        F.col("l_extendedprice").cast("string").alias("amount"),
+        F.lit("p").alias("product_id"), F.lit("a@b.co").alias("customer_email"))
+    cleaned = clean(text, replace(SALES_CLEANING, dedup_keys=()))
+    assert plan(cleaned, "simple").count("Project") == 1
+
+
+def test_gold_makes_two_passes_over_silver(spark, root, transactions):
+    """Counted on the jobs themselves: rows read from Silver by a whole Gold run."""
+    flow = FlowSpec("d", root, "b", "s", "g", FileSource("p"), outputs=FINTECH_OUTPUTS)
+    assert len(flow.metrics) + len(flow.groups) == 7
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):  # a Python probe on the input is the simplest counter of passes
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    write_gold(transactions.mapInArrow(counted, transactions.schema), flow)
+    assert read.value == 2 * 100
