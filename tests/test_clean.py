@@ -81,6 +81,12 @@ def test_null_drop_agrees_with_dropna_and_reaches_the_scan(spark, root):
             assert f"IsNotNull({column})" in plan(kept)
 
 
+def test_names_ignore_case_like_spark(spark):
+    df = spark.createDataFrame([(1.0, None), (None, "x")], "Amount double, Status string")
+    assert rows(drop_nulls(df, ["amount"])) == [(1.0, None)]
+    assert unordered(fill_nulls(df, {"STATUS": "'NEW'"}).select("status")) == [("NEW",), ("x",)]
+
+
 def test_fill_keeps_the_type(spark):
     df = spark.createDataFrame([(None, None, 1), (2.5, "x", 2)], "d double, s string, n int")
     filled = fill_nulls(df, {"d": "0", "s": "'PENDING'"})
@@ -172,6 +178,7 @@ def test_column_contract(spark):
     df = spark.createDataFrame([(1, 2)], "a int, b int")
     assert select_columns(df, ["b"]).columns == ["b"]
     assert require_columns(df, ["b"]) is df
+    assert require_columns(df, ["A"]) is df
     with pytest.raises(ValueError, match="missing columns"):
         require_columns(df, ["a", "z"])
 

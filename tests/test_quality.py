@@ -38,6 +38,12 @@ def test_null_outcome_counts_as_failed(spark):
     assert rows(report) == [(1, "n", "positive", 2, 3), (2, "s", "is x", 2, 3)]
 
 
+def test_report_without_rules(spark):
+    empty = rule_report(frame(spark, [(1, "x")]), [])
+    assert rows(empty) == []
+    assert empty.dtypes == rule_report(frame(spark, []), RULES).dtypes
+
+
 def test_report_over_nothing(spark):
     assert rows(rule_report(frame(spark, []), RULES)) == [
         (1, "n", "positive", 0, 0), (2, "s", "is x", 0, 0)]

@@ -62,6 +62,20 @@ def test_partitioned_output_prunes(spark, root, days):
     assert "PartitionFilters: [isnotnull(date" in text
 
 
+def test_overwrite_replaces_all_partitions_in_any_session(spark, root, days):
+    sink = SinkSpec(f"{root}/t", partition_by=["date"])
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        write_table(days, sink)
+        write_table(days.filter("date = DATE'2024-01-01'"), sink)
+        assert spark.read.parquet(f"{root}/t").count() == 30
+        dynamic = replace(sink, options={"partitionOverwriteMode": "dynamic"})
+        write_table(days.filter("date = DATE'2024-01-02'"), dynamic)
+        assert spark.read.parquet(f"{root}/t").count() == 60
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+
+
 def test_partition_layout_can_split_a_hot_value(spark, days):
     by_date = SinkSpec("p", partition_by=["date"])
     assert "REBALANCE_PARTITIONS_BY_COL" in plan(prepare(days, by_date), "simple")

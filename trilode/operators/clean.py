@@ -17,9 +17,19 @@ KEY_HASH = "__key_hash"
 RANK = "__survivor_rank"
 
 
+def has_column(df: DataFrame, column: str) -> bool:
+    if df.sparkSession.conf.get("spark.sql.caseSensitive") == "true":
+        return column in df.columns
+    return column.lower() in [c.lower() for c in df.columns]
+
+
+def type_of(df: DataFrame, column: str) -> T.DataType:
+    return df.select(column).schema.fields[0].dataType
+
+
 def require_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Fail while planning, not while running, when the input lacks a promised column."""
-    missing = [c for c in columns if c not in df.columns]
+    missing = [c for c in columns if not has_column(df, c)]
     if missing:
         raise ValueError(f"missing columns {missing}, input has {df.columns}")
     return df
@@ -51,7 +61,7 @@ def _independent(fixes: Mapping[str, Expr]) -> bool:
 def present(df: DataFrame, column: str) -> Column:
     """Neither NULL nor, in a floating-point column, NaN."""
     there = F.col(column).isNotNull()
-    if isinstance(df.schema[column].dataType, (T.DoubleType, T.FloatType)):
+    if isinstance(type_of(df, column), (T.DoubleType, T.FloatType)):
         there = there & ~F.isnan(column)
     return there
 
@@ -67,9 +77,8 @@ def drop_nulls(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def fill_nulls(df: DataFrame, defaults: Mapping[str, Expr]) -> DataFrame:
     """Put a default, given as a SQL literal, for NULL; the column keeps its type."""
-    types = {f.name: f.dataType for f in df.schema}
     filled = {
-        name: F.coalesce(F.col(name), as_column(default).cast(types[name]))
+        name: F.coalesce(F.col(name), as_column(default).cast(type_of(df, name)))
         for name, default in defaults.items()
     }
     return df.withColumns(filled) if filled else df

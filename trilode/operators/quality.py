@@ -8,17 +8,22 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trilode.functions.exprs import as_column
-from trilode.operators.clean import fill_nulls, fix_types, present
+from trilode.operators.clean import fill_nulls, fix_types, has_column, present
 from trilode.sources.lineage import INGESTED_AT, lineage_column
 from trilode.spec import CleaningSpec, FlowSpec, RuleSpec, Source
 
 
+REPORT = "position int, column_name string, description string, failed bigint, total bigint"
+
+
 def _fails(rule: RuleSpec) -> Column:
     return ~F.coalesce(as_column(rule.rule), F.lit(False))
 
 
 def rule_report(df: DataFrame, rules: Sequence[RuleSpec]) -> DataFrame:
     """``(position, column_name, description, failed, total)`` per rule; a NULL outcome fails."""
+    if not rules:
+        return df.sparkSession.createDataFrame([], REPORT)
     counts = df.agg(
         F.count(F.lit(1)).alias("total"),
         *[F.count_if(_fails(r)).alias(f"failed_{i}") for i, r in enumerate(rules)],
@@ -90,7 +95,7 @@ def _checked(layer: str, counts: DataFrame, names: Sequence[str]) -> DataFrame:
 
 def _schema_checks(df: DataFrame, layer: str, wanted: Sequence[str]) -> DataFrame:
     spark = df.sparkSession
-    rows = [(layer, f"has {c}", int(c not in df.columns), c in df.columns) for c in wanted]
+    rows = [(layer, f"has {c}", int(not has_column(df, c)), has_column(df, c)) for c in wanted]
     return spark.createDataFrame(rows, CONTRACT)
 
 

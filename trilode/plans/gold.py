@@ -74,7 +74,8 @@ def _together(spark: SparkSession, jobs: Sequence[Callable[[], T]]) -> list[T]:
 
 def _stage(df: DataFrame, flow: FlowSpec, part: str, split_by: Sequence[str] = ()) -> DataFrame:
     path = layer_path(flow.root, "staging", flow.gold_table) + part
-    df.write.mode("overwrite").partitionBy(*split_by).parquet(path)
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer.partitionBy(*split_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

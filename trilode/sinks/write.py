@@ -76,9 +76,11 @@ def write_table(df: DataFrame, sink: SinkSpec, rows: Observation | None = None)
     if not files:
         df.write.format(sink.format).options(**warehouse_options(sink)).mode(mode).save()
         return
-    writer = df.write.format(sink.format).options(**sink.options).mode(mode)
+    writer = df.write.format(sink.format).mode(mode)
     if sink.partition_by:
-        writer = writer.partitionBy(*sink.partition_by)
+        # overwriting means the whole table, whatever the session says, unless the sink differs
+        writer = writer.partitionBy(*sink.partition_by).option("partitionOverwriteMode", "static")
+    writer = writer.options(**sink.options)
     if not sink.table:
         writer.save(sink.path)
     elif sink.path:

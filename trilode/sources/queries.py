@@ -90,7 +90,7 @@ def plan_increment(spark: SparkSession, source: CatalogSource, control_path: str
     column = source.increment.column
     last = last_mark(spark, control_path, source.name, column)
     rows = read_query(spark, source)
-    dtype = rows.schema[column].dataType
+    dtype = rows.select(column).schema.fields[0].dataType
     top = _one_row(spark, source, f"MAX({column}) AS top").select(F.col("top").cast(dtype))
     past = F.lit(True) if last is None else F.col("top") > F.lit(last).cast(dtype)
     found = top.filter(past).select(mark_text(F.col("top"), dtype)).first()
