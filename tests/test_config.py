@@ -68,6 +68,12 @@ def test_file_source():
     assert flow.cleaning.rules[0].description == ""
 
 
+def test_declared_schema_for_files():
+    assert flow_from_config(CONFIG).source.schema is None
+    declared = flow_from_config(CONFIG, declare_schema=True).source.schema
+    assert declared.startswith("`transaction_date` date, `amount` decimal(10,2)")
+
+
 def test_overrides_are_shallow():
     flow = flow_from_config(CONFIG, {"source": {"type": "file", "path": "x"}}, root="/r")
     assert flow.source.path == "x" and flow.source.options["inferSchema"] == "true"

@@ -1,3 +1,4 @@
+from dataclasses import replace
 from datetime import datetime
 
 import pytest
@@ -42,6 +43,15 @@ def test_declared_schema_needs_no_inference(spark, tmp_path):
     assert unordered(read_files(spark, source)) == [(1, "x"), (None, "y")]
 
 
+def test_declared_schema_must_match_the_header(spark, tmp_path):
+    put(tmp_path / "in", "a.csv", "s,n\nx,1\n")
+    swapped = FileSource(str(tmp_path / "in"), "csv", {"header": "true"}, schema="n int, s string")
+    with pytest.raises(Exception, match="CSV header"):
+        read_files(spark, swapped).collect()
+    forced = replace(swapped, options={"header": "true", "enforceSchema": "true"})
+    assert rows(read_files(spark, forced)) == [(None, "1")]
+
+
 def test_multi_line_json(spark, tmp_path):
     put(tmp_path / "in", "a.json", '[\n {"id": "a",\n  "t": 1.5},\n {"id": "b"}\n]')
     source = FileSource(str(tmp_path / "in"), "json", {"multiLine": "true"})

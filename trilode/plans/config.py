@@ -47,10 +47,13 @@ def flow_from_config(
     config: Mapping[str, Any],
     overrides: Mapping[str, Any] | None = None,
     root: str | None = None,
+    declare_schema: bool = False,
 ) -> FlowSpec:
     """Overrides replace whole top-level blocks. Expressions are Spark SQL strings or Columns.
 
-    ``root`` defaults to ``data`` offline and to the source bucket in a cloud environment.
+    ``root`` defaults to ``data`` offline and to the source bucket in a cloud environment. The
+    schema text is needed by event sources; with ``declare_schema`` file sources use it as well
+    and skip the inference pass.
     """
     config = {**config, **(overrides or {})}
     missing = [key for key in REQUIRED if key not in config]
@@ -71,7 +74,7 @@ def flow_from_config(
         bronze_table=config["bronze_table_name"],
         silver_table=config["silver_table_name"],
         gold_table=config["gold_table_name"],
-        source=_source(block, environment, config.get("schema_info")),
+        source=_source(block, environment, config.get("schema_info"), declare_schema),
         cleaning=_cleaning(config["cleaning_rules"]),
         outputs=[_output(name, o) for name, o in config["aggregations"].items()],
         columns=tuple(config.get("available_columns", ())),
@@ -86,7 +89,9 @@ def _root(block: Mapping[str, Any], environment: str) -> str:
     return f"{scheme}://{block[f'{prefix}_bucket']}"
 
 
-def _source(block: Mapping[str, Any], environment: str, schema_info: str | None) -> Source:
+def _source(
+    block: Mapping[str, Any], environment: str, schema_info: str | None, declare_schema: bool
+) -> Source:
     kind = block.get("type", "file")
     if kind not in SOURCE_TYPES:
         raise ValueError(f"unknown source type {kind!r}, expected one of {SOURCE_TYPES}")
@@ -96,8 +101,10 @@ def _source(block: Mapping[str, Any], environment: str, schema_info: str | None)
         "format": block.get("format", "csv"),
         "options": dict(block.get("options", {"header": "true", "inferSchema": "true"})),
     }
+    schema = schema_ddl(schema_info) if schema_info else None
     if kind == "file":
-        return FileSource(path=block.get("path", "data/raw/"), **common)
+        declared = schema if declare_schema else None
+        return FileSource(path=block.get("path", "data/raw/"), schema=declared, **common)
     landing = {"path": block.get("path", "data/raw/"), "suffix": None, "track_file": False}
     if environment != "offline":
         scheme, prefix = BUCKETS[environment]
@@ -109,12 +116,7 @@ def _source(block: Mapping[str, Any], environment: str, schema_info: str | None)
             "suffix": block.get(f"{prefix}_suffix"),
             "track_file": True,
         }
-    return EventSource(
-        **landing,
-        **common,
-        schema=schema_ddl(schema_info) if schema_info else None,
-        streaming=bool(schema_info),
-    )
+    return EventSource(**landing, **common, schema=schema, streaming=bool(schema))
 
 
 def _database(block: Mapping[str, Any]) -> DatabaseSource:

@@ -10,11 +10,16 @@ from trilode.spec import FileSource
 
 
 def configure(reader, source: FileSource):
-    """The reader options shared by the batch and the streaming form of a scan."""
-    reader = reader.format(source.format).options(**source.options)
+    """The reader options shared by the batch and the streaming form of a scan.
+
+    A declared schema is checked against CSV header lines, since CSV columns go by position.
+    """
+    reader = reader.format(source.format)
+    if source.schema:
+        reader = reader.schema(source.schema).option("enforceSchema", "false")
     if source.suffix:
         reader = reader.option("pathGlobFilter", f"*{source.suffix}")
-    return reader.schema(source.schema) if source.schema else reader
+    return reader.options(**source.options)
 
 
 def read_files(spark: SparkSession, source: FileSource) -> DataFrame:
