@@ -20,7 +20,7 @@ from trilode.checks import QUERIES  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", str(os.cpu_count()))
-REPEAT = int(os.environ.get("BENCH_REPEAT", "3"))
+REPEAT = int(os.environ.get("BENCH_REPEAT", "2"))
 ONLY = [name for name in os.environ.get("BENCH_ONLY", "").split(",") if name]
 
 

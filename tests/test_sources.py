@@ -19,7 +19,13 @@ from trilode.sources import (
     write_mark,
 )
 from trilode.sources.control import mark_text
-from trilode.sources.queries import as_relation, jdbc_options, partition_options
+from trilode.sources.queries import (
+    _bound,
+    as_relation,
+    jdbc_options,
+    partition_options,
+    split_window,
+)
 from trilode.spec import CatalogSource, DatabaseSource, EventSource, FileSource, IncrementSpec
 
 
@@ -158,6 +164,21 @@ def test_one_partition_needs_no_bounds(spark):
     assert partition_options(spark, DatabaseSource("SELECT 1")) == {}
 
 
+def test_bounds_are_whole_numbers_or_times():
+    assert [_bound(b) for b in ("7", "7.90", "1E+3", "2024-01-01", "2024-01-01 10:00:00")] == [
+        "7", "7", "1000", "2024-01-01", "2024-01-01 10:00:00"]
+
+
+def test_parallel_increment_splits_its_window():
+    on_mark = replace(DB, partition_column="created_at", increment=IncrementSpec("created_at"))
+    window = split_window(on_mark, "2024-01-01", "2024-02-01")
+    assert (window.lower_bound, window.upper_bound) == ("2024-01-01", "2024-02-01")
+    assert split_window(on_mark, None, "2024-02-01") == on_mark
+    other = replace(DB, increment=IncrementSpec("created_at"))
+    assert split_window(other, "2024-01-01", "2024-02-01") == other
+    assert split_window(source(), "1", "2") == source()
+
+
 def test_query_is_a_valid_relation(spark):
     spark.range(5).createOrReplaceTempView("numbers")
     relation = as_relation("SELECT id FROM numbers WHERE id > 2")

@@ -22,6 +22,7 @@ from trilode.spec import (
     Source,
 )
 
+# The keys and words a config mapping uses.
 REQUIRED = (
     "business_domain", "bronze_table_name", "silver_table_name", "gold_table_name",
     "cleaning_rules", "aggregations",

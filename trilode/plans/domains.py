@@ -1,4 +1,7 @@
-"""Ready-made flows: sales, IoT sensors, financial transactions, web logs."""
+"""Ready-made flows: sales, IoT sensors, financial transactions, web logs.
+
+Fixed values: the table and column names, rules, thresholds, defaults and outputs below.
+"""
 
 from __future__ import annotations
 

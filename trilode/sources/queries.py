@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import os
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from decimal import Decimal, InvalidOperation
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,13 @@ LOADED_AFTER = "loaded_after"
 NO_VALUE = "__HIVE_DEFAULT_PARTITION__"  # Spark's directory name for a NULL partition value
 
 
+UNSPLIT = {"num_partitions": 1, "lower_bound": None, "upper_bound": None}
+
+
+def has_readers(source: CatalogSource) -> bool:
+    return isinstance(source, DatabaseSource) and source.num_partitions > 1
+
+
 def as_relation(query: str) -> str:
     return f"({query}) AS source"
 
@@ -54,12 +62,28 @@ def partition_options(spark: SparkSession, source: DatabaseSource) -> dict[str,
         low, high = str(bounds[0]), str(bounds[1])
     return {
         "partitionColumn": column,
-        "lowerBound": low,
-        "upperBound": high,
+        "lowerBound": _bound(low),
+        "upperBound": _bound(high),
         "numPartitions": str(source.num_partitions),
     }
 
 
+def _bound(value: str) -> str:
+    """Spark takes whole numbers, dates and times as bounds."""
+    try:
+        return str(int(Decimal(value)))
+    except InvalidOperation:
+        return value
+
+
+def split_window(source: CatalogSource, last: str | None, upper: str) -> CatalogSource:
+    """Spread the parallel readers over the window when they split on the mark column."""
+    on_mark = getattr(source, "partition_column", None) == source.increment.column
+    if last is None or not on_mark:
+        return source
+    return replace(source, lower_bound=last, upper_bound=upper)
+
+
 def read_query(spark: SparkSession, source: CatalogSource) -> DataFrame:
     if not isinstance(source, DatabaseSource):
         return spark.sql(f"SELECT * FROM {as_relation(source.query)}")
@@ -85,18 +109,21 @@ def plan_increment(spark: SparkSession, source: CatalogSource, control_path: str
     """Fix the window first, so every retry and every parallel reader sees the same bounds.
 
     The bounds are plain filters on the scan; a JDBC source receives them in its WHERE clause.
-    Rows with a NULL mark column are never selected.
+    Rows with a NULL mark column are never selected. A parallel read should split on the mark
+    column: the ranges then divide the window, not the whole table.
     """
     column = source.increment.column
     last = last_mark(spark, control_path, source.name, column)
-    rows = read_query(spark, source)
-    dtype = rows.select(column).schema.fields[0].dataType
-    top = _one_row(spark, source, f"MAX({column}) AS top").select(F.col("top").cast(dtype))
-    past = F.lit(True) if last is None else F.col("top") > F.lit(last).cast(dtype)
-    found = top.filter(past).select(mark_text(F.col("top"), dtype)).first()
+    whole = read_query(spark, replace(source, **UNSPLIT) if has_readers(source) else source)
+    dtype = whole.select(column).schema.fields[0].dataType
+    newest = F.col("newest").cast(dtype)
+    past = F.lit(True) if last is None else newest > F.lit(last).cast(dtype)
+    top = _one_row(spark, source, f"MAX({column}) AS newest")
+    found = top.filter(past).select(mark_text(newest, dtype)).first()
     upper = found[0] if found else None
     if upper is None:
-        return Increment(rows.filter(F.lit(False)), last, None)
+        return Increment(whole.filter(F.lit(False)), last, None)
+    rows = read_query(spark, split_window(source, last, upper))
     rows = rows.filter(F.col(column) <= F.lit(upper).cast(dtype))
     if last is not None:
         rows = rows.filter(F.col(column) > F.lit(last).cast(dtype))
