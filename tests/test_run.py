@@ -1,3 +1,4 @@
+import json
 from dataclasses import replace
 from pathlib import Path
 
@@ -227,6 +228,24 @@ def test_layer_choice():
     assert set(DOMAINS) == {"sales", "iot", "fintech", "web_logs"}
 
 
+def test_command_line_with_a_config(spark, root):
+    config = {
+        "business_domain": "Sales", "bronze_table_name": "b", "silver_table_name": "s",
+        "gold_table_name": "g",
+        "source": {"type": "file", "format": "csv", "path": landing(root),
+                   "options": {"header": "true", "inferSchema": "true"}},
+        "cleaning_rules": {
+            "null_drop_columns": ["product_id"],
+            "data_type_fixes": {"amount": "try_cast(amount AS DOUBLE)"},
+            "validation_rules": [{"column": "amount", "rule": "amount > 0"}],
+        },
+        "aggregations": {"n": {"type": "agg", "expression": "count(*)", "alias": "n"}},
+    }
+    Path(root, "flow.json").write_text(json.dumps(config))
+    assert main(["--config", f"{root}/flow.json", "--root", root]) == 0
+    assert rows(spark.read.parquet(f"{root}/gold/g/n")) == [(7,)]
+
+
 def test_command_line(spark, root, capsys):
     assert main(["--root", root, "--input", landing(root), "--layer", "bronze",
                  "--layer", "silver"]) == 0

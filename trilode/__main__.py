@@ -1,13 +1,15 @@
-"""``spark-submit``-able entry: run chosen layers of a ready-made flow."""
+"""``spark-submit``-able entry: run chosen layers of a ready-made flow or of a JSON config."""
 
 from __future__ import annotations
 
 import argparse
+import json
 import sys
 from dataclasses import replace
 
 from pyspark.sql import SparkSession
 
+from trilode.plans.config import flow_from_config
 from trilode.plans.domains import DOMAINS
 from trilode.plans.run import run
 from trilode.spec import LAYERS
@@ -16,7 +18,8 @@ from trilode.spec import LAYERS
 def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="trilode", description=__doc__)
     parser.add_argument("--domain", choices=sorted(DOMAINS), default="sales")
-    parser.add_argument("--root", default="data", help="folder or URI that holds the layers")
+    parser.add_argument("--config", help="JSON file with a flow, instead of a ready-made one")
+    parser.add_argument("--root", help="folder or URI that holds the layers")
     parser.add_argument("--input", help="source path, instead of the flow's own")
     parser.add_argument("--layer", action="append", choices=LAYERS, help="may be repeated")
     for layer in LAYERS:
@@ -34,8 +37,12 @@ def chosen_layers(args: argparse.Namespace) -> list[str]:
 
 def main(argv: list[str] | None = None) -> int:
     args = parse(argv)
-    spark = SparkSession.builder.appName(f"trilode-{args.domain}").getOrCreate()
-    flow = DOMAINS[args.domain](args.root)
+    spark = SparkSession.builder.appName("trilode").getOrCreate()
+    if args.config:
+        with open(args.config, encoding="utf-8") as text:
+            flow = flow_from_config(json.load(text), root=args.root)
+    else:
+        flow = DOMAINS[args.domain](args.root or "data")
     if args.input:
         flow = flow.override(source=replace(flow.source, path=args.input))
     results = run(spark, flow, chosen_layers(args))
