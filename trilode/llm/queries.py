@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trilode.llm import simhash
+from trilode.llm import decontaminate, simhash
 from trilode.llm.common import table
 
 
@@ -15,7 +15,48 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits().alias("fingerprint"), "component_id")
 
 
+def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.matches(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "similarity")
+
+
+# Every window as long as the item, at every offset from which it can share a shingle.
+OP10_SQL = r"""
+WITH d AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')),
+        '[^\p{L}\p{M}\p{N}]+'), lambda x: x <> '') AS w FROM documents),
+b AS (
+    SELECT item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')),
+        '[^\p{L}\p{M}\p{N}]+'), lambda x: x <> '') AS w FROM benchmark),
+i AS (SELECT item_id, w, len(w) AS n, least(len(w), 5) AS k FROM b WHERE len(w) > 0),
+s AS (
+    SELECT item_id, n, k, g, count(*) AS c FROM (
+        SELECT item_id, n, k, array_to_string(w[j + 1:j + k], ' ') AS g
+        FROM (SELECT *, unnest(range(n - k + 1)) AS j FROM i)) GROUP BY ALL),
+h AS (
+    SELECT doc_id, item_id, pos, g, c, n, k, total FROM (
+        SELECT doc_id, total, pos, k, array_to_string(w[pos + 1:pos + k], ' ') AS g FROM (
+            SELECT doc_id, w, k, len(w) AS total, unnest(range(len(w) - k + 1)) AS pos
+            FROM d, (SELECT DISTINCT k FROM i)))
+    JOIN s USING (k, g)),
+t AS (
+    SELECT DISTINCT doc_id, item_id, n, k, greatest(o, 0) AS lo, least(o + n, total) AS hi
+    FROM (SELECT *, unnest(range(pos - n + k, pos + 1)) AS o FROM h)),
+m AS (
+    SELECT doc_id, item_id, n, k, lo, hi, sum(least(x, c)) AS shared FROM (
+        SELECT doc_id, item_id, t.n, t.k, lo, hi, g, c, count(*) AS x
+        FROM t JOIN h USING (doc_id, item_id)
+        WHERE pos >= lo AND pos + t.k <= hi GROUP BY ALL) GROUP BY ALL)
+SELECT doc_id, item_id,
+    max(CAST(shared AS DOUBLE) / ((hi - lo - k + 1) + (n - k + 1) - shared)) AS similarity
+FROM m GROUP BY doc_id, item_id HAVING similarity >= 0.8
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op10_benchmark_decontamination": op10_benchmark_decontamination,
+}
+ORACLES: dict[str, str] = {
+    "op10_benchmark_decontamination": OP10_SQL,
 }
-ORACLES: dict[str, str] = {}
