@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from trilode.llm import decontaminate, simhash
+from trilode.llm import decontaminate, pii, simhash
 from trilode.llm.common import table
 
 
@@ -15,6 +16,26 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits().alias("fingerprint"), "component_id")
 
 
+def _count_kind(kind: str):
+    return F.size(F.filter("pii_spans", lambda s: s["base"] & (s["kind"] == kind))).cast("long")
+
+
+def _listed(spans):
+    one = F.transform(spans, lambda s: F.concat_ws(
+        ":", s["kind"], s["start"].cast("string"), s["end"].cast("string")))
+    return F.array_join(one, ",")
+
+
+def op7_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("pii_spans", lambda s: s["base"])
+    return found.select(
+        "doc_id",
+        *(_count_kind(kind).alias(f"n_{kind}") for kind in pii.KINDS),
+        F.sha2(_listed(base), 256).alias("base_sha256"),
+        _listed("pii_spans").alias("spans"))
+
+
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.matches(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -55,6 +76,7 @@ FROM m GROUP BY doc_id, item_id HAVING similarity >= 0.8
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op7_pii_spans": op7_pii_spans,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
 ORACLES: dict[str, str] = {
