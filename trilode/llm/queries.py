@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trilode.llm import decontaminate, pii, simhash
-from trilode.llm.common import table
+from trilode.llm import decontaminate, langid, pii, simhash
+from trilode.llm.common import crc_mod, table
 
 
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +16,15 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits().alias("fingerprint"), "component_id")
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs, crc_mod("doc_id", 4) != 2)
+    found = langid.predict(docs.select("doc_id", "text"), model)
+    held_out = F.coalesce(crc_mod("doc_id", 4) == 2, F.lit(False))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred",
+                        F.col("lang_score").alias("score"))
+
+
 def _count_kind(kind: str):
     return F.size(F.filter("pii_spans", lambda s: s["base"] & (s["kind"] == kind))).cast("long")
 
@@ -76,6 +85,7 @@ FROM m GROUP BY doc_id, item_id HAVING similarity >= 0.8
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op3_language_id": op3_language_id,
     "op7_pii_spans": op7_pii_spans,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
