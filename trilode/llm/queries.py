@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trilode.llm import decontaminate, langid, pii, simhash
+from trilode.llm import decontaminate, langid, packing, pii, simhash
 from trilode.llm.common import crc_mod, table
 
 
@@ -16,6 +16,10 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits().alias("fingerprint"), "component_id")
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.fit(docs, crc_mod("doc_id", 4) != 2)
@@ -85,6 +89,7 @@ FROM m GROUP BY doc_id, item_id HAVING similarity >= 0.8
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op2_packing": op2_packing,
     "op3_language_id": op3_language_id,
     "op7_pii_spans": op7_pii_spans,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
