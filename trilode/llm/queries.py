@@ -8,7 +8,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trilode.llm import decontaminate, langid, packing, pii, simhash
+from trilode.llm import decontaminate, host_rules, langid, packing, pii, simhash
 from trilode.llm.common import crc_mod, table
 
 
@@ -30,6 +30,59 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("lang_score").alias("score"))
 
 
+def op6_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return host_rules.verdicts(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept")
+
+
+OP6_SQL = r"""
+WITH d AS (
+    SELECT doc_id, source, coalesce(text, '') AS text,
+        regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+        list_filter(string_split(coalesce(text, ''), chr(10)),
+            lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+    FROM documents),
+g AS (
+    SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, t) AS c FROM (
+        SELECT doc_id, i, w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3] AS t
+        FROM (SELECT doc_id, w, unnest(range(len(w) - 2)) AS i FROM d))),
+r AS (
+    SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words
+    FROM g, range(3) AS x(k) WHERE c >= 2 GROUP BY doc_id),
+m AS (
+    SELECT doc_id, source, CAST(len(w) AS BIGINT) AS n_words,
+        CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+        CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT)
+            AS n_symbols,
+        CAST(len(lines) AS BIGINT) AS n_lines,
+        CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+        coalesce(n_repeat_words, 0) AS n_repeat_words
+    FROM d LEFT JOIN r USING (doc_id)),
+f AS (
+    SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS f1,
+        10 * n_symbols > 5 * n_words AS f2, 100 * n_dup_lines > 30 * n_lines AS f3 FROM m),
+h AS (
+    SELECT source, count(*) AS n, count_if(f1) AS k1, count_if(f2) AS k2, count_if(f3) AS k3
+    FROM f GROUP BY source),
+p AS (
+    SELECT rule, sum(k) / sum(n) AS mu, var_pop(k / n) AS v FROM (
+        SELECT 1 AS rule, n, k1 AS k FROM h UNION ALL SELECT 2, n, k2 FROM h
+        UNION ALL SELECT 3, n, k3 FROM h) GROUP BY rule),
+s AS (
+    SELECT rule, mu, CASE WHEN v > 0
+        THEN greatest(0, least(1e6, mu * (1 - mu) / v - 1)) ELSE 1e6 END AS strength FROM p),
+b AS (
+    SELECT h.source, max(CASE WHEN
+        (CASE rule WHEN 1 THEN k1 WHEN 2 THEN k2 ELSE k3 END + mu * strength)
+        / (n + strength) > 0.5 THEN 1 ELSE 0 END) = 1 AS bad
+    FROM h, s GROUP BY h.source)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+    f1 AS base_failed, NOT f1 AND NOT bad AS kept
+FROM f JOIN b ON f.source IS NOT DISTINCT FROM b.source
+"""
+
+
 def _count_kind(kind: str):
     return F.size(F.filter("pii_spans", lambda s: s["base"] & (s["kind"] == kind))).cast("long")
 
@@ -92,10 +145,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_packing": op2_packing,
     "op3_language_id": op3_language_id,
+    "op6_host_quality": op6_host_quality,
     "op7_pii_spans": op7_pii_spans,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
     "pipeline": corpus_pipeline.run,
 }
 ORACLES: dict[str, str] = {
+    "op6_host_quality": OP6_SQL,
     "op10_benchmark_decontamination": OP10_SQL,
 }
