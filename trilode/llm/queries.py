@@ -8,7 +8,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trilode.llm import decontaminate, host_rules, langid, packing, pii, simhash
+from trilode.llm import decontaminate, host_rules, langid, packing, pii, simhash, toxicity
 from trilode.llm.common import crc_mod, table
 
 
@@ -103,6 +103,16 @@ def op7_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
         _listed("pii_spans").alias("spans"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), crc_mod("doc_id", 3) != 1)
+    held_out = F.coalesce(crc_mod("doc_id", 3) == 1, F.lit(False))
+    score = F.col("toxicity")
+    return toxicity.score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), score.alias("score"),
+        (score >= 0.7).cast("int").alias("predicted"))
+
+
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.matches(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -147,6 +157,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_language_id": op3_language_id,
     "op6_host_quality": op6_host_quality,
     "op7_pii_spans": op7_pii_spans,
+    "op8_toxicity": op8_toxicity,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
     "pipeline": corpus_pipeline.run,
 }
