@@ -8,7 +8,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trilode.llm import decontaminate, host_rules, langid, packing, pii, simhash, toxicity
+from trilode.llm import decontaminate, host_rules, langid, packing, pii, simhash, toxicity, warc
 from trilode.llm.common import crc_mod, table
 
 
@@ -30,6 +30,24 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("lang_score").alias("score"))
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+OP5_SQL = """
+WITH p AS (
+    SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+        sha1(coalesce(html, '')) AS payload_digest, sha256(coalesce(html, '')) AS same FROM pages),
+r AS (
+    SELECT same, max(page_id) AS response FROM p WHERE payload_bytes >= 1000
+    GROUP BY same HAVING count(*) > 1)
+SELECT page_id, payload_bytes, payload_digest,
+    CASE WHEN response <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN response <> page_id THEN response END AS refers_to
+FROM p LEFT JOIN r USING (same)
+"""
+
+
 def op6_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_rules.verdicts(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -155,6 +173,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_packing": op2_packing,
     "op3_language_id": op3_language_id,
+    "op5_warc": op5_warc,
     "op6_host_quality": op6_host_quality,
     "op7_pii_spans": op7_pii_spans,
     "op8_toxicity": op8_toxicity,
@@ -162,6 +181,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": corpus_pipeline.run,
 }
 ORACLES: dict[str, str] = {
+    "op5_warc": OP5_SQL,
     "op6_host_quality": OP6_SQL,
     "op10_benchmark_decontamination": OP10_SQL,
 }
