@@ -8,8 +8,19 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trilode.llm import decontaminate, host_rules, langid, packing, pii, simhash, toxicity, warc
-from trilode.llm.common import crc_mod, table
+from trilode.llm import (
+    decontaminate,
+    host_rules,
+    langid,
+    licenses,
+    packing,
+    pii,
+    simhash,
+    token_counts,
+    toxicity,
+    warc,
+)
+from trilode.llm.common import crc_mod, new_folder, stored, table
 
 
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,6 +41,46 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("lang_score").alias("score"))
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three batches over all documents: every document comes in; texts under five words go; counts
+    are revised where an address is taken out of a text. The last batch is committed twice."""
+    docs = table(spark, sf_dir, "documents").withColumn(
+        "cut", F.regexp_replace("text", r"[^\x20\x09-\x0D]+@[^\x20\x09-\x0D]+", ""))
+    counts = stored(docs.select(
+        "source", "lang", token_counts.rule_counts("text").alias("counts"),
+        F.when(F.col("cut") != F.col("text"), token_counts.rule_counts("cut")).alias("revised"),
+    ), "document-counts")
+    short = F.col("counts.words-1") < 5
+    gone = counts.where(short)
+    changed = counts.where(~short & F.col("revised").isNotNull())
+    change = token_counts.revisions(
+        token_counts.by_version(changed, "counts"), token_counts.by_version(changed, "revised"))
+    folder = new_folder(spark, "token-counts")
+    token_counts.commit(
+        token_counts.inserts(token_counts.by_version(counts, "counts")), folder, 1)
+    token_counts.commit(token_counts.deletes(token_counts.by_version(gone, "counts")), folder, 2)
+    for _ in range(2):
+        token_counts.commit(change, folder, 3)
+    return token_counts.totals(spark, folder)
+
+
+OP4_SQL = r"""
+WITH d AS (
+    SELECT source, lang, coalesce(text, '') AS text,
+        regexp_replace(coalesce(text, ''), '[^\x20\x09-\x0D]+@[^\x20\x09-\x0D]+', '', 'g') AS cut
+    FROM documents),
+k AS (SELECT * FROM d WHERE len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) >= 5),
+t AS (
+    SELECT source, lang, 'words-1' AS tokenizer,
+        len(regexp_extract_all(cut, '[^\x20\x09-\x0D]+')) AS tokens FROM k
+    UNION ALL
+    SELECT source, lang, 'pieces-1',
+        len(regexp_extract_all(cut, '\p{L}+|\p{N}|[^\p{L}\p{N}\x20\x09-\x0D]')) FROM k)
+SELECT source, lang, tokenizer, count(*) AS docs, CAST(sum(tokens) AS BIGINT) AS tokens
+FROM t GROUP BY source, lang, tokenizer
+"""
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
@@ -131,6 +182,37 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (score >= 0.7).cast("int").alias("predicted"))
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents")).select(
+        "doc_id", "license", "containment")
+
+
+# Every window of every size class, without bands.
+OP9_SQL = r"""
+WITH l AS (
+    SELECT license, CAST(pow(2, ceil(log2(greatest(len(w), 4)))) AS BIGINT) AS c,
+        list_distinct([array_to_string(w[i:i + 2], ' ') FOR i IN range(1, len(w) - 1)]) AS s
+    FROM (SELECT license, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'),
+              lambda x: x <> '') AS w
+          FROM (VALUES {templates}) AS v(license, text))),
+d AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')),
+        '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM documents),
+p AS (
+    SELECT doc_id, i, array_to_string(w[i + 1:i + 3], ' ') AS g
+    FROM (SELECT doc_id, w, unnest(range(len(w) - 2)) AS i FROM d)),
+q AS (SELECT license, c, len(s) AS n, unnest(s) AS g FROM l),
+h AS (
+    SELECT DISTINCT doc_id, license, n, g, i // c - k AS o
+    FROM p JOIN q USING (g), range(2) AS x(k)
+    WHERE i // c - k >= 0 AND i + 3 <= (i // c - k) * c + 2 * c)
+SELECT doc_id, license, max(CAST(m AS DOUBLE) / n) AS containment
+FROM (SELECT doc_id, license, n, o, count(*) AS m FROM h GROUP BY ALL)
+GROUP BY doc_id, license HAVING containment >= 0.8
+""".replace("{templates}", ", ".join(
+    f"('{name}', '{text}')" for name, text in sorted(licenses.TEMPLATES.items())))
+
+
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.matches(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -173,15 +255,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_packing": op2_packing,
     "op3_language_id": op3_language_id,
+    "op4_token_counts": op4_token_counts,
     "op5_warc": op5_warc,
     "op6_host_quality": op6_host_quality,
     "op7_pii_spans": op7_pii_spans,
     "op8_toxicity": op8_toxicity,
+    "op9_license_scan": op9_license_scan,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
     "pipeline": corpus_pipeline.run,
 }
 ORACLES: dict[str, str] = {
+    "op4_token_counts": OP4_SQL,
     "op5_warc": OP5_SQL,
     "op6_host_quality": OP6_SQL,
+    "op9_license_scan": OP9_SQL,
     "op10_benchmark_decontamination": OP10_SQL,
 }
