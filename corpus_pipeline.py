@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 from trilode.llm import decontaminate, langid, packing, pii, simhash
 from trilode.llm.common import stored, table
 
-# A text is rejected when its best language explains it a hundred times worse than evenly spread
-# letters do; short clean texts stay well above.
-LEAST_SCORE = 0.01
+# A text is rejected when its best language explains it a million times worse than the background
+# model does; clean texts of a single rare word stay above.
+LEAST_SCORE = 1e-6
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,0 +1,44 @@
+"""Every numbered query: against its SQL twin, or against what its contract fixes."""
+
+import pytest
+from helpers import plan
+from oracle import connect, difference
+
+from trilode.llm.queries import ORACLES, QUERIES
+
+NATIVE = ("op6_host_quality", "op9_license_scan", "op10_benchmark_decontamination")
+COLUMNS = {
+    "op1_simhash_near_dedup": "doc_id bigint, fingerprint string, component_id bigint",
+    "op2_packing": "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint,"
+    " sequence_id bigint, offset bigint",
+    "op3_language_id": "doc_id bigint, held_out boolean, lang_pred string, score double",
+    "op7_pii_spans": "doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint,"
+    " base_sha256 string, spans string",
+    "op8_toxicity": "doc_id bigint, held_out boolean, score double, predicted int",
+}
+
+
+@pytest.fixture(scope="module")
+def con(sf_dir):
+    return connect(sf_dir)
+
+
+def test_all_are_registered():
+    numbers = sorted(int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op"))
+    assert numbers == list(range(1, 11)) and "pipeline" in QUERIES
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_same_rows_as_sql(spark, sf_dir, con, name):
+    df = QUERIES[name](spark, sf_dir)
+    text = plan(df, "simple")
+    assert "CartesianProduct" not in text and "NestedLoop" not in text
+    if name in NATIVE:
+        assert not [node for node in ("Python", "Arrow", "Pandas", "MapIn") if node in text]
+    assert difference(df, con, ORACLES[name]) is None
+
+
+@pytest.mark.parametrize("name", sorted(COLUMNS))
+def test_columns(spark, sf_dir, name):
+    df = QUERIES[name](spark, sf_dir)
+    assert ", ".join(f"{n} {t}" for n, t in df.dtypes) == COLUMNS[name]

@@ -1,0 +1,106 @@
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from trilode.llm import packing
+
+TOKENIZER = packing._tokenizer(None)
+ODD = [*"abcDEFIKé'!?.19,;:#*$%&|-ÅÉİ…»", "\t", "\n", "\x1c", "\x85", "\xa0", "́", "　",
+       "\U0001f600", "'s", "'LL", "<|endoftext|>", "<|ENDOFTEXT|>", " "]
+
+
+def ids(text):
+    return TOKENIZER.encode(text or "", add_special_tokens=False).ids + [packing.END_ID]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(ODD), max_size=40).map("".join), max_size=4))
+def test_words_are_encoded_as_in_the_whole_text(texts):
+    got = packing.Encoder().batch([t.encode() for t in texts])
+    assert [np.frombuffer(b, "<u4").tolist() for b in got] == [ids(t)[:-1] for t in texts]
+
+
+def check(rows, texts, length):
+    """Every token once, checksums right, sequences gapless; the number of padding tokens."""
+    by_text, sequences, padding = defaultdict(list), defaultdict(list), 0
+    for r in rows:
+        by_text[r.doc_id].append(r)
+        sequences[r.sequence_id].append(r)
+    for doc_id, text in texts.items():
+        want, at = ids(text), 0
+        for r in sorted(by_text.pop(doc_id), key=lambda r: r.start):
+            part = np.array(want[r.start:r.start + r.length], "<u4")
+            assert (r.start, r.doc_tokens, r.ids_crc32) == (at, len(want), zlib.crc32(part.tobytes()))
+            if "ids" in r:
+                assert r.ids == part.tolist()
+            at += r.length
+        assert at == len(want)
+    assert not by_text
+    for pieces in sequences.values():
+        at = 0
+        for r in sorted(pieces, key=lambda r: r.offset):
+            assert r.offset == at and r.length > 0
+            at += r.length
+        assert at <= length
+        padding += length - at if at & (at - 1) else 0
+    return padding
+
+
+@pytest.mark.parametrize("with_ids", [False, True])
+def test_round_trip(docs, with_ids):
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    rows = packing.pack(docs, with_ids=with_ids).collect()
+    assert check(rows, texts, 2048) <= 2 * 2048
+
+
+def test_small_groups_and_sequences(docs):
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    rows = packing.pack(docs, length=256, group_tokens=4096, slack=0.02).collect()
+    total = sum(r.length for r in rows)
+    assert check(rows, texts, 256) < 0.1 * total
+
+
+def test_odd_rows(odd, none):
+    rows = packing.pack(odd).collect()
+    per_row = [len(ids(r.text)) for r in odd.collect()]
+    assert sum(r.length for r in rows) == sum(per_row)
+    assert sum(r.length for r in rows if r.doc_id is None) == 1 + len(ids("no id but a text of five words"))
+    assert [r.length for r in rows if r.doc_id in (1, 2, 3)] == [1, 1, 1]
+    assert sum(r.length for r in rows if r.doc_id == 8) == 2 * len(
+        ids("the same row twice over and over"))
+    assert packing.pack(none).count() == 0
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(1, 63), min_size=1, max_size=200), st.sampled_from([1, 8]))
+def test_assign(lengths, grid):
+    placed = packing.assign(np.array(lengths), 64, slack=0.0, grid=grid)
+    parts, room = defaultdict(list), defaultdict(int)
+    for item, a, b, sequence in placed:
+        parts[item].append((a, b))
+        room[sequence] += b - a
+    for item, n in enumerate(lengths):
+        at = 0
+        for a, b in sorted(parts[item]):
+            assert a == at and b > a and (b == n or b % grid == 0)
+            at = b
+        assert at == n
+    assert max(room.values()) <= 64
+    if grid == 1:
+        assert len(room) <= max(1, -(-sum(lengths) // 64))
+
+
+def test_cheapest_sequence_is_taken():
+    placed = packing.assign(np.array([60, 30, 30, 20, 20]), 64, slack=0.5)
+    where = {item: s for item, _, _, s in placed}
+    assert where[0] not in (where[1], where[2], where[3], where[4])
+    assert where[1] != where[2]
+
+
+@given(st.binary(max_size=300), st.binary(max_size=300))
+def test_joined_checksum(a, b):
+    assert packing._join_crc(zlib.crc32(a), (zlib.crc32(b), len(b))) == zlib.crc32(a + b)

@@ -26,15 +26,14 @@ UND = "und"
 TRAIN_DOCS = 4000
 TRAIN_WORDS = 50_000
 ROUNDS = 2
-SMOOTHING = 0.1
+# Share of each language's probability that is spread evenly over all pieces.
+SMOOTHING = 0.001
 MAX_WORD = 64
 CACHE_WORDS = 500_000
 # Characters of text whose new words are scored together.
 CHUNK = 1 << 20
 SCALE = np.log(64)
 BASE = 1_000_003
-# What an unknown letter costs in the background model, which stands for "none of these".
-BACKGROUND = np.log(1 / 64)
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -48,7 +47,7 @@ def public_pieces(path: str | None = None) -> list[str]:
         path = public_tokenizers.path("piece_bpe_32k.model")
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     pieces = (model.id_to_piece(i).lower() for i in range(model.get_piece_size()))
-    return sorted({p for p in pieces if re.fullmatch(r"▁?[^\W\d_]+", p)})
+    return sorted({p for p in pieces if re.fullmatch(r"▁|▁?[^\W\d_]+", p)})
 
 
 class Arcs(NamedTuple):
@@ -84,7 +83,8 @@ class Trie(NamedTuple):
 
 
 class Model(NamedTuple):
-    """Log-probabilities ``logp[piece, language]``; the last piece is any unknown letter."""
+    """Log-probabilities ``logp[piece, language]``; the last piece is any unknown letter, and the last
+    column is a background model of even probabilities, which stands for none of the languages."""
 
     langs: tuple[str, ...]
     trie: Trie
@@ -126,7 +126,7 @@ class Model(NamedTuple):
         factor of ``SCALE`` per letter that keeps it within the range of a double."""
         top = int(arcs.length.max(initial=0))
         prob = self.scaled()
-        alpha = np.zeros((arcs.words, top + 1, len(self.langs)))
+        alpha = np.zeros((arcs.words, top + 1, len(self.langs) + 1))
         alpha[:, 0] = 1.0
         for end in range(1, top + 1):
             at = slice(arcs.bounds[end], arcs.bounds[end + 1])
@@ -140,17 +140,16 @@ class Model(NamedTuple):
         return np.exp(self.logp + self.length[:, None] * SCALE)
 
     def word_scores(self, words: list[str]) -> np.ndarray:
-        """Log-probability of each word in each language and in the background model; a word of more than ``MAX_WORD`` letters
+        """Log-probability of each word in each language and in the background; a word of more than ``MAX_WORD`` letters
         is scored piecewise in runs of that length."""
         runs = [[w[i:i + MAX_WORD] for i in range(0, len(w), MAX_WORD)] for w in words]
         flat = [r for parts in runs for r in parts]
         out = np.zeros((len(words), len(self.langs) + 1))
-        out[:, -1] = [(len(w) + 1) * BACKGROUND for w in words]
         owner = np.repeat(np.arange(len(words)), [len(p) for p in runs])
         for i in range(0, len(flat), 20_000):
             arcs = self.arcs(flat[i:i + 20_000])
             whole = self.forward(arcs)[np.arange(arcs.words), arcs.length]
-            np.add.at(out[:, :-1], owner[i:i + 20_000], np.log(whole) - arcs.length[:, None] * SCALE)
+            np.add.at(out, owner[i:i + 20_000], np.log(whole) - arcs.length[:, None] * SCALE)
         return out
 
 
@@ -161,18 +160,21 @@ def fit_model(counts: Iterable[tuple[str, str, int]], pieces: list[str],
     langs = tuple(sorted({lang for lang, _, _ in rows}))
     words = sorted({w[:MAX_WORD] for _, w, _ in rows})
     at = {w: i for i, w in enumerate(words)}
-    weight = np.zeros((len(words), len(langs)))
+    weight = np.zeros((len(words), len(langs) + 1))
     for lang, word, n in rows:
         weight[at[word[:MAX_WORD]], langs.index(lang)] += n
     model = Model(langs, Trie.of(pieces), np.array([*map(len, pieces), 1]),
-                  np.full((len(pieces) + 1, len(langs)), -np.log(len(pieces) + 1.0)))
+                  np.full((len(pieces) + 1, len(langs) + 1), -np.log(len(pieces) + 1.0)))
     parts = [(model.arcs(words[i:i + 20_000]), weight[i:i + 20_000])
              for i in range(0, len(words) if langs else 0, 20_000)]
     for _ in range(rounds if langs else 0):
-        expected = np.full_like(model.logp, SMOOTHING)
+        expected = np.zeros_like(model.logp)
         for arcs, counted in parts:
             expected += _expected(arcs, model.forward(arcs), model.scaled(), counted)
-        model = model._replace(logp=np.log(expected / expected.sum(axis=0)))
+        share = expected[:, :-1] / expected[:, :-1].sum(axis=0)
+        logp = model.logp.copy()
+        logp[:, :-1] = np.log((1 - SMOOTHING) * share + SMOOTHING / len(share))
+        model = model._replace(logp=logp)
     return model
 
 
@@ -248,7 +250,7 @@ class Scorer:
         return out
 
     def one(self, text: str | None) -> tuple[str, float]:
-        """The likeliest language and its share against all others and the background model."""
+        """The likeliest language and its share against all others and the background."""
         if not self.model.langs:
             return UND, 0.0
         found = (m[0] for m in _WORD.finditer(text.lower())) if text else iter(())
@@ -271,8 +273,8 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", lang_col: str
     """``docs`` with the predicted language and a score from 0 to 1.
 
     A text that is null or has no letter gets ``und`` and 0, as does every text if no language was
-    learned. The score is the probability against the other languages and a background model of
-    evenly spread letters, so it is near 0 for letters of a script none of them uses. Ties go to
+    learned. The score is the probability against the other languages and the background model, so
+    it is near 0 for texts of a script none of them uses. Ties go to
     the first language by name. Other columns pass through; columns with the names of the two new
     ones are replaced.
     """
