@@ -1,0 +1,164 @@
+"""Host rules, license scans and decontamination on small tables."""
+
+from functools import reduce
+
+from pyspark.sql import functions as F
+
+from trilode.llm import decontaminate, host_rules, licenses
+
+ITEM = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi"
+
+
+def measures(spark, *texts):
+    df = spark.createDataFrame([(i, t, "h") for i, t in enumerate(texts)],
+                               "doc_id bigint, text string, source string")
+    return [r.asDict() for r in host_rules.measures(df).orderBy("doc_id").collect()]
+
+
+def test_measures(spark):
+    got = measures(spark, "a b c a b c", "x", None, " \n\t", "a b a b a b a", "p q r s\np q r s\n\n\np",
+                   "é# $|\U0001f600\x1c", "a b c x a b c d a b c")
+    assert [r["n_words"] for r in got] == [6, 1, 0, 0, 7, 9, 2, 11]
+    assert [r["n_repeat_words"] for r in got] == [6, 0, 0, 0, 7, 9, 0, 9]
+    assert [r["word_chars"] for r in got] == [6, 1, 0, 0, 7, 9, 6, 11]
+    assert [r["n_dup_lines"] for r in got] == [0, 0, 0, 0, 0, 1, 0, 0]
+    assert [r["n_symbols"] for r in got] == [0, 0, 0, 0, 0, 0, 3, 0]
+    assert got[6]["n_words"] == 2
+
+
+def plain_repeats(text):
+    words = text.split()
+    windows = [tuple(words[i:i + 3]) for i in range(len(words) - 2)]
+    return len({i + k for i, w in enumerate(windows) if windows.count(w) > 1 for k in range(3)})
+
+
+def test_repeats_against_brute_force(spark):
+    texts = [" ".join("ab"[(i * i * k // 7) % 2] + str(i % (k + 2)) for i in range(3 * k))
+             for k in range(1, 40)]
+    assert [r["n_repeat_words"] for r in measures(spark, *texts)] == [plain_repeats(t) for t in texts]
+
+
+def test_bad_host_takes_its_good_documents_along(spark):
+    good = " ".join(f"word{i}" for i in range(60))
+    rows = [(i, good if i % 20 == 0 else "short", "bad") for i in range(100)]
+    rows += [(100 + i, "short" if i % 20 == 0 else good, "fine") for i in range(400)]
+    rows += [(500, "short", "tiny"), (501, good, "fine2"), (502, good, None)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    got = {r.doc_id: r for r in host_rules.verdicts(df).collect()}
+    assert not got[0].base_failed and got[0].host_failed and not got[0].kept
+    assert got[101].kept and not got[100].kept and not got[100].host_failed
+    assert got[501].kept and got[502].kept and len(got) == len(rows)
+
+
+def test_shrinking(spark):
+    rows = [(f"h{h}", 100, f) for h, f in enumerate([10, 20, 30, 40])] + [("one", 1, 1)]
+    df = reduce(lambda a, b: a.union(b), [
+        spark.range(n).selectExpr(
+            f"'{h}' AS host", f"IF(id < {f}, 1L, 99L) AS n_words", "0L AS n_repeat_words",
+            "0L AS n_symbols", "1L AS n_lines", "0L AS n_dup_lines") for h, n, f in rows])
+    rates = {r.host: r.base_rate for r in host_rules.host_rates(df).collect()}
+    mean = 101 / 401
+    assert mean < rates["one"] < 1 and abs(rates["h0"] - 0.1) < abs(rates["one"] - 1)
+
+
+def test_host_rules_odd_rows(odd, none):
+    rows = host_rules.verdicts(odd).collect()
+    assert len(rows) == odd.count()
+    assert all(r.base_failed for r in rows if r.doc_id in (1, 2, 3))
+    assert {r.n_words for r in rows if r.doc_id in (6, 7)} == {60_000}
+    assert host_rules.verdicts(none).count() == 0
+
+
+def benchmark(spark, *texts):
+    return spark.createDataFrame(list(enumerate(texts)), "item_id bigint, text string")
+
+
+def found(docs, items, **options):
+    return {(r.doc_id, r.item_id): round(r.similarity, 3)
+            for r in decontaminate.matches(docs, items, **options).collect()}
+
+
+def texts(spark, *rows):
+    return spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string")
+
+
+def test_decontamination(spark):
+    words = ITEM.split()
+    items = benchmark(spark, ITEM, ITEM + " rho sigma tau upsilon phi chi psi omega", "two words", "",
+                      None, "one", ITEM.upper() + "!")
+    docs = texts(
+        spark, "before it " + ITEM.upper() + " after it", "## ".join(words), " ".join(words[:8]),
+        "x " + " ".join(words[1:]), "so: two words, here", "nothing of it", None, "",
+        " ".join(words[:15] + ["changed"]), "one", ITEM + " " + ITEM)
+    got = found(docs, items)
+    assert {k: v for k, v in got.items() if k[1] == 0} == {
+        (0, 0): 1.0, (1, 0): 1.0, (3, 0): 0.846, (8, 0): 0.846, (10, 0): 1.0}
+    assert {k for k in got if k[1] == 1} == set()
+    assert {k for k in got if k[1] in (2, 5)} == {(4, 2), (9, 5)}
+    assert {k for k in got if k[1] == 6} == {(d, 6) for d, i in got if i == 0}
+
+
+def test_decontamination_weighs_repeats(spark):
+    item = "a a a a a a a a a b c d e f"
+    docs = texts(spark, item, "a a a a a b c d e f", "a " * 30 + "b c d e f")
+    assert found(docs, benchmark(spark, item)) == {(0, 0): 1.0, (2, 0): 1.0}
+
+
+def test_decontamination_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", 8)
+    items = benchmark(spark, ITEM, " ".join(reversed(ITEM.split())), "two words")
+    docs = texts(spark, ITEM, " ".join(reversed(ITEM.split())), "or two words", "else")
+    assert set(found(docs, items)) == {(0, 0), (1, 1), (2, 2)}
+
+
+def test_blocks_share_one_within_the_radius():
+    for radius in (0, 3, decontaminate.RADIUS):
+        masks = [m % 2**64 for m in decontaminate.block_masks(radius)]
+        assert len(masks) == radius + 1 and sum(masks) == 2**64 - 1
+        apart = sum(m & -m for m in masks[:radius])  # one differing bit in all blocks but one
+        assert any(not apart & m for m in masks)
+
+
+def test_simhash_bits(spark):
+    values = [5, -1, 2**62, -2**63, 7]
+    row = spark.createDataFrame([(values,)], "h array<bigint>").select(
+        decontaminate.simhash("h").alias("fp")).first()
+    want = sum(1 << b for b in range(64) if 2 * sum(v % 2**64 >> b & 1 for v in values) > 5)
+    assert row.fp % 2**64 == want
+
+
+def test_decontamination_odd_rows(spark, odd, none):
+    items = benchmark(spark, "no id but a text of five words", "one id and two texts here now", None)
+    got = decontaminate.matches(odd, items).collect()
+    assert sorted((r.doc_id or 0, r.item_id) for r in got) == [(0, 0), (9, 1)]
+    kept = decontaminate.without_matches(odd, items)
+    assert kept.columns == odd.columns and kept.count() == odd.count() - 2
+    assert kept.where("doc_id = 9").count() == 1 and kept.where("doc_id IS NULL").count() == 1
+    assert decontaminate.matches(none, items).count() == 0
+    assert decontaminate.matches(odd, items.limit(0)).count() == 0
+    assert decontaminate.without_matches(odd, items.limit(0)).count() == odd.count()
+
+
+def test_every_notice_is_found(spark):
+    filler = [" ".join(f"w{i}x{k}" for i in range(k)) for k in range(0, 90, 7)]
+    rows = [(name, f"{f} {notice.upper()} and more") for name, notice in licenses.TEMPLATES.items()
+            for f in filler] + [("none", "no notice at all")]
+    docs = texts(spark, *(text for _, text in rows))
+    hit = {(r.doc_id, r.license) for r in licenses.scan(docs).collect() if r.containment == 1}
+    assert {(i, name) for i, (name, _) in enumerate(rows) if name != "none"} <= hit
+    assert len(rows) - 1 not in {i for i, _ in hit}
+
+
+def test_license_containment(spark):
+    notice = licenses.TEMPLATES["mit-permission"]
+    words = notice.split()
+    docs = texts(spark, " ".join(words[:-3]), " ".join(words[:14]), None, "")
+    got = {r.doc_id: r.containment for r in licenses.scan(docs).collect()}
+    assert set(got) == {0} and 0.8 <= got[0] < 1
+
+
+def test_license_odd_rows(odd, none):
+    notice = licenses.TEMPLATES["mit"]
+    more = odd.union(odd.where("doc_id = 8").withColumn("text", F.lit(f"x {notice}")))
+    assert [(r.doc_id, r.license) for r in licenses.scan(more).collect()] == [(8, "mit")]
+    assert licenses.scan(none).count() == 0 and licenses.scan(odd, {}).count() == 0

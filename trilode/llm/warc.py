@@ -238,7 +238,7 @@ def write(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str =
         def flush() -> None:
             name = posixpath.join(path, f"part-{part:06d}-{number:05d}{SUFFIX}")
             attempt = f"{name}.{TaskContext.get().taskAttemptId()}.tmp"
-            with store.open_output_stream(attempt) as out:
+            with store.open_output_stream(attempt, compression=None) as out:
                 out.write(archive(waiting))
             store.move(attempt, name)
 
