@@ -25,6 +25,7 @@ from trilode.sources.queries import (
     jdbc_options,
     partition_options,
     split_window,
+    unmarked_rows,
 )
 from trilode.spec import CatalogSource, DatabaseSource, EventSource, FileSource, IncrementSpec
 
@@ -131,7 +132,7 @@ class Session:
 
 
 DB = DatabaseSource(
-    "SELECT * FROM source_table WHERE processed = false", url="jdbc:postgresql://h/d",
+    "SELECT id, fee FROM loans WHERE open", url="jdbc:postgresql://h/d",
     user="u", password="secret", fetch_size=500, partition_column="id", num_partitions=4,
     lower_bound="0", upper_bound="1000",
 )
@@ -143,7 +144,7 @@ def test_jdbc_read_options(monkeypatch):
     assert read_query(Session(), DB) == {
         "format": "jdbc", "url": "jdbc:postgresql://h/d", "user": "u", "password": "secret",
         "driver": "org.postgresql.Driver", "fetchsize": "500",
-        "dbtable": "(SELECT * FROM source_table WHERE processed = false) AS source",
+        "dbtable": "(SELECT id, fee FROM loans WHERE open) AS source",
         "partitionColumn": "id", "lowerBound": "0", "upperBound": "1000", "numPartitions": "4",
     }
 
@@ -203,12 +204,13 @@ def day(n):
 def test_increments(spark, root):
     control, out = f"{root}/control", f"{root}/bronze"
     feed(spark, [(day(1), 1), (day(2), 2), (None, 9)])
-    assert load_increment(spark, source(), control, out) == 2
+    assert load_increment(spark, source(), control, out) == 3  # with the row that has no mark
     assert load_increment(spark, source(), control, out) == 0
-    feed(spark, [(day(1), 1), (day(2), 2), (day(3), 3), (day(2), 4)])
+    feed(spark, [(day(1), 1), (day(2), 2), (day(3), 3), (day(2), 4), (None, 9), (None, 8)])
     assert load_increment(spark, source(), control, out) == 1
+    assert unmarked_rows(spark, source()) == 2
     bronze = spark.read.parquet(out)
-    assert unordered(bronze.select("v")) == [(1,), (2,), (3,)]
+    assert unordered(bronze.select("v")) == [(1,), (2,), (3,), (9,)]
     assert {"ingestion_timestamp", "source_query", "loaded_after"} <= set(bronze.columns)
     assert spark.read.parquet(control).count() == 2
 

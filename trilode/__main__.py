@@ -12,13 +12,14 @@ from pyspark.sql import SparkSession
 from trilode.plans.config import flow_from_config
 from trilode.plans.domains import DOMAINS
 from trilode.plans.run import run
-from trilode.spec import LAYERS
+from trilode.spec import LAYERS, FileSource
 
 
 def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="trilode", description=__doc__)
     parser.add_argument("--domain", choices=sorted(DOMAINS), default="sales")
     parser.add_argument("--config", help="JSON file with a flow, instead of a ready-made one")
+    parser.add_argument("--overrides", help="JSON file with blocks that replace those of the config")
     parser.add_argument("--root", help="folder or URI that holds the layers")
     parser.add_argument("--input", help="source path, instead of the flow's own")
     parser.add_argument("--layer", action="append", choices=LAYERS, help="may be repeated")
@@ -35,15 +36,22 @@ def chosen_layers(args: argparse.Namespace) -> list[str]:
     return flagged[:1] or list(LAYERS)
 
 
+def loaded(path: str) -> dict:
+    with open(path, encoding="utf-8") as text:
+        return json.load(text)
+
+
 def main(argv: list[str] | None = None) -> int:
     args = parse(argv)
     spark = SparkSession.builder.appName("trilode").getOrCreate()
     if args.config:
-        with open(args.config, encoding="utf-8") as text:
-            flow = flow_from_config(json.load(text), root=args.root)
+        overrides = loaded(args.overrides) if args.overrides else None
+        flow = flow_from_config(loaded(args.config), overrides, root=args.root)
     else:
         flow = DOMAINS[args.domain](args.root or "data")
     if args.input:
+        if not isinstance(flow.source, FileSource):
+            raise SystemExit("--input replaces the path of a file source; this flow reads a query")
         flow = flow.override(source=replace(flow.source, path=args.input))
     results = run(spark, flow, chosen_layers(args))
     for r in results.values():

@@ -20,8 +20,18 @@ from trilode.sources import (
     with_lineage,
 )
 from trilode.sources.lineage import INGESTED_AT, SOURCE_FILE
+from trilode.sources.samples import (
+    COPY_AT,
+    COPY_EVERY,
+    DAYS,
+    FIRST_DAY,
+    MODULUS,
+    NULL_EVERY,
+    PRODUCTS,
+    REGIONS,
+)
 from trilode.spec import CatalogSource, EventSource, FileSource, IncrementSpec, SinkSpec
-from trilode.streaming import load_arrivals
+from trilode.streaming import load_arrivals, read_arrivals
 
 ORDERS_DDL = (
     "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
@@ -157,7 +167,7 @@ def bronze_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     for part in (events.filter(views), events.filter(~views)):
         write_table(part, drop)
         load_arrivals(spark, source, f"{folder}/bronze", f"{folder}/checkpoint")
-    bronze = read_layer(spark, f"{folder}/bronze").drop(INGESTED_AT)
+    bronze = read_arrivals(spark, source, f"{folder}/bronze").drop(INGESTED_AT)
     return bronze.withColumn("from_csv", F.col(SOURCE_FILE).endswith(".csv")).drop(SOURCE_FILE)
 
 
@@ -176,7 +186,26 @@ def bronze_event_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_layer(spark, f"{folder}/bronze").drop(*LINEAGE)
 
 
-@check()
+def _drawn(draw: int, n: int) -> str:
+    mixed = f"((o_orderkey % {MODULUS}) * 7919 + 42 * 104729 + {draw} * 611953) % {MODULUS}"
+    return f"((({mixed}) * ({mixed}) + ({mixed}) * 31 + 17) % {MODULUS} % {n})"
+
+
+def _picked(names, draw: int) -> str:
+    return f"({list(names)})[{_drawn(draw, len(names))} + 1]"
+
+
+@check(
+    f"""SELECT CAST(CAST('{FIRST_DAY}' AS DATE) + CAST({_drawn(0, DAYS)} AS INT) AS TIMESTAMP)
+               AS transaction_date,
+           CASE WHEN o_orderkey % {NULL_EVERY} <> 0 THEN {_picked(PRODUCTS, 1)} END AS product,
+           {_picked(REGIONS, 2)} AS region,
+           CAST({_drawn(3, 10)} + 1 AS INT) AS quantity,
+           (1000 + {_drawn(4, 99_001)}) / 100 AS unit_price,
+           round((1 + {_drawn(3, 10)}) * ((1000 + {_drawn(4, 99_001)}) / 100), 2) AS total_amount
+        FROM (SELECT o_orderkey FROM orders UNION ALL
+              SELECT o_orderkey FROM orders WHERE o_orderkey % {COPY_EVERY} = {COPY_AT})"""
+)
 def samples_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Synthetic sales for the order keys; hashed values have no SQL twin."""
+    """Synthetic sales for the order keys."""
     return sales_rows(table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id")))

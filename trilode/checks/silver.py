@@ -10,7 +10,15 @@ from pyspark.sql import functions as F
 from trilode import functions as T
 from trilode.checks.dirt import CUSTOMERS, EVENTS, ORDERS, SALES, WEB_LOGS, dirty
 from trilode.checks.registry import check, table
-from trilode.operators import apply_rules, clean, dedup, drop_nulls, fill_nulls, fix_types
+from trilode.operators import (
+    apply_rules,
+    clean,
+    dedup,
+    drop_nulls,
+    fill_nulls,
+    fix_types,
+    union_all,
+)
 from trilode.operators import select_columns
 from trilode.plans.domains import SALES_CLEANING, WEB_LOG_CLEANING
 from trilode.spec import CleaningSpec, RuleSpec
@@ -28,11 +36,15 @@ def silver_null_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @check(
-    f"""SELECT event_id, coalesce(value, 0) AS value, coalesce(kind, 'PENDING') AS kind
+    f"""SELECT event_id, CASE WHEN event_id % 9 = 0 THEN 0 ELSE coalesce(value, 0) END AS value,
+               coalesce(kind, 'PENDING') AS kind
         FROM ({EVENTS}) e"""
 )
 def silver_null_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = dirty(spark, sf_dir, EVENTS).select("event_id", "value", "kind")
+    """NULLs of two columns, and NaN in one of them for every ninth event."""
+    events = dirty(spark, sf_dir, EVENTS).select(
+        "event_id", F.when(F.col("event_id") % 9 == 0, F.lit("NaN").cast("double"))
+        .otherwise(F.col("value")).alias("value"), "kind")
     return fill_nulls(events, {"value": "0", "kind": "'PENDING'"})
 
 
@@ -134,10 +146,11 @@ def silver_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup(table(spark, sf_dir, "lineitem"), LINE_KEY, LINE_ORDER)
 
 
-@check("SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem")
+@check("SELECT * FROM orders")
 def silver_dedup_any(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """An arbitrary survivor, so only the key can be compared."""
-    return dedup(table(spark, sf_dir, "lineitem"), LINE_KEY).select(*LINE_KEY)
+    """An arbitrary survivor of whole rows; copies are exact, so that all columns can be compared."""
+    orders = table(spark, sf_dir, "orders")
+    return dedup(union_all(orders, orders.where("o_orderkey % 100 = 7")), ["o_orderkey"])
 
 
 SALES_ORDER = ("quantity", "region")

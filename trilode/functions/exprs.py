@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -13,17 +14,28 @@ def as_column(expr: Expr) -> Column:
     return F.expr(expr) if isinstance(expr, str) else expr
 
 
+# A plain, dotted or quoted column name, a direction, and where NULLs go.
+_SORT_ITEM = re.compile(
+    r"\s*(?:'(?P<quoted>[^']+)'|(?P<name>(?:`(?:[^`]|``)+`|\w+)(?:\.(?:`(?:[^`]|``)+`|\w+))*))"
+    r"(?:\s+(?P<way>asc|desc))?(?:\s+nulls\s+(?P<nulls>first|last))?\s*",
+    re.IGNORECASE,
+)
+
+
+def sort_column(item: Expr) -> Column:
+    """``"col [ASC|DESC] [NULLS FIRST|LAST]"``; ascending puts NULLs first, descending last."""
+    if isinstance(item, Column):
+        return item
+    parts = _SORT_ITEM.fullmatch(item)
+    if not parts:
+        raise ValueError(f"not a sort item: {item!r}")
+    down = (parts["way"] or "").lower() == "desc"
+    last = parts["nulls"].lower() == "last" if parts["nulls"] else down
+    column = F.col(parts["name"] or parts["quoted"])
+    if down:
+        return column.desc_nulls_last() if last else column.desc_nulls_first()
+    return column.asc_nulls_last() if last else column.asc_nulls_first()
+
+
 def sort_columns(sort: Sequence[Expr]) -> list[Column]:
-    """``"col [ASC|DESC]"`` items; ascending puts NULLs first, descending last."""
-    columns = []
-    for item in sort:
-        if isinstance(item, Column):
-            columns.append(item)
-            continue
-        name, *direction = item.split()
-        word = direction[0].upper() if direction else "ASC"
-        if len(direction) > 1 or word not in ("ASC", "DESC"):
-            raise ValueError(f"not a sort item: {item!r}")
-        column = F.col(name.strip("'"))
-        columns.append(column.desc() if word == "DESC" else column.asc())
-    return columns
+    return [sort_column(item) for item in sort]

@@ -75,10 +75,17 @@ def drop_nulls(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return reduce(lambda d, c: d.filter(present(d, c)), columns, df)
 
 
+def _given(df: DataFrame, column: str) -> Column:
+    if isinstance(type_of(df, column), (T.DoubleType, T.FloatType)):
+        return F.nanvl(F.col(column), F.lit(None).cast(type_of(df, column)))
+    return F.col(column)
+
+
 def fill_nulls(df: DataFrame, defaults: Mapping[str, Expr]) -> DataFrame:
-    """Put a default, given as a SQL literal, for NULL; the column keeps its type."""
+    """Put a default, given as a SQL literal, for NULL and, in a floating-point column, for NaN; the
+    column keeps its type."""
     filled = {
-        name: F.coalesce(F.col(name), as_column(default).cast(type_of(df, name)))
+        name: F.coalesce(_given(df, name), as_column(default).cast(type_of(df, name)))
         for name, default in defaults.items()
     }
     return df.withColumns(filled) if filled else df
@@ -95,11 +102,13 @@ def dedup(df: DataFrame, keys: Sequence[str], order: Sequence[Expr] = ()) -> Dat
     Without ``order`` an arbitrary row survives. With it the first row in that order survives.
     Either way copies are thinned out before the shuffle, so a key with very many copies sends one
     row per input partition. Both plans sort by key; a hash in front of the key makes nearly every
-    comparison one of two integers, whatever the key consists of.
+    comparison one of two integers, whatever the key consists of. Keys with a collation stay out of
+    the hash, as equal ones can have different bytes.
     """
     if not keys:
         return df
-    hashed = df.withColumn(KEY_HASH, F.xxhash64(*keys))
+    plain = [k for k in keys if "collate" not in type_of(df, k).simpleString()]
+    hashed = df.withColumn(KEY_HASH, F.xxhash64(*plain) if plain else F.lit(0))
     if not order:
         return hashed.dropDuplicates([KEY_HASH, *keys]).drop(KEY_HASH)
     first = Window.partitionBy(KEY_HASH, *keys).orderBy(*[as_column(o) for o in order])

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from typing import Any
 
+from trilode.functions.column_text import as_sql
 from trilode.spec import (
     AggSpec,
     CleaningSpec,
@@ -22,12 +23,31 @@ from trilode.spec import (
     Source,
 )
 
-# The keys and words a config mapping uses.
+# The keys and words a config mapping uses, and the defaults of the source blocks below.
 REQUIRED = (
     "business_domain", "bronze_table_name", "silver_table_name", "gold_table_name",
     "cleaning_rules", "aggregations",
 )
 SOURCE_TYPES = ("file", "event", "database")
+EVENT_MODES = ("stream", "prefix")
+GOLD_FORMATS = ("parquet", "orc", "csv", "json", "bigquery")
+SOURCE_KEYS = (
+    "type", "environment", "format", "path", "options", "s3_bucket", "s3_prefix", "s3_suffix",
+    "event_type", "gcs_bucket", "gcs_prefix", "gcs_suffix", "pubsub_topic", "database",
+    "mode", "max_files_per_trigger", "archive_dir",
+)
+DATABASE_KEYS = (
+    "connection", "query", "incremental", "batch_size", "name", "partition_column",
+    "num_partitions", "lower_bound", "upper_bound",
+)
+CLEANING_KEYS = (
+    "null_drop_columns", "null_fill_columns", "deduplication_columns", "deduplication_order",
+    "validation_rules", "data_type_fixes",
+)
+OUTPUT_KEYS = (
+    "type", "expression", "alias", "description", "aggregations", "group_by", "date_column",
+    "grain", "sort",
+)
 ENVIRONMENTS = ("offline", "aws", "gcp")
 
 # Per environment: URI scheme and the prefix of the bucket keys.
@@ -48,13 +68,15 @@ def flow_from_config(
     config: Mapping[str, Any],
     overrides: Mapping[str, Any] | None = None,
     root: str | None = None,
-    declare_schema: bool = False,
+    declare_schema: bool = True,
 ) -> FlowSpec:
-    """Overrides replace whole top-level blocks. Expressions are Spark SQL strings or Columns.
+    """Overrides replace whole top-level blocks. Expressions are Columns, Spark SQL strings or column
+    text in Python notation, which is translated and never evaluated.
 
     ``root`` defaults to ``data`` offline and to the source bucket in a cloud environment. The
-    schema text is needed by event sources; with ``declare_schema`` file sources use it as well
-    and skip the inference pass.
+    schema text is needed by streams; file sources use it as well and skip the inference pass,
+    unless ``declare_schema`` is off. An event source streams unless its ``mode`` is ``prefix``, which
+    appends the whole prefix on every run. Unknown keys and formats are errors.
     """
     config = {**config, **(overrides or {})}
     missing = [key for key in REQUIRED if key not in config]
@@ -66,6 +88,7 @@ def flow_from_config(
         "path": config.get("source_path", "data/raw/"),
         "options": config.get("source_options", {}),
     }
+    known("source", block, SOURCE_KEYS)
     environment = block.get("environment", "offline")
     if environment not in ENVIRONMENTS:
         raise ValueError(f"unknown environment {environment!r}, expected one of {ENVIRONMENTS}")
@@ -75,11 +98,15 @@ def flow_from_config(
         bronze_table=config["bronze_table_name"],
         silver_table=config["silver_table_name"],
         gold_table=config["gold_table_name"],
-        source=_source(block, environment, config.get("schema_info"), declare_schema),
+        source=_source(
+            block, environment, config.get("schema_info"), declare_schema,
+            config["bronze_table_name"],
+        ),
         cleaning=_cleaning(config["cleaning_rules"]),
         outputs=[_output(name, o) for name, o in config["aggregations"].items()],
         columns=tuple(config.get("available_columns", ())),
         gold_sink=_gold_sink(config),
+        fuse=config.get("fuse", True),
     )
 
 
@@ -87,17 +114,20 @@ def _root(block: Mapping[str, Any], environment: str) -> str:
     if environment == "offline":
         return "data"
     scheme, prefix = BUCKETS[environment]
+    if not block.get(f"{prefix}_bucket"):
+        raise ValueError(f"environment {environment!r} needs {prefix}_bucket or a root")
     return f"{scheme}://{block[f'{prefix}_bucket']}"
 
 
 def _source(
-    block: Mapping[str, Any], environment: str, schema_info: str | None, declare_schema: bool
+    block: Mapping[str, Any], environment: str, schema_info: str | None, declare_schema: bool,
+    name: str,
 ) -> Source:
     kind = block.get("type", "file")
     if kind not in SOURCE_TYPES:
         raise ValueError(f"unknown source type {kind!r}, expected one of {SOURCE_TYPES}")
     if kind == "database":
-        return _database(block.get("database", {}))
+        return _database(block.get("database", {}), name)
     common = {
         "format": block.get("format", "csv"),
         "options": dict(block.get("options", {"header": "true", "inferSchema": "true"})),
@@ -117,10 +147,23 @@ def _source(
             "suffix": block.get(f"{prefix}_suffix"),
             "track_file": True,
         }
-    return EventSource(**landing, **common, schema=schema, streaming=bool(schema))
+    mode = block.get("mode", "stream")
+    if mode not in EVENT_MODES:
+        raise ValueError(f"unknown event mode {mode!r}, expected one of {EVENT_MODES}")
+    return EventSource(
+        **landing, **common, schema=schema, streaming=mode == "stream",
+        max_files_per_trigger=block.get("max_files_per_trigger"),
+        archive_dir=block.get("archive_dir"),
+    )
 
 
-def _database(block: Mapping[str, Any]) -> DatabaseSource:
+def known(what: str, block: Mapping[str, Any], keys: Sequence[str]) -> None:
+    if lost := sorted(set(block) - set(keys)):
+        raise ValueError(f"unknown keys {lost} in {what}, expected some of {sorted(keys)}")
+
+
+def _database(block: Mapping[str, Any], name: str) -> DatabaseSource:
+    known("database", block, DATABASE_KEYS)
     lost = [k for k in ("connection", "query") if k not in block]
     if lost:
         raise ValueError(f"database source lacks {lost}")
@@ -128,6 +171,11 @@ def _database(block: Mapping[str, Any]) -> DatabaseSource:
     step = block.get("incremental", {})
     return DatabaseSource(
         query=block["query"],
+        name=block.get("name", name),
+        partition_column=block.get("partition_column"),
+        num_partitions=block.get("num_partitions", 1),
+        lower_bound=_text(block.get("lower_bound")),
+        upper_bound=_text(block.get("upper_bound")),
         url=link.get("url", ""),
         user=link.get("user", ""),
         password=link.get("password", ""),
@@ -139,23 +187,30 @@ def _database(block: Mapping[str, Any]) -> DatabaseSource:
     )
 
 
+def _text(value: Any) -> str | None:
+    return None if value is None else str(value)
+
+
 def _cleaning(block: Mapping[str, Any]) -> CleaningSpec:
+    known("cleaning_rules", block, CLEANING_KEYS)
     return CleaningSpec(
-        type_fixes=dict(block.get("data_type_fixes", {})),
+        type_fixes={c: as_sql(e) for c, e in block.get("data_type_fixes", {}).items()},
         null_drop=tuple(block.get("null_drop_columns", ())),
         null_fill=dict(block.get("null_fill_columns", {})),
         rules=tuple(
-            RuleSpec(r["column"], r["rule"], r.get("description", ""))
+            RuleSpec(r["column"], as_sql(r["rule"]), r.get("description", ""))
             for r in block.get("validation_rules", ())
         ),
         dedup_keys=tuple(block.get("deduplication_columns", ())),
+        dedup_order=tuple(block.get("deduplication_order", ())),
     )
 
 
 def _output(name: str, block: Mapping[str, Any]) -> Output:
+    known(f"aggregation {name!r}", block, OUTPUT_KEYS)
     kind = block.get("type", "agg")
     if kind == "agg":
-        return MetricSpec(name, block["expression"], block["alias"])
+        return MetricSpec(name, as_sql(block["expression"]), block["alias"])
     if kind != "group_by":
         raise ValueError(f"unknown aggregation type {kind!r} in {name!r}")
     return GroupSpec(
@@ -169,15 +224,23 @@ def _output(name: str, block: Mapping[str, Any]) -> Output:
 
 
 def _gold_sink(config: Mapping[str, Any]) -> SinkSpec:
-    if config.get("gold_output_format", "parquet") != "bigquery":
-        return SinkSpec()
-    warehouse = config["gcp"]["warehouse"]
+    format = config.get("gold_output_format", "parquet")
+    if format not in GOLD_FORMATS:
+        raise ValueError(f"unknown gold_output_format {format!r}, expected one of {GOLD_FORMATS}")
+    warehouse = config.get("gcp", {}).get("warehouse", {})
     layout = warehouse.get("partitioning", {})
+    laid_out = {
+        "format": format,
+        "partition_by": (layout["field"],) if layout.get("enabled") else (),
+        "partition_type": layout.get("type", "DAY"),
+        "cluster_by": tuple(warehouse.get("clustering", ())),
+    }
+    if format != "bigquery":
+        return SinkSpec(**laid_out)
+    if lost := [k for k in ("project", "dataset") if k not in warehouse]:
+        raise ValueError(f"the warehouse block lacks {lost}")
     return SinkSpec(
-        format="bigquery",
+        **laid_out,
         table=f"{warehouse['project']}.{warehouse['dataset']}",
         mode=warehouse.get("write_disposition", "WRITE_TRUNCATE"),
-        partition_by=(layout["field"],) if layout.get("enabled") else (),
-        partition_type=layout.get("type", "DAY"),
-        cluster_by=tuple(warehouse.get("clustering", ())),
     )

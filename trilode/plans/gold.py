@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
@@ -20,7 +21,7 @@ from trilode.operators.aggregate import (
     metrics,
     rows_of,
 )
-from trilode.sinks.write import written_rows
+from trilode.sinks.write import remove, write_table, written_rows
 from trilode.spec import FlowSpec, GroupSpec, SinkSpec, layer_path
 
 
@@ -51,16 +52,22 @@ def write_gold(df: DataFrame, flow: FlowSpec) -> dict[str, int]:
     depend on each other are submitted together, so that short ones fill idle executors.
     """
     spark = df.sparkSession
-    metric_part, group_part = _together(
-        spark, [lambda: _metric_tables(df, flow), lambda: _group_tables(df, flow)]
-    )
-    tables = {**metric_part, **group_part}
+    # a folder per run, so that runs of one flow do not overwrite each other's staging
+    staging = layer_path(flow.root, "staging", flow.gold_table) + uuid.uuid4().hex
+    try:
+        metric_part, group_part = _together(
+            spark, [lambda: _metric_tables(df, flow, staging),
+                    lambda: _group_tables(df, flow, staging)]
+        )
+        tables = {**metric_part, **group_part}
 
-    def save(name: str) -> int:
-        return written_rows(tables[name], output_sink(flow, name, tables[name].columns))
+        def save(name: str) -> int:
+            return written_rows(tables[name], output_sink(flow, name, tables[name].columns))
 
-    names = [o.name for o in flow.outputs]
-    return dict(zip(names, _together(spark, [partial(save, name) for name in names])))
+        names = [o.name for o in flow.outputs]
+        return dict(zip(names, _together(spark, [partial(save, name) for name in names])))
+    finally:
+        remove(spark, staging)
 
 
 def _together(spark: SparkSession, jobs: Sequence[Callable[[], T]]) -> list[T]:
@@ -72,17 +79,15 @@ def _together(spark: SparkSession, jobs: Sequence[Callable[[], T]]) -> list[T]:
         return [f.result() for f in [pool.submit(inherit(job)) for job in jobs]]
 
 
-def _stage(df: DataFrame, flow: FlowSpec, part: str, split_by: Sequence[str] = ()) -> DataFrame:
-    path = layer_path(flow.root, "staging", flow.gold_table) + part
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    writer.partitionBy(*split_by).parquet(path)
+def _stage(df: DataFrame, path: str, split_by: Sequence[str] = ()) -> DataFrame:
+    write_table(df, SinkSpec(path=path, partition_by=split_by))
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _metric_tables(df: DataFrame, flow: FlowSpec) -> dict[str, DataFrame]:
+def _metric_tables(df: DataFrame, flow: FlowSpec, staging: str) -> dict[str, DataFrame]:
     if len(flow.metrics) < 2:
         return {m.name: metric_table(df, m) for m in flow.metrics}
-    row = _stage(metrics(df, flow.metrics), flow, "metrics")
+    row = _stage(metrics(df, flow.metrics), f"{staging}/metrics")
     return {m.name: row.select(F.col(m.name).alias(m.alias)) for m in flow.metrics}
 
 
@@ -94,9 +99,9 @@ def fusable(groups: Sequence[GroupSpec]) -> bool:
     return len(groups) > 1 and not (derived & used)
 
 
-def _group_tables(df: DataFrame, flow: FlowSpec) -> dict[str, DataFrame]:
+def _group_tables(df: DataFrame, flow: FlowSpec, staging: str) -> dict[str, DataFrame]:
     groups = flow.groups
     if not (flow.fuse and fusable(groups)):
         return {g.name: group_table(df, g) for g in groups}
-    fused = _stage(fused_groups(df, groups), flow, "groups", [OUTPUT])
+    fused = _stage(fused_groups(df, groups), f"{staging}/groups", [OUTPUT])
     return {g.name: rows_of(fused, groups, g) for g in groups}

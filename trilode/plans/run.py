@@ -5,7 +5,7 @@ from __future__ import annotations
 import time
 import uuid
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,12 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from trilode.operators.audit import audit_row
 from trilode.operators.clean import clean, require_columns
 from trilode.plans.gold import write_gold
-from trilode.sinks.write import written_rows
+from trilode.sinks.write import entries, written_rows
 from trilode.sources.files import read_files, read_layer
 from trilode.sources.lineage import with_lineage
-from trilode.sources.queries import load_increment, load_query
-from trilode.spec import LAYERS, CatalogSource, EventSource, FlowSpec, SinkSpec, layer_path
-from trilode.streaming.ingest import load_arrivals, read_arrivals
+from trilode.sources.queries import LOADED_AFTER, load_increment, load_query
+from trilode.spec import LAYERS, CatalogSource, EventSource, FlowSpec, SinkSpec, Source, layer_path
+from trilode.streaming.ingest import BATCH_ID, load_arrivals, read_arrivals
 
 
 @dataclass(frozen=True)
@@ -32,12 +32,29 @@ class LayerResult:
     error: str | None = None
 
 
+def load_kind(source: Source) -> str:
+    if isinstance(source, CatalogSource) and source.increment:
+        return "increments"
+    return "stream" if isinstance(source, EventSource) and source.streaming else "files"
+
+
+def same_kind(spark: SparkSession, out: str, source: Source) -> None:
+    """Refuse a Bronze folder that another kind of load has written: rows would be hidden, or
+    loaded twice."""
+    marks = {BATCH_ID: "stream", LOADED_AFTER: "increments"}
+    found = {marks.get(name.partition("=")[0], "files") for name in entries(spark, out)}
+    wanted = load_kind(source)
+    if found - {wanted}:
+        raise ValueError(f"Bronze at {out} holds {sorted(found)}, this source would add {wanted}")
+
+
 def run_bronze(spark: SparkSession, flow: FlowSpec) -> tuple[int, int]:
     source, out = flow.source, flow.bronze_path
+    same_kind(spark, out, source)
     if isinstance(source, CatalogSource):
         if source.increment:
             control = layer_path(flow.root, "control", source.increment.control_table)
-            rows = load_increment(spark, source, control, out)
+            rows = load_increment(spark, replace(source, name=flow.bronze_table), control, out)
         else:
             rows = load_query(spark, source, out)
     elif isinstance(source, EventSource) and source.streaming:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+import re
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from trilode.spec import SinkSpec
@@ -18,6 +20,9 @@ DISPOSITIONS = {
 SAVE_MODES = ("append", "overwrite", "ignore", "error", "errorifexists")
 
 
+_UNHASHABLE = re.compile(r"\b(map<|variant\b)")
+
+
 def save_mode(disposition: str) -> str:
     mode = DISPOSITIONS.get(disposition.upper(), disposition.lower())
     if mode not in SAVE_MODES:
@@ -31,13 +36,14 @@ def prepare(df: DataFrame, sink: SinkSpec) -> DataFrame:
     Partitioned output is rebalanced on the partition columns: one file set per partition value,
     while adaptive execution splits a value that holds far more rows than the rest. Without
     adaptive execution a hot value would be one task, so rows are then written where they are.
-    Clustered output is range-partitioned; a hash of the whole row breaks ties, so a hot cluster
+    Clustered output is range-partitioned; a hash of the row without its maps breaks ties, so a hot cluster
     key also spreads over several tasks.
     """
     if sink.cluster_by:
-        tie = F.xxhash64(*df.columns)
         keys = [*sink.partition_by, *sink.cluster_by]
-        return df.repartitionByRange(*keys, tie).sortWithinPartitions(*keys)
+        hashable = [f.name for f in df.schema if not _UNHASHABLE.search(f.dataType.simpleString())]
+        tie = [F.xxhash64(*hashable)] if hashable else []
+        return df.repartitionByRange(*keys, *tie).sortWithinPartitions(*keys)
     adaptive = df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true"
     if sink.partition_by and sink.rebalance and adaptive:
         return df.hint("rebalance", *sink.partition_by)
@@ -94,3 +100,19 @@ def written_rows(df: DataFrame, sink: SinkSpec) -> int:
     rows = Observation()
     write_table(df, sink, rows)
     return rows.get["rows"]
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of intermediate results in whatever store it lies; none is no error."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def entries(spark: SparkSession, path: str) -> list[str]:
+    """Names at the top of a folder, without Spark's own marker files; none if it is missing."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not store.exists(folder):
+        return []
+    names = [status.getPath().getName() for status in store.listStatus(folder)]
+    return [n for n in names if n != "_SUCCESS" and not n.startswith(".")]

@@ -8,11 +8,12 @@ from decimal import Decimal, InvalidOperation
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from trilode.sinks.write import written_rows
 from trilode.sources.control import last_mark, mark_text, write_mark
 from trilode.sources.lineage import with_lineage
-from trilode.spec import CatalogSource, DatabaseSource, SinkSpec
+from trilode.spec import UNNAMED, CatalogSource, DatabaseSource, SinkSpec
 
 LOADED_AFTER = "loaded_after"
 NO_VALUE = "__HIVE_DEFAULT_PARTITION__"  # Spark's directory name for a NULL partition value
@@ -40,9 +41,13 @@ def jdbc_options(source: DatabaseSource) -> dict[str, str]:
     }
 
 
-def _one_row(spark: SparkSession, source: CatalogSource, select: str) -> DataFrame:
+def _one_row(
+    spark: SparkSession, source: CatalogSource, select: str, where: str | None = None
+) -> DataFrame:
     """An aggregate over the source query, computed where the data is."""
     query = f"SELECT {select} FROM {as_relation(source.query)}"
+    if where:
+        query += f" WHERE {where}"
     if isinstance(source, DatabaseSource):
         reader = spark.read.format("jdbc").options(**jdbc_options(source))
         return reader.option("dbtable", as_relation(query)).load()
@@ -96,9 +101,21 @@ def read_query(spark: SparkSession, source: CatalogSource) -> DataFrame:
     )
 
 
+def mark_literal(last: str, dtype: T.DataType) -> str:
+    """A mark as SQL text, so that the newest value is asked among new rows only."""
+    if isinstance(dtype, T.NumericType):
+        return last
+    quoted = "'" + last.replace("'", "''") + "'"
+    kinds = {T.DateType: "DATE ", T.TimestampType: "TIMESTAMP ", T.TimestampNTZType: "TIMESTAMP "}
+    return kinds.get(type(dtype), "") + quoted
+
+
 @dataclass(frozen=True)
 class Increment:
-    """The rows with ``last < column <= upper``. ``upper`` is None when there is nothing new."""
+    """The rows with ``last < column <= upper``; the first window also has the rows without a mark.
+
+    ``upper`` is None when there is nothing new.
+    """
 
     rows: DataFrame
     last: str | None
@@ -108,26 +125,36 @@ class Increment:
 def plan_increment(spark: SparkSession, source: CatalogSource, control_path: str) -> Increment:
     """Fix the window first, so every retry and every parallel reader sees the same bounds.
 
-    The bounds are plain filters on the scan; a JDBC source receives them in its WHERE clause.
-    Rows with a NULL mark column are never selected. A parallel read should split on the mark
+    The bounds are plain filters on the scan; a JDBC source receives them in its WHERE clause. Rows
+    with a NULL mark come with the first window; ones that arrive later cannot be told from those
+    and stay out (:func:`unmarked_rows` counts them). A parallel read should split on the mark
     column: the ranges then divide the window, not the whole table.
     """
+    if source.name == UNNAMED:
+        raise ValueError("an incremental source needs a name of its own for its high-water mark")
     column = source.increment.column
     last = last_mark(spark, control_path, source.name, column)
     whole = read_query(spark, replace(source, **UNSPLIT) if has_readers(source) else source)
     dtype = whole.select(column).schema.fields[0].dataType
     newest = F.col("newest").cast(dtype)
     past = F.lit(True) if last is None else newest > F.lit(last).cast(dtype)
-    top = _one_row(spark, source, f"MAX({column}) AS newest")
+    new_only = None if last is None else f"{column} > {mark_literal(last, dtype)}"
+    top = _one_row(spark, source, f"MAX({column}) AS newest", new_only)
     found = top.filter(past).select(mark_text(newest, dtype)).first()
     upper = found[0] if found else None
     if upper is None:
         return Increment(whole.filter(F.lit(False)), last, None)
     rows = read_query(spark, split_window(source, last, upper))
-    rows = rows.filter(F.col(column) <= F.lit(upper).cast(dtype))
-    if last is not None:
-        rows = rows.filter(F.col(column) > F.lit(last).cast(dtype))
-    return Increment(rows, last, upper)
+    within = F.col(column) <= F.lit(upper).cast(dtype)
+    if last is None:
+        return Increment(rows.filter(within | F.col(column).isNull()), last, upper)
+    return Increment(rows.filter(within & (F.col(column) > F.lit(last).cast(dtype))), last, upper)
+
+
+def unmarked_rows(spark: SparkSession, source: CatalogSource) -> int:
+    """Rows of the source whose mark column is NULL."""
+    column = source.increment.column
+    return _one_row(spark, source, f"COUNT(*) - COUNT({column}) AS n").first()[0]
 
 
 def load_increment(spark: SparkSession, source: CatalogSource, control_path: str, out: str) -> int:

@@ -30,9 +30,17 @@ def inline_rows(spark: SparkSession, rows: Sequence[tuple], schema: str) -> Data
     return spark.createDataFrame(list(rows), schema)
 
 
+MODULUS = 1_000_003
+
+
 def _draw(row_id: Column, seed: int, draw: int, n: int) -> Column:
-    """A number in [0, n) fixed by the row, the seed and the draw."""
-    return F.pmod(F.xxhash64(row_id, F.lit(seed), F.lit(draw)), F.lit(n)).cast("int")
+    """A number in [0, n) fixed by the row, the seed and the draw.
+
+    Integer arithmetic that any SQL engine shares; operands are reduced first, so none overflows.
+    """
+    reduced = F.pmod(row_id.cast("long"), F.lit(MODULUS))
+    mixed = (reduced * 7919 + (seed % MODULUS) * 104_729 + draw * 611_953) % MODULUS
+    return ((mixed * mixed + mixed * 31 + 17) % MODULUS % n).cast("int")
 
 
 def _pick(names: Sequence[str], index: Column) -> Column:

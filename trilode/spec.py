@@ -56,7 +56,8 @@ class FileSource:
 
 @dataclass(frozen=True)
 class EventSource(FileSource):
-    """A landing directory that keeps receiving files.
+    """A landing directory that keeps receiving files. Bronze holds each load in a partition of its
+    own.
 
     ``streaming=True`` ingests each file exactly once through a checkpoint and needs ``schema``;
     ``streaming=False`` reads the whole prefix and appends it.
@@ -80,12 +81,18 @@ class IncrementSpec:
     control_table: str = "control_table"
 
 
+UNNAMED = "source"
+
+
 @dataclass(frozen=True)
 class CatalogSource:
-    """A SQL query over temp views or catalog tables of the session."""
+    """A SQL query over temp views or catalog tables of the session.
+
+    An incremental source keeps its mark under ``name``; in a flow that is the Bronze table.
+    """
 
     query: str
-    name: str = "source"
+    name: str = UNNAMED
     increment: IncrementSpec | None = None
 
     def __post_init__(self):

@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from trilode.sinks.write import written_rows
 from trilode.sources.files import configure, ensure_table
 from trilode.sources.lineage import with_lineage
-from trilode.spec import EventSource
+from trilode.sources.queries import NO_VALUE
+from trilode.spec import EventSource, SinkSpec
+
+BATCH_ID = "batch_id"
 
 
 def landing_stream(spark: SparkSession, source: EventSource) -> DataFrame:
@@ -32,33 +40,46 @@ def ingest_stream(
     out: str,
     checkpoint: str,
     every: str | None = None,
+    written: Callable[[int], None] = lambda rows: None,
 ) -> StreamingQuery:
-    """Append arriving files to the Parquet table at ``out``.
+    """Add arriving files to the Parquet table at ``out``, a partition per batch.
 
-    Without ``every`` the query takes what has arrived and ends; with an interval it keeps going.
+    A batch that runs again after a failure overwrites its own partition, so every file counts once;
+    the table is plain Parquet that any reader sees whole. Without ``every`` the query takes what
+    has arrived and ends; with an interval it keeps going. ``written`` hears the rows of each batch.
     """
+    sink = SinkSpec(
+        path=out,
+        options={"compression": "snappy", "partitionOverwriteMode": "dynamic"},
+        partition_by=(BATCH_ID,),
+        rebalance=False,  # a batch has one partition value
+    )
+
+    def save(batch: DataFrame, batch_id: int) -> None:
+        written(written_rows(batch.withColumn(BATCH_ID, F.lit(batch_id).cast("long")), sink))
+
     writer = (
         landing_stream(spark, source)
-        .writeStream.format("parquet")
-        .outputMode("append")
+        .writeStream.foreachBatch(save)
         .option("checkpointLocation", checkpoint)
-        .option("compression", "snappy")
     )
     trigger = {"processingTime": every} if every else {"availableNow": True}
-    return writer.trigger(**trigger).start(out)
+    return writer.trigger(**trigger).start()
 
 
 def load_arrivals(spark: SparkSession, source: EventSource, out: str, checkpoint: str) -> int:
     """Ingest what has arrived since the last call; returns the rows added to ``out``.
 
-    Counts come from Parquet footers, no column data is read.
+    The rows are those of the new batches; what is already in Bronze is not looked at.
     """
-    ensure_table(spark, out, landing_stream(spark, source).schema)
-    before = read_arrivals(spark, source, out).count()
-    ingest_stream(spark, source, out, checkpoint).awaitTermination()
-    return read_arrivals(spark, source, out).count() - before
+    counts: list[int] = []
+    ensure_table(spark, f"{out.rstrip('/')}/{BATCH_ID}={NO_VALUE}",
+                 landing_stream(spark, source).schema)
+    ingest_stream(spark, source, out, checkpoint, written=counts.append).awaitTermination()
+    return sum(counts)
 
 
 def read_arrivals(spark: SparkSession, source: EventSource, out: str) -> DataFrame:
     """What has been ingested; a schema of its own, as there may be no file yet to take it from."""
-    return spark.read.schema(landing_stream(spark, source).schema).parquet(out)
+    schema = T.StructType([*landing_stream(spark, source).schema, T.StructField(BATCH_ID, T.LongType())])
+    return spark.read.schema(schema).parquet(out).drop(BATCH_ID)
