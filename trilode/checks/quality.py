@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from trilode import functions as T
 from trilode.checks.dirt import CUSTOMERS, ORDERS, SALES, dirty
-from trilode.checks.registry import check, table
+from trilode.checks.registry import check, table, workspace
 from trilode.checks.silver import LINE_CLEANING, LINE_SILVER, SALES_SILVER
 from trilode.operators import (
     audit_summary,
@@ -21,7 +22,16 @@ from trilode.operators import (
     union_all,
 )
 from trilode.plans.domains import SALES_CLEANING
-from trilode.spec import RuleSpec
+from trilode.plans.run import run
+from trilode.spec import (
+    AggSpec,
+    CleaningSpec,
+    FileSource,
+    FlowSpec,
+    GroupSpec,
+    MetricSpec,
+    RuleSpec,
+)
 
 
 def _report_sql(relation: str, rules: list[tuple[str, str, str]]) -> str:
@@ -165,3 +175,53 @@ def quality_audit_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def quality_recent_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recent_runs(dirty(spark, sf_dir, RUNS))
+
+
+def _audited(spark: SparkSession, sf_dir: str, query: str) -> FlowSpec:
+    """A whole run over orders with its checks stored, in a folder of its own."""
+    flow = FlowSpec(
+        domain="orders", root=f"{workspace(spark, sf_dir, query)}/{uuid.uuid4().hex}",
+        bronze_table="raw", silver_table="clean", gold_table="totals",
+        source=FileSource(f"{sf_dir.rstrip('/')}/orders.parquet", "parquet"),
+        cleaning=CleaningSpec(
+            null_drop=["o_custkey"], rules=[RuleSpec("o_totalprice", "o_totalprice > 50000", "dear")],
+            dedup_keys=["o_orderkey"]),
+        outputs=[
+            MetricSpec("total", "sum(o_totalprice)", "total"),
+            GroupSpec("by_status", [AggSpec("*", "count", "orders")], ["o_orderstatus"]),
+        ],
+    )
+    run(spark, flow, checks=True)
+    return flow
+
+
+@check(
+    """SELECT 'bronze' AS layer, true AS success, count(*) AS input_rows, count(*) AS output_rows
+       FROM orders
+       UNION ALL SELECT 'silver', true, count(*), count(*) FILTER (o_totalprice > 50000) FROM orders
+       UNION ALL SELECT 'gold', true, count(*), count(DISTINCT o_orderstatus) + 1 FROM orders
+       WHERE o_totalprice > 50000"""
+)
+def quality_run_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The audit rows of a real run."""
+    flow = _audited(spark, sf_dir, "quality_run_audit")
+    return spark.read.parquet(flow.audit_path).select(
+        "layer", "success", "input_rows", "output_rows")
+
+
+@check(
+    """SELECT * FROM (VALUES
+           ('bronze', 'has ingestion_timestamp', 0, true), ('bronze', 'has source_file', 0, true),
+           ('silver', 'no null o_custkey', 0, true), ('silver', 'unique key', 0, true),
+           ('gold', 'total complete', 0, true), ('gold', 'by_status complete', 0, true)
+       ) AS v(layer, check_name, violations, passed)
+       UNION ALL SELECT 'rules', 'dear', count(*) FILTER (NOT o_totalprice > 50000), NULL FROM orders"""
+)
+def quality_run_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contracts of all layers and the rule report that a real run has stored."""
+    flow = _audited(spark, sf_dir, "quality_run_checks")
+    contracts = spark.read.parquet(flow.checks_path).drop("run_id")
+    rules = spark.read.parquet(flow.rules_path).select(
+        F.lit("rules").alias("layer"), F.col("description").alias("check_name"),
+        F.col("failed").alias("violations"), F.lit(None).cast("boolean").alias("passed"))
+    return contracts.unionByName(rules)

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 from pathlib import PurePosixPath
 
@@ -30,5 +31,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def workspace(spark: SparkSession, sf_dir: str, query: str) -> str:
-    """A shared folder of this query at this scale; a second run overwrites the first."""
-    return f"{shared_folder(spark)}/{query}/{PurePosixPath(sf_dir).name}"
+    """A shared folder of this query over these tables; a second run overwrites the first."""
+    whole = zlib.crc32(sf_dir.rstrip("/").encode())
+    return f"{shared_folder(spark)}/{query}/{PurePosixPath(sf_dir).name}-{whole:08x}"

@@ -9,9 +9,17 @@ from dataclasses import dataclass, replace
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from trilode.operators.audit import audit_row
-from trilode.operators.clean import clean, require_columns
+from trilode.operators.clean import clean, drop_nulls, fill_nulls, fix_types, require_columns
+from trilode.operators.quality import (
+    CONTRACT,
+    bronze_contract,
+    gold_contract,
+    rule_report,
+    silver_contract,
+)
 from trilode.plans.gold import write_gold
 from trilode.sinks.write import entries, written_rows
 from trilode.sources.files import read_files, read_layer
@@ -90,6 +98,42 @@ _STEPS: dict[str, Callable[[SparkSession, FlowSpec], tuple[int, int]]] = {
 }
 
 
+CHECKS = "run_id string, layer string, check_name string, violations bigint, passed boolean"
+
+
+def layer_contract(spark: SparkSession, flow: FlowSpec, layer: str) -> DataFrame:
+    """The contract of a layer that has just been written: ``(layer, check_name, violations, passed)``."""
+    if layer == "bronze":
+        return bronze_contract(read_bronze(spark, flow), flow.source)
+    if layer == "silver":
+        return silver_contract(read_layer(spark, flow.silver_path), flow.cleaning)
+    sink = flow.gold_sink
+    if sink.format != "parquet":
+        return spark.createDataFrame([], CONTRACT)
+    tables = {
+        o.name: spark.table(f"{sink.table}.{o.name}") if sink.table
+        else read_layer(spark, flow.gold_path(o.name))
+        for o in flow.outputs
+    }
+    return gold_contract(tables, flow)
+
+
+def store_checks(spark: SparkSession, flow: FlowSpec, layer: str, run_id: str) -> list[str]:
+    """Keep a layer's contract, and with Silver the rule report of what went into it; the names of
+    the checks that failed."""
+    found = layer_contract(spark, flow, layer).select(
+        F.lit(run_id).alias("run_id"), "layer", "check_name", "violations", "passed")
+    found.write.mode("append").parquet(flow.checks_path)
+    if layer == "silver" and flow.cleaning.rules:
+        fixed = fix_types(read_bronze(spark, flow), flow.cleaning.type_fixes)
+        fed = fill_nulls(drop_nulls(fixed, flow.cleaning.null_drop), flow.cleaning.null_fill)
+        report = rule_report(fed, flow.cleaning.rules)
+        report.withColumn("run_id", F.lit(run_id)).write.mode("append").parquet(flow.rules_path)
+    stored = spark.read.schema(CHECKS).parquet(flow.checks_path)
+    failed = stored.where((F.col("run_id") == run_id) & (F.col("layer") == layer) & ~F.col("passed"))
+    return [r.check_name for r in failed.select("check_name").collect()]
+
+
 def _target(flow: FlowSpec, layer: str) -> str:
     if layer == "gold":
         return flow.gold_sink.table or flow.gold_path("")
@@ -101,11 +145,14 @@ def run(
     flow: FlowSpec,
     layers: Sequence[str] = LAYERS,
     audit: bool = True,
+    checks: bool = False,
+    strict: bool = False,
 ) -> dict[str, LayerResult]:
     """Run the chosen layers in order and stop at the first that fails.
 
     Input counts are whole-table counts that Parquet answers from file footers; output counts are
-    observed while writing.
+    observed while writing. With ``checks`` each layer's contract and the rule report are stored
+    with the run; with ``strict`` a broken contract fails its layer.
     """
     unknown = [name for name in layers if name not in LAYERS]
     if unknown:
@@ -114,6 +161,10 @@ def run(
     results: dict[str, LayerResult] = {}
     for layer in [name for name in LAYERS if name in layers]:
         result, started = _timed(spark, flow, layer)
+        if result.success and (checks or strict):
+            broken = store_checks(spark, flow, layer, run_id)
+            if broken and strict:
+                result = replace(result, success=False, error=f"broken contract: {broken}")
         results[layer] = result
         if audit:
             row = (

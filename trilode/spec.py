@@ -290,6 +290,14 @@ class FlowSpec:
     def audit_path(self) -> str:
         return layer_path(self.root, "audit", "runs")
 
+    @property
+    def checks_path(self) -> str:
+        return layer_path(self.root, "audit", "checks")
+
+    @property
+    def rules_path(self) -> str:
+        return layer_path(self.root, "audit", "rules")
+
     @property
     def checkpoint_path(self) -> str:
         return layer_path(self.root, "checkpoints", self.bronze_table)
