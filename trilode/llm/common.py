@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,3 +56,10 @@ def sampled(df: DataFrame, rows: int, *keys: str) -> DataFrame:
     if total <= rows:
         return df
     return df.where(F.pmod(F.xxhash64(*keys), F.lit(1 << 30)) < int(rows / total * (1 << 30)))
+
+
+def slices(batches: Iterable[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """Arrow batches in small pieces, so that a task holds few texts as Python objects at once."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)

@@ -13,6 +13,8 @@ is put together from checksums of blocks of ``GRID`` tokens.
 from __future__ import annotations
 
 import math
+import os
+import re
 import zlib
 from collections.abc import Iterator
 from functools import cache, reduce
@@ -22,20 +24,28 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trilode.llm.common import stored
+from trilode.llm.common import slices, stored
 
 LENGTH = 2048
 END_ID = 1
 GRID = 32
 SLACK = 0.002
 GROUP_TOKENS = 1 << 21
-CACHE_WORDS = 400_000
+CACHE_WORDS = 600_000
 CHUNK = 1 << 20
 LINEAR, QUADRATIC = 1.0, 1.0 / 1024
 
 
+# ASCII punctuation after an ASCII letter or digit or a Latin letter of two bytes. The tokenizer cuts
+# there anyway, so cutting first changes no id and leaves far fewer different words.
+_PUNCTUATION = re.compile(
+    rb"[.,!?#*$%&|;:](?:(?<=[a-z0-9].)|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf].))")
+
+
 @cache
 def _tokenizer(path: str | None):
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task is one core
+
     import public_tokenizers
     from tokenizers import Tokenizer
 
@@ -45,8 +55,8 @@ def _tokenizer(path: str | None):
 class Encoder:
     """Token ids of texts as little-endian unsigned 32-bit bytes.
 
-    The tokenizer drops white space and never joins across it, so each word is encoded once and
-    remembered.
+    The tokenizer drops white space and case and never joins across white space, so each word is
+    encoded once and remembered.
     """
 
     def __init__(self, path: str | None = None):
@@ -57,18 +67,24 @@ class Encoder:
         part: list[list[bytes]] = []
         size = 0
         for text in texts:
-            part.append(text.split() if text else [])
+            part.append(self._words(text) if text else [])
             size += len(text or b"")
             if size >= CHUNK:
                 yield from self._encode(part)
                 part, size = [], 0
         yield from self._encode(part)
 
+    @staticmethod
+    def _words(text: bytes) -> list[bytes]:
+        if b"<|" in text:  # may be a special token, which is matched as it is written
+            return text.split()
+        return _PUNCTUATION.sub(rb" \g<0>", text.lower()).split()
+
     def _encode(self, docs: list[list[bytes]]) -> Iterator[bytes]:
         if len(self.known) > CACHE_WORDS:
             self.known.clear()
         new = [*set().union(*docs).difference(self.known)]
-        found = self.tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False)
+        found = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
         self.known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(new, found))
         get = self.known.__getitem__
         for words in docs:
@@ -106,7 +122,7 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         schema = pa.schema([
             *((n, pa.int64()) for n in ("start", "length", "ids_crc32", "doc_tokens", "ordinal")),
             ("blocks", pa.list_(pa.int64())), ("ids", pa.binary())])
-        for batch in batches:
+        for batch in slices(batches):
             rows, owner = [], []
             for k, data in enumerate(encoder.batch(batch["text"].to_pylist())):
                 data += end
