@@ -21,7 +21,8 @@ SHINGLE = 5
 SIMILARITY = 0.8
 # Bits that may differ. At similarity 0.8 some 10 of 64 do (standard deviation 3).
 RADIUS = 22
-# Item shingles in one broadcast table (about 40 bytes each); more are searched in blocks.
+# Item shingles in one broadcast table (about 40 bytes each; the index of fingerprints is smaller);
+# more are searched in blocks, one pass over the documents each.
 BROADCAST_ROWS = 1_000_000
 _LANES = 0x0000000100000001
 
@@ -93,7 +94,8 @@ def _items(benchmark: DataFrame, item_col: str, text_col: str) -> DataFrame:
         "n", F.size("item_words")).withColumn("width", F.least(F.col("n"), F.lit(SHINGLE)))
     whole = sized.withColumn("item_shingles", _shingles("item_words", F.col("width")))
     hashed = whole.withColumn("hashes", _hashes("item_shingles"))
-    return hashed.withColumn("item_fp", simhash("hashes")).drop("item_words", "hashes")
+    numbered = hashed.withColumn("item_no", F.xxhash64("item_id", "item_shingles"))
+    return numbered.withColumn("item_fp", simhash("hashes")).drop("item_words", "hashes")
 
 
 def _windows(texts: DataFrame, items: DataFrame, width: int) -> DataFrame:
@@ -147,7 +149,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
                 "hashes", _hashes("shingles")).withColumn("fp", simhash("hashes"))
             probes = marked.select("*", _blocks("fp", masks).alias("block", "bits"))
             index = block.where(F.col("width") == width).select(
-                "item_id", "item_fp", "item_shingles", F.col("n").alias("item_n"),
+                "item_no", "item_fp", F.col("n").alias("item_n"),
                 _blocks("item_fp", masks).alias("item_block", "item_bits"))
             apart = F.col("fp").bitwiseXOR(F.col("item_fp"))
             # A pair meets in every block that is equal; only the first of them reports it.
@@ -158,6 +160,10 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
                 (F.col("n") == F.col("item_n")) & (F.col("block") == F.col("item_block"))
                 & (F.col("bits") == F.col("item_bits"))
                 & (F.bit_count(apart) <= radius) & (equal == F.col("block")))
+            pairs = pairs.join(
+                F.broadcast(block.select(
+                    F.col("item_no").alias("of_item"), "item_id", "item_shingles")),
+                F.col("item_no") == F.col("of_item"))
             common = _common("shingles", "item_shingles")
             score = common / (F.size("shingles") + F.size("item_shingles") - common)
             found.append(pairs.select("doc_id", "text_hash", "item_id", score.alias("similarity"))
