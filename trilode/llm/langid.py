@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trilode.llm.common import sampled
+from trilode.llm.common import sampled, slices
 
 UND = "und"
 # Bounds of the sample from which the models are fitted; every document is scored.
@@ -29,7 +29,7 @@ ROUNDS = 2
 # Share of each language's probability that is spread evenly over all pieces.
 SMOOTHING = 0.001
 MAX_WORD = 64
-CACHE_WORDS = 500_000
+CACHE_WORDS = 200_000
 # Characters of text whose new words are scored together.
 CHUNK = 1 << 20
 SCALE = np.log(64)
@@ -146,10 +146,10 @@ class Model(NamedTuple):
         flat = [r for parts in runs for r in parts]
         out = np.zeros((len(words), len(self.langs) + 1))
         owner = np.repeat(np.arange(len(words)), [len(p) for p in runs])
-        for i in range(0, len(flat), 20_000):
-            arcs = self.arcs(flat[i:i + 20_000])
+        for i in range(0, len(flat), 5_000):
+            arcs = self.arcs(flat[i:i + 5_000])
             whole = self.forward(arcs)[np.arange(arcs.words), arcs.length]
-            np.add.at(out, owner[i:i + 20_000], np.log(whole) - arcs.length[:, None] * SCALE)
+            np.add.at(out, owner[i:i + 5_000], np.log(whole) - arcs.length[:, None] * SCALE)
         return out
 
 
@@ -165,8 +165,8 @@ def fit_model(counts: Iterable[tuple[str, str, int]], pieces: list[str],
         weight[at[word[:MAX_WORD]], langs.index(lang)] += n
     model = Model(langs, Trie.of(pieces), np.array([*map(len, pieces), 1]),
                   np.full((len(pieces) + 1, len(langs) + 1), -np.log(len(pieces) + 1.0)))
-    parts = [(model.arcs(words[i:i + 20_000]), weight[i:i + 20_000])
-             for i in range(0, len(words) if langs else 0, 20_000)]
+    parts = [(model.arcs(words[i:i + 5_000]), weight[i:i + 5_000])
+             for i in range(0, len(words) if langs else 0, 5_000)]
     for _ in range(rounds if langs else 0):
         expected = np.zeros_like(model.logp)
         for arcs, counted in parts:
@@ -198,10 +198,10 @@ def fit(docs: DataFrame, learn_from: Column, text_col: str = "text", lang_col: s
     their ``TRAIN_WORDS`` most frequent (language, word) pairs."""
     known = docs.where(learn_from & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     rows = sampled(known.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")),
-                   TRAIN_DOCS, "text")
+                   TRAIN_DOCS, "text").distinct()  # a text that very many rows share counts once
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             seen: Counter = Counter()
             for text, lang in zip(batch["text"].to_pylist(), batch["lang"].to_pylist()):
                 seen.update((lang, w) for w in _WORD.findall(text.lower()))
@@ -282,7 +282,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", lang_col: str
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model)
-        for batch in batches:
+        for batch in slices(batches):
             found = scorer.batch(batch[batch.schema.get_field_index(text_col)].to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array([x for x, _ in found], pa.string()),

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trilode.llm.common import sampled
+from trilode.llm.common import sampled, slices
 
 # The kinds in the order in which spans at one place are listed.
 KINDS = ("email", "ip", "card", "phone")
@@ -298,10 +298,10 @@ def train(examples: list[tuple[str, str]], seed: int = 0) -> np.ndarray | None:
 
 def fit(docs: DataFrame, text_col: str = "text") -> np.ndarray | None:
     """Train on the base spans of about ``TRAIN_DOCS`` texts, at most ``TRAIN_ISLANDS`` of them."""
-    texts = sampled(docs.select(F.col(text_col).alias("text")), TRAIN_DOCS, "text")
+    texts = sampled(docs.select(F.col(text_col).alias("text")), TRAIN_DOCS, "text").distinct()
 
     def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             found = [(s.kind, t[s.start:s.end]) for t in batch["text"].to_pylist() if t
                      for s in base_spans(t) if s.end - s.start <= 100]
             yield pa.RecordBatch.from_pydict(
@@ -351,7 +351,7 @@ def find(docs: DataFrame, text_col: str = "text", spans_col: str = "pii_spans",
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()),
                                    ("kind", pa.string()), ("base", pa.bool_())]))
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column(batch.schema.get_field_index(text_col))
             spans = [[s._asdict() for s in all_spans(t.as_py() or "", weights)] for t in texts]
             yield pa.RecordBatch.from_arrays(
@@ -367,7 +367,7 @@ def redact(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:
     spanned = find(docs, text_col, "__spans", **options)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             at = batch.schema.get_field_index(text_col)
             texts = [None if t.as_py() is None else _marked(t.as_py(), s.as_py())
                      for t, s in zip(batch.column(at), batch["__spans"])]

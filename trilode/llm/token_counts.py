@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trilode.llm.common import slices
 from trilode.llm.packing import Encoder
 
 GROUP = ("source", "lang", "tokenizer")
@@ -49,7 +50,7 @@ def vocabulary_counts(docs: DataFrame, version: str, path: str | None = None,
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(path)
-        for batch in batches:
+        for batch in slices(batches):
             n = [len(ids) // 4 for ids in encoder.batch(batch["text"].to_pylist())]
             yield pa.RecordBatch.from_arrays(
                 [batch["source"], batch["lang"], pa.array([version] * len(n), pa.string()),
