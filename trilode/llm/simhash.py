@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trilode.llm.common import stored
+from trilode.llm.common import slices, stored
 from trilode.llm.components import components
 
 SEED = 42
@@ -64,7 +64,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     )
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             fps = np.fromiter((_fingerprint(t.as_py(), width) for t in batch["text"]),
                               np.uint64, batch.num_rows)
             yield pa.RecordBatch.from_arrays(
@@ -236,8 +236,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     linked = nodes.join(classes, nodes.node == classes.fp).select("node", "root", "first")
     least = linked.groupBy("root").agg(F.min("first").alias("least"))
     reach = linked.select("node", "root").join(least, "root").select("node", "least")
-    placed = classes.join(reach, classes.fp == reach.node, "left").select(
-        "fp", F.coalesce("least", "first").alias("least"))
+    # Written, so that both sides of the last join come straight from a scan and a fingerprint that
+    # very many documents share can be split.
+    placed = stored(classes.join(reach, classes.fp == reach.node, "left").select(
+        "fp", F.coalesce("least", "first").alias("least")), "fingerprint-components")
     return fps.join(placed, "fp").select(
         "doc_id", "text_hash", "fp",
         F.col("least.doc_id").alias("component_id"),
