@@ -31,7 +31,7 @@ END_ID = 1
 GRID = 32
 SLACK = 0.002
 GROUP_TOKENS = 1 << 21
-CACHE_WORDS = 600_000
+CACHE_WORDS = 500_000
 CHUNK = 1 << 20
 LINEAR, QUADRATIC = 1.0, 1.0 / 1024
 
@@ -62,6 +62,7 @@ class Encoder:
     def __init__(self, path: str | None = None):
         self.tokenizer = _tokenizer(path)
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def batch(self, texts: list[bytes | None]) -> Iterator[bytes]:
         part: list[list[bytes]] = []
@@ -82,8 +83,11 @@ class Encoder:
 
     def _encode(self, docs: list[list[bytes]]) -> Iterator[bytes]:
         if len(self.known) > CACHE_WORDS:
-            self.known.clear()
-        new = [*set().union(*docs).difference(self.known)]
+            self.older, self.known = self.known, {}  # words met again come back from there
+        fresh = set().union(*docs).difference(self.known)
+        again = {w for w in fresh if w in self.older}
+        self.known.update((w, self.older[w]) for w in again)
+        new = [*fresh.difference(again)]
         found = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
         self.known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(new, found))
         get = self.known.__getitem__
