@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trilode.llm.common import sampled, stored
+from trilode.llm.common import sampled, slices, stored
 
 # Bounds of what is learned from; every text is scored.
 TRAIN_DOCS = 12_000
@@ -27,6 +27,7 @@ LEXICON = 3000
 LEAST_TEXTS = 4
 LEAST_ODDS = 8.0
 STEMS = range(4, 9)
+LONGEST = 40
 TREES, DEPTH, RATE, BINS = 60, 3, 0.15, 32
 CACHE_WORDS = 300_000
 NEAR = 4
@@ -36,6 +37,7 @@ SECOND_PERSON = frozenset("""you your yours yourself u ur du dich dir dein deine
 _LEET = str.maketrans("43105$@!7", "aeiossait")
 _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
 _INNER = re.compile(r"[^\W\d_][^\w\s'’-]+[^\W\d_]|[^\W\d_]\d+[^\W\d_]")
+TAIL, SYMBOLS = ".,;:!?#*$%&|", "#*$%&|<>@"
 _CUT = re.compile(r"[^\w]|_")
 _TRIPLE = re.compile(r"(.)\1\1")
 
@@ -46,7 +48,7 @@ def stems(word: str) -> set[str]:
     plain = _EDGE.sub("", word).lower()
     if _INNER.search(plain):
         plain = _CUT.sub("", plain.translate(_LEET))
-    if not plain or len(plain) > 40:
+    if not plain or len(plain) > LONGEST:
         return set()
     return {plain + " ", *(plain[:n] for n in STEMS if n <= len(plain))}
 
@@ -64,23 +66,40 @@ class Featurizer:
 
     def __init__(self, lexicon: dict[str, float]):
         self.lexicon = lexicon
+        self.heads = {s.rstrip()[:STEMS[0]] for s in lexicon}
         self.rows: dict[str, int] = {}
         self.strong = STRONG * max(lexicon.values(), default=np.inf)
         self.table = np.zeros((1 << 14, WORD))
 
+    def _weight(self, plain: str) -> float:
+        if not plain or len(plain) > LONGEST:
+            return 0.0
+        if plain[:STEMS[0]] not in self.heads:
+            return 0.0
+        get = self.lexicon.get
+        return max(get(plain + " ", 0.0), *(get(plain[:n], 0.0) for n in STEMS if n <= len(plain)),
+                   0.0)
+
     def _row(self, word: str) -> int:
         row = len(self.rows)
         if row == len(self.table):
             self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-        found = [self.lexicon[s] for s in stems(word) if s in self.lexicon]
-        letters = sum(map(str.isalpha, word))
-        weight = max(found, default=0.0)
+        core = word.rstrip(TAIL)
+        if core.isalpha():  # most words: nothing to strip or to see through
+            plain, obfuscated, letters = core.lower(), False, len(core)
+            bare = plain
+        else:
+            bare = _EDGE.sub("", word).lower()
+            obfuscated, letters = bool(_INNER.search(bare)), sum(map(str.isalpha, word))
+            plain = _CUT.sub("", bare.translate(_LEET)) if obfuscated else bare
+        weight = self._weight(plain)
+        capitals = 0 if letters < 2 or word.islower() else sum(map(str.isupper, word))
+        odd = len(word) > len(core) or not core.isalpha()
         self.table[row] = (
-            weight, bool(found), _EDGE.sub("", word).lower() in SECOND_PERSON,
-            letters, sum(map(str.isupper, word)) if letters > 1 else 0,
-            word.count("!") + word.count("?"), sum(c in "#*$%&|<>@" for c in word),
-            bool(_INNER.search(_EDGE.sub("", word))), bool(_TRIPLE.search(word)),
-            weight >= self.strong)
+            weight, weight > 0, bare in SECOND_PERSON, letters, capitals,
+            word.count("!") + word.count("?") if odd else 0,
+            sum(c in SYMBOLS for c in word) if odd else 0,
+            obfuscated, bool(_TRIPLE.search(word)), weight >= self.strong)
         self.rows[word] = row
         return row
 
@@ -216,8 +235,8 @@ def fit(docs: DataFrame, labels: DataFrame, learn_from: Column, id_col: str = "d
     """
     known = labels.where(learn_from & F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
     chosen = sampled(known.select(F.col(id_col).alias("__id"), F.col(label_col).alias("y")),
-                     TRAIN_DOCS, "__id")
-    # About TRAIN_DOCS ids and labels of 16 bytes: small by the bound of the sample.
+                     TRAIN_DOCS, "__id").distinct().limit(2 * TRAIN_DOCS)
+    # At most 2 * TRAIN_DOCS ids and labels of 16 bytes: small by the bound of the sample.
     sample = stored(docs.join(F.broadcast(chosen), F.col(id_col) == F.col("__id")).select(
         F.col(text_col).alias("text"), F.col("y").cast("int").alias("y"),
         F.pmod(F.xxhash64(text_col), F.lit(2)).cast("int").alias("half"),
@@ -225,7 +244,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn_from: Column, id_col: str = "d
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, set[str]] = {}
-        for batch in batches:
+        for batch in slices(batches):
             counts: Counter = Counter()
             for text, y, half in zip(*(batch[c].to_pylist() for c in ("text", "y", "half"))):
                 found: set[str] = set()
@@ -263,7 +282,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn_from: Column, id_col: str = "d
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         makers = [Featurizer(lexicon) for lexicon in lexicons]
-        for batch in batches:
+        for batch in slices(batches):
             x = [makers[1 - h].text(t).tolist() for t, h in zip(
                 batch["text"].to_pylist(), batch["half"].to_pylist())]
             yield pa.RecordBatch.from_arrays(
@@ -293,7 +312,7 @@ def score(docs: DataFrame, model: Model | None, text_col: str = "text",
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         maker = Featurizer(model.lexicon if model else {})
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column(batch.schema.get_field_index(text_col)).to_pylist()
             x = np.array([maker.text(t) for t in texts]).reshape(-1, FEATURES)
             found = model.scores(x) if model else np.zeros(len(texts))
