@@ -1,5 +1,6 @@
 from itertools import product
 
+import corpus_pipeline
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -93,3 +94,40 @@ def test_odd_rows(odd, none):
 def test_other_scripts_score_low(docs):
     scorer = langid.Scorer(langid.fit(docs, F.lit(True)))
     assert scorer.one("Это русский текст")[1] < 0.01 and scorer.one("你好世界这是")[1] < 0.01
+
+
+def test_rare_languages_are_learned(spark):
+    """Two Greek texts and one of junk beside 6000 of two frequent languages, one with long texts."""
+    words = "concat_ws(' ', transform(sequence(1, {n}), i -> translate(conv(hash(id, i) + 5000000000, 10, 20), '0123456789', '{to}')))"
+    many = spark.range(6000).selectExpr(
+        "id AS doc_id",
+        f"CASE WHEN id % 2 = 0 THEN {words.format(n=60, to='klmnopqrst')} "
+        f"ELSE {words.format(n=3, to='uvwxyzäöüß')} END AS text",
+        "CASE WHEN id % 2 = 0 THEN 'long' ELSE 'short' END AS lang")
+    greek = spark.createDataFrame(
+        [(6000, "το σπίτι είναι μεγάλο", "el"), (6001, "το μεγάλο σπίτι", "el"),
+         (6002, "12 !?", "junk"), (6003, "το σπίτι", None)],
+        "doc_id bigint, text string, lang string")
+    docs = many.unionByName(greek)
+    model = langid.fit(docs, F.lit(True))
+    assert model.langs == ("el", "long", "short")
+    kept = corpus_pipeline.known_language(spark, docs, "").where("doc_id >= 6000").collect()
+    assert {(r.doc_id, r.lang) for r in kept} == {(6000, "el"), (6001, "el"), (6003, "el")}
+
+
+def test_languages_have_words_of_their_own(spark, monkeypatch):
+    """The frequent words of one language do not fill the list; copies do not lower the share drawn."""
+    monkeypatch.setattr(langid, "TRAIN_WORDS", 2)
+    monkeypatch.setattr(langid, "TRAIN_DOCS", 50)
+    rows = [("ab ab ba ba aab aab", "x")] * 3000 + [("bb c", "y")] * 3000 + [("cab", "z")]
+    rows += [(f"a{'b' * (i % 7)} c{'a' * (i // 7)}", "y") for i in range(40)]
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    assert langid.fit(docs, F.lit(True), pieces=PIECES).langs == ("x", "y", "z")
+    seen = []
+    monkeypatch.setattr(langid, "fit_model", lambda counts, pieces: seen.extend(counts))
+    langid.fit(docs, F.lit(True), pieces=PIECES)
+    assert sorted(lang for lang, _, _ in seen) == ["x", "x", "y", "y", "z"]
+    monkeypatch.setattr(langid, "TRAIN_WORDS", 1000)
+    seen.clear()
+    langid.fit(docs, F.lit(True), pieces=PIECES)
+    assert sum(n for lang, _, n in seen if lang == "y") == 82  # all 41 distinct texts, once each

@@ -16,15 +16,16 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trilode.llm.common import sampled, slices
+from trilode.llm.common import slices
 
 UND = "und"
-# Bounds of the sample from which the models are fitted; every document is scored.
-TRAIN_DOCS = 4000
-TRAIN_WORDS = 50_000
+# Bounds, for each language, of the sample from which its model is fitted: distinct texts, about, and
+# most frequent words. A language with fewer is learned from all it has; every document is scored.
+TRAIN_DOCS = 1000
+TRAIN_WORDS = 12_500
 ROUNDS = 2
 # Share of each language's probability that is spread evenly over all pieces.
 SMOOTHING = 0.001
@@ -35,6 +36,10 @@ CHUNK = 1 << 20
 SCALE = np.log(64)
 BASE = 1_000_003
 _WORD = re.compile(r"[^\W\d_]+")
+# What Python takes for a letter of a word, for Spark's expressions.
+_LETTER = r"[\p{L}\p{Nl}\p{No}]"
+# Lattice columns of a batch of words: fewer words where there are many languages.
+CELLS = 25_000
 
 
 def public_pieces(path: str | None = None) -> list[str]:
@@ -146,38 +151,43 @@ class Model(NamedTuple):
         flat = [r for parts in runs for r in parts]
         out = np.zeros((len(words), len(self.langs) + 1))
         owner = np.repeat(np.arange(len(words)), [len(p) for p in runs])
-        for i in range(0, len(flat), 5_000):
-            arcs = self.arcs(flat[i:i + 5_000])
+        step = max(1, CELLS // out.shape[1])
+        for i in range(0, len(flat), step):
+            arcs = self.arcs(flat[i:i + step])
             whole = self.forward(arcs)[np.arange(arcs.words), arcs.length]
-            np.add.at(out, owner[i:i + 5_000], np.log(whole) - arcs.length[:, None] * SCALE)
+            np.add.at(out, owner[i:i + step], np.log(whole) - arcs.length[:, None] * SCALE)
         return out
 
 
 def fit_model(counts: Iterable[tuple[str, str, int]], pieces: list[str],
               rounds: int = ROUNDS) -> Model:
-    """Expectation maximisation over ``(lang, word, count)``."""
-    rows = list(counts)
-    langs = tuple(sorted({lang for lang, _, _ in rows}))
-    words = sorted({w[:MAX_WORD] for _, w, _ in rows})
-    at = {w: i for i, w in enumerate(words)}
-    weight = np.zeros((len(words), len(langs) + 1))
-    for lang, word, n in rows:
-        weight[at[word[:MAX_WORD]], langs.index(lang)] += n
+    """Expectation maximisation over ``(lang, word, count)``, one language at a time."""
+    words: dict[str, Counter] = {}
+    for lang, word, n in counts:
+        words.setdefault(lang, Counter())[word[:MAX_WORD]] += n
+    langs = tuple(sorted(words))
     model = Model(langs, Trie.of(pieces), np.array([*map(len, pieces), 1]),
                   np.full((len(pieces) + 1, len(langs) + 1), -np.log(len(pieces) + 1.0)))
-    parts = [(model.arcs(words[i:i + 5_000]), weight[i:i + 5_000])
-             for i in range(0, len(words) if langs else 0, 5_000)]
-    for _ in range(rounds if langs else 0):
-        expected = np.zeros_like(model.logp)
-        for arcs, counted in parts:
-            expected += _expected(arcs, model.forward(arcs), model.scaled(), counted)
-        share = expected[:, :-1] / expected[:, :-1].sum(axis=0)
-        logp = model.logp.copy()
-        logp[:, :-1] = np.log((1 - SMOOTHING) * share + SMOOTHING / len(share))
-        model = model._replace(logp=logp)
+    for k, lang in enumerate(langs):
+        model.logp[:, k] = _learned(model, words[lang], rounds)
     return model
 
 
+def _learned(blank: Model, counts: Counter, rounds: int) -> np.ndarray:
+    """The column of one language, starting from even probabilities."""
+    words = sorted(counts)
+    weight = np.array([counts[w] for w in words], float)[:, None]
+    model = blank._replace(langs=(), logp=blank.logp[:, -1:])
+    parts = [(model.arcs(words[i:i + 5_000]), weight[i:i + 5_000])
+             for i in range(0, len(words), 5_000)]
+    for _ in range(rounds):
+        expected = sum(_expected(arcs, model.forward(arcs), model.scaled(), counted)
+                       for arcs, counted in parts)
+        share = expected / expected.sum()
+        model = model._replace(logp=np.log((1 - SMOOTHING) * share + SMOOTHING / len(share)))
+    return model.logp[:, 0]
+
+
 def _expected(arcs: Arcs, alpha: np.ndarray, prob: np.ndarray, weight: np.ndarray) -> np.ndarray:
     """Expected uses of each piece, by pushing each word's weight back along its arcs."""
     beta = np.zeros_like(alpha)
@@ -194,11 +204,19 @@ def _expected(arcs: Arcs, alpha: np.ndarray, prob: np.ndarray, weight: np.ndarra
 
 def fit(docs: DataFrame, learn_from: Column, text_col: str = "text", lang_col: str = "lang",
         pieces: list[str] | None = None) -> Model:
-    """Fit on about ``TRAIN_DOCS`` rows where ``learn_from`` holds and the language is known, from
-    their ``TRAIN_WORDS`` most frequent (language, word) pairs."""
-    known = docs.where(learn_from & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    rows = sampled(known.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")),
-                   TRAIN_DOCS, "text").distinct()  # a text that very many rows share counts once
+    """Fit each language on about ``TRAIN_DOCS`` of its distinct texts where ``learn_from`` holds, or
+    all if there are fewer, from their ``TRAIN_WORDS`` most frequent words.
+
+    Texts without a letter teach nothing and are not drawn, so every language that has another text
+    gets a model. Texts are chosen by a hash: the same ones on every run.
+    """
+    known = docs.where(learn_from & F.col(lang_col).isNotNull() & F.col(text_col).rlike(_LETTER)
+                       ).select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"),
+                                F.xxhash64(text_col).alias("hash"))
+    # One row per language, counted without copies: a text that very many rows share counts once.
+    sizes = known.select("lang", "hash").distinct().groupBy("lang").agg(F.count("*").alias("of"))
+    chosen = F.pmod("hash", F.lit(1 << 30)) < F.lit(TRAIN_DOCS) / F.col("of") * (1 << 30)
+    rows = known.join(F.broadcast(sizes), "lang").where(chosen).select("text", "lang").distinct()
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -210,10 +228,13 @@ def fit(docs: DataFrame, learn_from: Column, text_col: str = "text", lang_col: s
                 "n": list(seen.values())},
                 schema=pa.schema([("lang", pa.string()), ("word", pa.string()), ("n", pa.int64())]))
 
+    by_count = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
     top = (rows.mapInArrow(tally, "lang string, word string, n bigint")
            .groupBy("lang", "word").agg(F.sum("n").alias("n"))
-           .orderBy(F.desc("n"), "lang", "word").limit(TRAIN_WORDS).collect())
-    return fit_model(((r.lang, r.word, r.n) for r in top), pieces or public_pieces())
+           .withColumn("rank", F.row_number().over(by_count)).where(F.col("rank") <= TRAIN_WORDS)
+           .select("lang", "word", "n").toArrow())
+    counts = zip(*(top[name].to_pylist() for name in ("lang", "word", "n")))
+    return fit_model(counts, pieces or public_pieces())
 
 
 class Scorer:
