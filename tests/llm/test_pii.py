@@ -130,3 +130,37 @@ def test_base_on_documents(docs):
     for r in pii.find(docs).collect():
         base = [(s.start, pii.KINDS.index(s.kind), s.end) for s in r.pii_spans if s.base]
         assert base == plain(r.text)
+
+
+MISSED = {"email": "bob at example dot com", "card": "4111/1111/1111/1111", "phone": "(415) 555-0199"}
+
+
+@pytest.mark.parametrize("having", ["nothing", "mostly emails", "rare"])
+def test_field_runs_for_every_kind(spark, having):
+    """No base span at all; thousands of addresses and one each of the rest; one text in 9000."""
+    docs = spark.range(9000).selectExpr({
+        "nothing": "'no data here' AS text",
+        "mostly emails": "concat('u', id, '@h', id % 7, '.example') AS text",
+        "rare": "if(id = 77, 'a.b@c.example', 'no data here') AS text"}[having])
+    if having == "mostly emails":
+        docs = docs.unionByName(spark.createDataFrame(
+            [("+1 (361) 555-8283",), ("5500005555555559",), ("192.168.10.20",)], "text string"))
+    learned = pii.fit(docs)
+    for kind, text in MISSED.items():
+        found = [(s.kind, text[s.start:s.end]) for s in pii.all_spans(text, learned)]
+        assert found == [(kind, text)]
+
+
+def test_examples_are_the_first_of_each_kind(spark, monkeypatch):
+    """Whatever the partitions; copies count once, and a rare kind has all it has."""
+    cards = ["4111 1111 1111 1111", "5500005555555559"]
+    texts = [f"u{i % 500}@h.example" for i in range(6000)] + cards * 3
+    seen = []
+    monkeypatch.setattr(pii, "train", lambda examples: seen.append(examples))
+    for parts in (1, 7):
+        pii.fit(spark.createDataFrame([(t,) for t in texts], "text string").repartition(parts))
+    assert seen[0] == seen[1]
+    emails = sorted({(pii._rank("email", t), t) for t in texts if "@" in t})[:pii.TRAIN_SPANS]
+    assert [span for kind, span in seen[0] if kind == "email"] == [t for _, t in emails]
+    assert {*cards} <= {span for kind, span in seen[0] if kind == "card"}
+    assert {kind for kind, _ in seen[0]} == {*pii.KINDS}

@@ -6,27 +6,40 @@ groups with little between them, and spelled-out addresses. In an island every r
 dynamic programming over the lattice finds the best segmentation, or in training the expected
 features. Its segments are added where they do not touch a base span.
 
-The field is trained on base spans of a bounded sample (``TRAIN_DOCS``, ``TRAIN_ISLANDS``), rewritten
-into forms that the patterns miss, and on rewritten spans that are no personal data.
+The field is trained on base spans of all texts, ``TRAIN_SPANS`` distinct ones of each kind by hash,
+rewritten into forms that the patterns miss, and on rewritten spans that are no personal data. Fixed
+examples of the formats (``FORMATS``) stand in for a kind with fewer than ``LEAST_SPANS``.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from hashlib import blake2b
+from heapq import nsmallest
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from trilode.llm.common import sampled, slices
+from trilode.llm.common import slices
 
 # The kinds in the order in which spans at one place are listed.
 KINDS = ("email", "ip", "card", "phone")
-TRAIN_DOCS = 4000
-TRAIN_ISLANDS = 120
+TRAIN_SPANS = 30
+LEAST_SPANS = 5
+# Addresses and numbers that stand for no one: reserved names, networks and exchanges, test cards.
+FORMATS = {
+    "email": ("ann.lee@mail3.example.com", "x_1@a-b.example", "info@example.org",
+              "j.doe+news@example.net", "sam99@dept.example.edu"),
+    "ip": ("192.168.0.1", "198.51.100.23", "203.0.113.77", "172.16.254.3", "192.0.2.146"),
+    "card": ("4111 1111 1111 1111", "5500005555555559", "4012888888881881",
+             "5555-5555-5555-4444", "6011 1111 1111 1117"),
+    "phone": ("+1 (017) 555-7713", "+1 (361) 555-8283", "+1 212-555-0142", "+1 (646) 555-0199",
+              "+1 415 555 0123"),
+}
 EPOCHS = 40
 MAX_GROUPS = 6
 
@@ -296,21 +309,45 @@ def train(examples: list[tuple[str, str]], seed: int = 0) -> np.ndarray | None:
     return weights
 
 
-def fit(docs: DataFrame, text_col: str = "text") -> np.ndarray | None:
-    """Train on the base spans of about ``TRAIN_DOCS`` texts, at most ``TRAIN_ISLANDS`` of them."""
-    texts = sampled(docs.select(F.col(text_col).alias("text")), TRAIN_DOCS, "text").distinct()
+def _rank(kind: str, span: str) -> int:
+    return int.from_bytes(blake2b(f"{kind}:{span}".encode(), digest_size=8).digest()) >> 1
 
-    def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            found = [(s.kind, t[s.start:s.end]) for t in batch["text"].to_pylist() if t
-                     for s in base_spans(t) if s.end - s.start <= 100]
-            yield pa.RecordBatch.from_pydict(
-                {"kind": [k for k, _ in found], "span": [s for _, s in found]},
-                schema=pa.schema([("kind", pa.string()), ("span", pa.string())]))
 
-    spans = texts.mapInArrow(short, "kind string, span string").distinct()
-    rows = spans.orderBy(F.xxhash64("kind", "span"), "kind", "span").limit(TRAIN_ISLANDS).collect()
-    return train([(r.kind, r.span) for r in rows])
+def fit(docs: DataFrame, text_col: str = "text") -> np.ndarray:
+    """Train on base spans of all texts: the ``TRAIN_SPANS`` distinct ones of each kind that come
+    first by hash, with fixed examples for kinds of which there are hardly any."""
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The first spans of a task; the first of all are among those of the tasks."""
+        kept: dict[str, list[tuple[int, str]]] = {kind: [] for kind in KINDS}
+        for batch in slices(batches):
+            new: dict[str, set[tuple[int, str]]] = {}
+            for t in batch.column(0).to_pylist():
+                for s in base_spans(t) if t else ():
+                    # A span that is no island by itself shows the field nothing.
+                    if s.end - s.start <= 100 and _shown(s.kind, span := t[s.start:s.end]):
+                        new.setdefault(s.kind, set()).add((_rank(s.kind, span), span))
+            for kind, spans in new.items():
+                kept[kind] = nsmallest(TRAIN_SPANS, spans.union(kept[kind]))
+        found = [(kind, *one) for kind, spans in kept.items() for one in spans]
+        yield pa.RecordBatch.from_pydict(
+            {"kind": [k for k, _, _ in found], "hash": [h for _, h, _ in found],
+             "span": [s for _, _, s in found]},
+            schema=pa.schema([("kind", pa.string()), ("hash", pa.int64()), ("span", pa.string())]))
+
+    spans = docs.select(text_col).mapInArrow(first, "kind string, hash bigint, span string").distinct()
+    rank = F.row_number().over(Window.partitionBy("kind").orderBy("hash", "span"))
+    rows = spans.withColumn("rank", rank).where(F.col("rank") <= TRAIN_SPANS).collect()
+    examples = sorted((KINDS.index(r.kind), r.rank, r.span) for r in rows)
+    found = [(KINDS[k], span) for k, _, span in examples]
+    for kind in KINDS:
+        missing = max(0, LEAST_SPANS - sum(k == kind for k, _ in found))
+        found += [(kind, span) for span in FORMATS[kind][:missing]]
+    return train(found)
+
+
+def _shown(kind: str, span: str) -> bool:
+    return kind == "email" or next(islands(f" {span} "), None) is not None
 
 
 def all_spans(text: str, weights: np.ndarray | None) -> list[Span]:
@@ -342,7 +379,7 @@ def find(docs: DataFrame, text_col: str = "text", spans_col: str = "pii_spans",
 
     A null or empty text has no spans. Repeated rows stay; all other columns pass through, and one
     that is already called ``spans_col`` is replaced. Without ``weights`` they are fitted on
-    ``docs``; where no text has a base span, nothing is added.
+    ``docs``; kinds without base spans there are known to the field by fixed examples.
     """
     if weights is None:
         weights = fit(docs, text_col)
