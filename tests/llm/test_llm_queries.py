@@ -15,6 +15,9 @@ COLUMNS = {
     "op7_pii_spans": "doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint,"
     " base_sha256 string, spans string",
     "op8_toxicity": "doc_id bigint, held_out boolean, score double, predicted int",
+    "op12_embedding_whitening": "vec_id bigint, component int, n bigint, deviation bigint,"
+    " whitened double, explained double, identity_error double",
+    "op13_quality_classifier": "doc_id bigint, held_out boolean, score double, predicted int",
 }
 
 
@@ -25,7 +28,7 @@ def con(sf_dir):
 
 def test_all_are_registered():
     numbers = sorted(int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op"))
-    assert numbers == list(range(1, 11)) and "pipeline" in QUERIES
+    assert numbers == list(range(1, 14)) and "pipeline" in QUERIES
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))

@@ -1,0 +1,114 @@
+"""Importance resampling against a plain computation of its definition."""
+
+import hashlib
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import pytest
+from helpers import unordered
+from pyspark.sql import functions as F
+
+from trilode.llm.resample import cutoff, ranked, resample, weighted_median
+
+WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
+
+
+def plain(docs, target, percent=10, least=20, buckets=10_000, longest=1):
+    """``{row: (id, features, weight, score, rank)}`` straight from the definition."""
+
+    def words(text):
+        return WORD.findall("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+
+    def found(text):
+        w = words(text)
+        return [zlib.crc32(" ".join(w[i:i + n]).encode()) % buckets
+                for n in range(1, longest + 1) for i in range(len(w) - n + 1)]
+
+    s, t = Counter(), Counter()
+    for _, text in docs:
+        s.update(found(text))
+    for text in target:
+        t.update(found(text))
+    over, under = s.total() + buckets, t.total() + buckets
+    rows = []
+    for doc_id, text in docs:
+        features = found(text)
+        weight = sum(math.floor(1000 * math.log((t[b] + 1) * over / ((s[b] + 1) * under)))
+                     for b in features)
+        h = int(hashlib.sha256(f"2024:{'' if doc_id is None else doc_id}".encode()).hexdigest()[:8], 16)
+        score = weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296)))
+        rows.append([doc_id, len(features), weight, score, len(words(text))])
+    able = [r for r in rows if r[4] >= least]
+    able.sort(key=lambda r: (-r[3], r[0] is None, r[0] or 0))
+    ranks = {id(r): k + 1 for k, r in enumerate(able[:len(able) * percent // 100])}
+    return sorted(((*r[:4], ranks.get(id(r))) for r in rows), key=repr)
+
+
+def frame(spark, docs):
+    return spark.createDataFrame(docs, "doc_id bigint, text string").repartition(5)
+
+
+@pytest.mark.parametrize("longest, buckets", [(1, 10_000), (2, 50)])
+def test_same_as_the_definition(spark, longest, buckets):
+    draw = random.Random(7)
+    docs = [(i, " ".join(draw.choice(["Ab", "c", "Ü9", "x-y", " z"])
+                         for _ in range(draw.randrange(60)))) for i in range(300)]
+    docs += [(1000 + i, docs[5][1] + " ab c ab c" * 9) for i in range(40)]  # ties in weight
+    target = ["ab c ab c", None, "", "Ü9 Ü9"]
+    for finish in (1, 64):
+        got = resample(frame(spark, docs), spark.createDataFrame([(t,) for t in target], "text string"),
+                       buckets=buckets, longest=longest, chunk=16, finish=finish)
+        assert unordered(got) == plain(docs, target, buckets=buckets, longest=longest)
+
+
+def test_odd_rows(spark, odd, none):
+    got = resample(odd, odd.select("text"), percent=50)
+    rows = [(r.doc_id, r.text) for r in odd.select("doc_id", "text").collect()]
+    assert unordered(got) == plain(rows, [t for _, t in rows], percent=50)
+    nothing = resample(none, odd)
+    assert nothing.count() == 0
+    assert [t for _, t in nothing.dtypes] == ["bigint"] * 5
+    without = resample(odd, none, percent=100)
+    assert without.where("rank IS NOT NULL").count() == 2  # the two long texts
+    assert without.count() == odd.count()
+
+
+def test_equal_rows_are_drawn_in_the_stated_number(spark):
+    docs = [(3, "w " * 20)] * 10 + [(None, "w " * 20)] * 10
+    got = resample(frame(spark, docs), frame(spark, docs), percent=25, finish=1, chunk=4)
+    assert sorted(r.rank for r in got.where("rank IS NOT NULL").collect()) == [1, 2, 3, 4, 5]
+
+
+def test_ids_must_be_whole_numbers(spark):
+    df = spark.createDataFrame([("a", "b")], "doc_id string, text string")
+    with pytest.raises(TypeError, match="integer id"):
+        resample(df, df)
+
+
+def test_cutoff_is_exact_and_passes_discard(spark):
+    draw = random.Random(3)
+    keys = [(draw.randrange(20), draw.randrange(30), i) for i in range(2000)]
+    df = spark.createDataFrame(keys, "falling bigint, by_id bigint, row bigint").repartition(7)
+    ordered = sorted(keys)
+    for count in (1, 2, 777, 1999, 2000):
+        assert tuple(cutoff(df, count, chunk=64, finish=1)) == ordered[count - 1]
+        assert tuple(cutoff(df, count, chunk=100_000, finish=10)) == ordered[count - 1]
+    assert cutoff(df, 0) is None and cutoff(df, 2001) is None
+    placed = ranked(df.where(F.col("falling") < 10)).collect()
+    wanted = [k for k in ordered if k[0] < 10]
+    assert [(r.falling, r.by_id, r.row) for r in sorted(placed, key=lambda r: r["rank"])] == wanted
+    assert sorted(r["rank"] for r in placed) == list(range(1, len(wanted) + 1))
+
+
+def test_weighted_median_leaves_a_quarter_on_either_side():
+    draw = random.Random(1)
+    for _ in range(50):
+        parts = [sorted(draw.randrange(1000) for _ in range(draw.randrange(1, 40)))
+                 for _ in range(draw.randrange(1, 12))]
+        pivot = weighted_median([(len(p), (p[(len(p) - 1) // 2],)) for p in parts])[0]
+        every = [x for p in parts for x in p]
+        assert 4 * sum(x <= pivot for x in every) >= len(every)
+        assert 4 * sum(x >= pivot for x in every) >= len(every)

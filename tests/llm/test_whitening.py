@@ -1,0 +1,124 @@
+"""Whitening against a decomposition of the whole matrix at once."""
+
+import math
+from decimal import Decimal
+
+import numpy as np
+import pytest
+from helpers import plan
+
+from trilode.llm import whitening
+from trilode.llm.sums import matrix_sum
+from trilode.llm.whitening import Centre, factor, fit, solve, usable, whitened
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(4)
+
+
+def check(spark, rows, components=8, within=1e-8):
+    good = {i: v for i, v in rows if v}
+    x = np.array([[math.floor(1024 * e) + 100_000 for e in v] for v in good.values()])
+    n, k = len(x), min(components, x.shape[1])
+    centred = (n * x - x.sum(axis=0)) / n
+    _, singular, right = np.linalg.svd(centred, full_matrices=False)
+    df = frame(spark, rows)
+    got = whitened(df, fit(df, components=components)).collect()
+    assert len(got) == n * k
+    by_id = {(r.vec_id, r.component): r for r in got}
+    for j in range(k):
+        e = singular[j] ** 2 / n
+        mine = np.array([by_id[i, j + 1].whitened for i in good])
+        wanted = centred @ right[j] / np.sqrt(e)
+        sign = np.sign(mine @ wanted)
+        np.testing.assert_allclose(mine * sign, wanted, atol=within)
+        share = e / (singular**2 / n).sum()
+        assert by_id[next(iter(good)), j + 1].explained == pytest.approx(share, rel=1e-10)
+    for i, row in zip(good, x):
+        r = by_id[i, 1]
+        assert r.n == n
+        assert r.deviation == sum(int(n * v - s) ** 2 for v, s in zip(row, x.sum(axis=0)))
+        assert r.identity_error < 1e-9
+
+
+def test_same_as_a_whole_decomposition(spark):
+    draw = np.random.default_rng(1)
+    x = draw.standard_normal((400, 12)) * np.logspace(0, 3, 12)
+    check(spark, [(i, list(map(float, v))) for i, v in enumerate(x)])
+    check(spark, [(i, list(map(float, v))) for i, v in enumerate(x[:, :3])])
+
+
+def test_ill_conditioned_vectors(spark):
+    draw = np.random.default_rng(2)
+    x = draw.standard_normal((500, 6)) @ np.diag([1e9, 1e6, 1e3, 1.0, 1.0, 1e-1])
+    x[:, 5] += x[:, 0]
+    check(spark, [(i, list(map(float, v))) for i, v in enumerate(x)], components=5, within=1e-5)
+
+
+def test_dependent_and_constant_dimensions(spark):
+    draw = np.random.default_rng(3)
+    x = draw.integers(-40, 40, (200, 3)) / 1024
+    x = np.column_stack([x, x[:, 0] + x[:, 1], np.full(200, 0.25)])
+    df = frame(spark, [(i, list(map(float, v))) for i, v in enumerate(x)])
+    model = fit(df)
+    assert (model.values[:3] > 0).all() and (model.values[3:] == 0).all()
+    assert model.explained.sum() == pytest.approx(1)
+    assert model.identity_error == pytest.approx(1)  # components without variance show
+    assert {r.whitened for r in whitened(df, model).where("component > 3").collect()} == {0.0}
+
+
+def test_odd_rows(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(None, [1.0, 2.0]), (1, None), (2, [nan, 1.0]), (3, [1.0, inf]), (4, [None, 1.0]),
+            (5, [0.5, -2.0]), (5, [0.5, -2.0]), (6, []), (7, [1.0, 2.0, 3.0]), (8, [-0.0, 1e-9])]
+    df = frame(spark, rows).selectExpr("*", "'clash' AS v", "'clash' AS i", "'clash' AS n", "1 AS line")
+    got = whitened(df, fit(df)).collect()
+    assert sorted((str(r.vec_id), r.component) for r in got) == sorted(
+        (i, c) for i in ("None", "5", "5", "8") for c in (1, 2))
+    assert {r.n for r in got} == {4}
+    assert fit(df.limit(0)) is None
+    assert whitened(df.limit(0), None).count() == 0
+    one = frame(spark, [(1, [3.0, 4.0])])
+    alone = whitened(one, fit(one)).collect()
+    assert [(r.deviation, r.whitened, r.explained) for r in alone] == [(0, 0.0, 0.0)] * 2
+    with pytest.raises(Exception, match="not whole any more"):
+        fit(frame(spark, [(1, [1e300])]))
+
+
+def test_sums_beyond_64_bits():
+    x = np.array([[1 << 34, 0], [0, 3]])
+    centre = Centre(10**8, [1 << 34, 3], 1 << 34)
+    wanted = [sum((10**8 * int(v) - s) ** 2 for v, s in zip(row, centre.sums)) for row in x]
+    assert max(wanted) > 1 << 64
+    assert centre.deviations(x).to_pylist() == [Decimal(w) for w in wanted]
+    small = Centre(2, [1, 2], 5)
+    assert small.deviations(np.array([[1, 0]])).to_pylist() == [Decimal(1 + 4)]
+
+
+def test_triangular_steps():
+    draw = np.random.default_rng(4)
+    rows, upper = draw.standard_normal((9, 5)), np.triu(draw.standard_normal((5, 5))) + 3 * np.eye(5)
+    np.testing.assert_allclose(solve(rows, upper) @ upper, rows)
+    gram = np.outer([1.0, 2.0], [1.0, 2.0])
+    upper, shifted = factor(gram, 10, False)
+    assert shifted
+    np.testing.assert_allclose(upper.T @ upper, gram, atol=1e-9)
+
+
+def test_matrix_sums_do_not_meet_in_one_task(spark):
+    df = spark.range(0, 1000, 1, 40).toDF("k")
+
+    def partial(batches):
+        return sum((b["k"].to_numpy().sum() * np.array([[1.0, 2.0], [0.0, 3.0]]) for b in batches),
+                   np.zeros((2, 2)))
+
+    np.testing.assert_allclose(matrix_sum(df, partial, (2, 2)),
+                               499_500 * np.array([[1.0, 2.0], [0.0, 3.0]]))
+    assert not matrix_sum(df.limit(0), partial, (2, 2)).any()
+
+
+def test_plan_has_no_shuffle_of_rows(spark):
+    df = frame(spark, [(1, [1.0, 2.0]), (2, [0.0, 1.0])])
+    model = fit(df)
+    assert "Exchange" not in plan(whitened(spark.createDataFrame(df.collect(), df.schema), model), "simple")
+    assert usable(df, 2).count() == 2 and whitening.dimensions(df) == 2

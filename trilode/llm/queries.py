@@ -15,10 +15,13 @@ from trilode.llm import (
     licenses,
     packing,
     pii,
+    quality_classifier,
+    resample,
     simhash,
     token_counts,
     toxicity,
     warc,
+    whitening,
 )
 from trilode.llm.common import crc_mod, new_folder, stored, table
 
@@ -251,6 +254,78 @@ SELECT doc_id, item_id,
 FROM m GROUP BY doc_id, item_id HAVING similarity >= 0.8
 """
 
+
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP11_SQL = r"""
+WITH RECURSIVE bits AS (
+    SELECT i AS byte, i AS v, 0 AS step FROM range(256) AS r(i)
+    UNION ALL
+    SELECT byte, CASE WHEN v & 1 = 1 THEN xor(3988292384, v >> 1) ELSE v >> 1 END, step + 1
+    FROM bits WHERE step < 8),
+crc AS (SELECT list(v ORDER BY byte) AS t FROM bits WHERE step = 8),
+lowered AS (
+    SELECT 'd' AS side, doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz') AS text FROM documents
+    UNION ALL
+    SELECT 't', NULL, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz') FROM benchmark),
+w AS (
+    SELECT side, doc_id, unnest(regexp_extract_all(text, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word
+    FROM lowered),
+hexed AS (SELECT word, hex(encode(word)) AS h FROM (SELECT DISTINCT word FROM w)),
+b AS (
+    SELECT word, xor(4294967295, list_reduce(
+        list_concat([4294967295::BIGINT], [('0x' || h[2 * i + 1:2 * i + 2])::BIGINT
+            FOR i IN range(length(h) // 2)]),
+        lambda c, x: xor(c >> 8, t[xor(c & 255, x) + 1]))) % 10000 AS bucket
+    FROM hexed, crc),
+k AS (SELECT side, doc_id, bucket, count(*) AS n FROM w JOIN b USING (word) GROUP BY ALL),
+f AS (
+    SELECT bucket, sum(n) FILTER (side = 'd') AS s, coalesce(sum(n) FILTER (side = 't'), 0) AS t
+    FROM k GROUP BY bucket),
+a AS (SELECT coalesce(sum(s), 0) AS s, coalesce(sum(t), 0) AS t FROM f),
+g AS (
+    SELECT bucket, CAST(floor(1000 * ln(((f.t + 1)::DOUBLE * (a.s + 10000)::DOUBLE)
+        / ((f.s + 1)::DOUBLE * (a.t + 10000)::DOUBLE))) AS BIGINT) AS gain
+    FROM f, a WHERE f.s IS NOT NULL),
+d AS (
+    SELECT doc_id, sum(n) AS n, sum(n * gain) AS weight FROM k JOIN g USING (bucket)
+    WHERE side = 'd' GROUP BY doc_id),
+e AS (
+    SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_features,
+        CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+        CAST(coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT
+            + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
+    FROM documents LEFT JOIN d USING (doc_id)),
+r AS (
+    SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS able
+    FROM e WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= able * 10 // 100 THEN place END AS rank
+FROM e LEFT JOIN r USING (doc_id)
+"""
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    found = whitening.whitened(rows, whitening.fit(rows))
+    return found.withColumn("deviation", F.col("deviation").cast("bigint"))
+
+
+def op13_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = stored(quality_classifier.with_statistics(docs).drop("text"), "statistics")
+    model = quality_classifier.fit(
+        rows, table(spark, sf_dir, "labels"), crc_mod("doc_id", 5) != 0)
+    held_out = F.coalesce(crc_mod("doc_id", 5) == 0, F.lit(False))
+    score = F.col("quality")
+    return quality_classifier.score(rows, model).select(
+        "doc_id", held_out.alias("held_out"), score.alias("score"),
+        (score >= 0.3).cast("int").alias("predicted"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_packing": op2_packing,
@@ -262,6 +337,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_license_scan": op9_license_scan,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
+    "op11_importance_resampling": op11_importance_resampling,
+    "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_quality_classifier": op13_quality_classifier,
     "pipeline": corpus_pipeline.run,
 }
 ORACLES: dict[str, str] = {
@@ -270,4 +348,5 @@ ORACLES: dict[str, str] = {
     "op6_host_quality": OP6_SQL,
     "op9_license_scan": OP9_SQL,
     "op10_benchmark_decontamination": OP10_SQL,
+    "op11_importance_resampling": OP11_SQL,
 }
