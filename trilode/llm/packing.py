@@ -1,7 +1,7 @@
 """Cost-balanced packing of tokenized documents into sequences of fixed length.
 
 Documents are tokenized and cut at multiples of the sequence length; such full pieces are
-sequences of their own. What is left of each document goes to a packing group, by hash, of a
+sequences of their own and go into no group. What is left of each document goes to a packing group, by hash, of a
 bounded number of tokens. Within a group the pieces are taken by falling cost (linear plus
 quadratic in their length), and each goes to the cheapest sequence that still has room. A piece
 that fits nowhere is cut, so that only a share ``SLACK`` of each group is padding.
@@ -16,6 +16,7 @@ import math
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import cache, reduce
 
@@ -52,16 +53,31 @@ def _tokenizer(path: str | None):
     return Tokenizer.from_file(path or public_tokenizers.path("word_bpe_49k.json"))
 
 
+class _Places(dict):
+    """Words and the places of their ids in a list; words not met before are gathered."""
+
+    def __init__(self):
+        super().__init__()
+        self.fresh: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        place = self[word] = len(self)
+        self.fresh.append(word)
+        return place
+
+
 class Encoder:
     """Token ids of texts as little-endian unsigned 32-bit bytes.
 
     The tokenizer drops white space and case and never joins across white space, so each word is
-    encoded once and remembered.
+    encoded once and remembered. Words are looked up as they stand in the text; only a new one is cut
+    at punctuation, and only parts not met before go to the tokenizer.
     """
 
     def __init__(self, path: str | None = None):
         self.tokenizer = _tokenizer(path)
-        self.known: dict[bytes, bytes] = {}
+        self.places, self.ids = _Places(), []
+        self.parts: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
 
     def batch(self, texts: list[bytes | None]) -> Iterator[bytes]:
@@ -77,22 +93,40 @@ class Encoder:
 
     @staticmethod
     def _words(text: bytes) -> list[bytes]:
-        if b"<|" in text:  # may be a special token, which is matched as it is written
-            return text.split()
-        return _PUNCTUATION.sub(rb" \g<0>", text.lower()).split()
+        # "<|" may begin a special token, which is matched as it is written
+        return (text if b"<|" in text else text.lower()).split()
 
     def _encode(self, docs: list[list[bytes]]) -> Iterator[bytes]:
-        if len(self.known) > CACHE_WORDS:
-            self.older, self.known = self.known, {}  # words met again come back from there
-        fresh = set().union(*docs).difference(self.known)
-        again = {w for w in fresh if w in self.older}
-        self.known.update((w, self.older[w]) for w in again)
+        if len(self.places) > CACHE_WORDS:
+            self.places, self.ids = _Places(), []
+        place = self.places.__getitem__
+        found = [list(map(place, words)) for words in docs]
+        self._learn()
+        ids = self.ids.__getitem__
+        for places in found:
+            yield b"".join(map(ids, places))
+
+    def _learn(self) -> None:
+        """Ids of the words that have been met for the first time."""
+        cut = [[word] if b"<|" in word else _PUNCTUATION.sub(rb" \g<0>", word).split(b" ")
+               for word in self.places.fresh]
+        self.places.fresh = []
+        if len(self.parts) > CACHE_WORDS:
+            self.older, self.parts = self.parts, {}  # parts met again come back from there
+        fresh = set().union(*cut).difference(self.parts)
+        again = {p for p in fresh if p in self.older}
+        self.parts.update((p, self.older[p]) for p in again)
         new = [*fresh.difference(again)]
-        found = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-        self.known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(new, found))
-        get = self.known.__getitem__
-        for words in docs:
-            yield b"".join(map(get, words))
+        found = self.tokenizer.encode_batch_fast([p.decode() for p in new], add_special_tokens=False)
+        self.parts.update((p, array("I", e.ids).tobytes()) for p, e in zip(new, found))
+        get = self.parts.__getitem__
+        self.ids.extend(b"".join(map(get, parts)) for parts in cut)
+
+
+@cache
+def _encoder(path: str | None) -> Encoder:
+    """One per Python worker, which goes from task to task and takes the known words along."""
+    return Encoder(path)
 
 
 def _crcs(data: bytes) -> list[int]:
@@ -121,7 +155,7 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     kind = narrow.schema["doc_id"].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, ordinal = Encoder(tokenizer_path), 0
+        encoder, ordinal = _encoder(tokenizer_path), 0
         end = np.array([end_id], "<u4").tobytes()
         schema = pa.schema([
             *((n, pa.int64()) for n in ("start", "length", "ids_crc32", "doc_tokens", "ordinal")),
@@ -195,9 +229,12 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length
     the token ids. Null and empty texts are one end id. Rows with a null or a repeated id are
     packed like any others. An empty table gives no rows. Other columns are not read.
     """
-    cut = stored(pieces(docs, id_col, text_col, length, end_id, tokenizer_path, with_ids), "pieces")
-    rest = cut.where(F.col("length") < length).agg(F.sum("length")).first()[0] or 0
-    groups = max(1, math.ceil(rest / group_tokens))
+    cut = stored(
+        pieces(docs, id_col, text_col, length, end_id, tokenizer_path, with_ids).withColumn(
+            "place", F.monotonically_increasing_id()), "pieces")
+    rest = cut.where(F.col("length") < length).drop("place")
+    tokens = rest.agg(F.sum("length")).first()[0] or 0
+    groups = max(1, math.ceil(tokens / group_tokens))
     group = F.pmod(F.xxhash64("doc_id", "start", "ordinal", "ids_crc32"), F.lit(groups))
     kind = cut.schema["doc_id"].dataType.simpleString()
 
@@ -206,11 +243,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length
                                ("start", "ascending")])
         sizes = table["length"].to_numpy()
         base = key[0].as_py() << 32
-        full = np.flatnonzero(sizes == length)
-        short = np.flatnonzero(sizes < length)
-        rows = [(int(k), 0, length, i) for i, k in enumerate(full)]
-        rows += [(int(short[k]), a, b, s + len(full)) for k, a, b, s in assign(
-            sizes[short], length, slack, grid=1 if with_ids else GRID)]
+        rows = assign(sizes, length, slack, grid=1 if with_ids else GRID)
         filled: dict[int, int] = {}
         out = []
         starts, crcs = table["start"].to_pylist(), table["ids_crc32"].to_pylist()
@@ -225,7 +258,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length
                 crc = reduce(_join_crc, zip(blocks, left), 0)
             at = filled.get(sequence, 0)
             filled[sequence] = at + b - a
-            out.append((starts[k] + a, b - a, crc, base + sequence, at,
+            out.append((starts[k] + a, b - a, crc, 2 * (base + sequence), at,
                         ids and np.frombuffer(ids, "<u4").tolist()))
         names = ("start", "length", "ids_crc32", "sequence_id", "offset")
         columns = list(zip(*out))
@@ -236,9 +269,20 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length
             arrays["ids"] = pa.array(columns[5], pa.list_(pa.int64()))
         return pa.table({n: arrays[n] for n in [*OUT, *(["ids"] if with_ids else [])]})
 
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 64):
+            ids = [np.frombuffer(i, "<u4").tolist() for i in batch["ids"].to_pylist()]
+            at = batch.schema.get_field_index("ids")
+            yield batch.set_column(at, "ids", pa.array(ids, pa.list_(pa.int64())))
+
+    names = [*OUT, *(["ids"] if with_ids else [])]
     schema = ", ".join(f"`{n}` {kind if n == 'doc_id' else 'bigint'}" for n in OUT)
-    return cut.withColumn("group", group).groupBy("group").applyInArrow(
-        place, schema + (", ids array<bigint>" if with_ids else ""))
+    schema += ", ids array<bigint>" if with_ids else ""
+    packed = rest.withColumn("group", group).groupBy("group").applyInArrow(place, schema)
+    # a full piece is a sequence of its own, whose id is odd
+    full = cut.where(F.col("length") == length).withColumns(
+        {"sequence_id": F.lit(2) * F.col("place") + 1, "offset": F.lit(0).cast("bigint")}).select(*names)
+    return packed.unionByName(full.mapInArrow(unpack, schema) if with_ids else full)
 
 
 OUT = ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
