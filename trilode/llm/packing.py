@@ -16,7 +16,6 @@ import math
 import os
 import re
 import zlib
-from array import array
 from collections.abc import Iterator
 from functools import cache, reduce
 
@@ -118,7 +117,7 @@ class Encoder:
         self.parts.update((p, self.older[p]) for p in again)
         new = [*fresh.difference(again)]
         found = self.tokenizer.encode_batch_fast([p.decode() for p in new], add_special_tokens=False)
-        self.parts.update((p, array("I", e.ids).tobytes()) for p, e in zip(new, found))
+        self.parts.update((p, np.array(e.ids, "<u4").tobytes()) for p, e in zip(new, found))
         get = self.parts.__getitem__
         self.ids.extend(b"".join(map(get, parts)) for parts in cut)
 
