@@ -104,3 +104,23 @@ def test_cheapest_sequence_is_taken():
 @given(st.binary(max_size=300), st.binary(max_size=300))
 def test_joined_checksum(a, b):
     assert packing._join_crc(zlib.crc32(a), (zlib.crc32(b), len(b))) == zlib.crc32(a + b)
+
+
+def test_plain_words_are_encoded_together_as_alone():
+    encoder = packing.Encoder()
+    texts = [" ".join(f"{a}{b}" for b in ("Über", "x", "ÿé", "the", "ABC", "qzxj", "İk", "it's"))
+             for a in ("", "ß", "Wer", "un")]
+    got = list(encoder.batch([t.encode() for t in texts]))
+    assert [np.frombuffer(b, "<u4").tolist() for b in got] == [ids(t)[:-1] for t in texts]
+    encoder.ends[:] = False  # a vocabulary without marks of word ends goes word by word
+    encoder.places, encoder.ids, encoder.parts = packing._Places(), [], {}
+    assert list(encoder.batch([t.encode() for t in texts])) == got
+
+
+def test_full_pieces_go_into_no_group(spark):
+    df = spark.createDataFrame([(1, "a " * 5000), (2, "b c")], "doc_id bigint, text string")
+    rows = packing.pack(df, length=64).collect()
+    full = [r for r in rows if r.length == 64 and r.sequence_id % 2]
+    assert len(full) == 5001 // 64 and len({r.sequence_id for r in full}) == len(full)
+    assert {r.offset for r in full} == {0}
+    assert all(r.sequence_id % 2 == 0 for r in rows if r not in full)

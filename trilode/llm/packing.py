@@ -18,6 +18,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import cache, reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +41,10 @@ LINEAR, QUADRATIC = 1.0, 1.0 / 1024
 # there anyway, so cutting first changes no id and leaves far fewer different words.
 _PUNCTUATION = re.compile(
     rb"[.,!?#*$%&|;:](?:(?<=[a-z0-9].)|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf].))")
+# Words of letters that stay one piece before the merges: such words can be encoded many at a time.
+_PLAIN = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+WORD_END = "</w>"
+TOGETHER = 50
 
 
 @cache
@@ -75,6 +80,9 @@ class Encoder:
 
     def __init__(self, path: str | None = None):
         self.tokenizer = _tokenizer(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
         self.places, self.ids = _Places(), []
         self.parts: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
@@ -107,20 +115,33 @@ class Encoder:
 
     def _learn(self) -> None:
         """Ids of the words that have been met for the first time."""
-        cut = [[word] if b"<|" in word else _PUNCTUATION.sub(rb" \g<0>", word).split(b" ")
-               for word in self.places.fresh]
+        cut = [[word] if _PLAIN.fullmatch(word) or b"<|" in word
+               else _PUNCTUATION.sub(rb" \g<0>", word).split(b" ") for word in self.places.fresh]
         self.places.fresh = []
         if len(self.parts) > CACHE_WORDS:
             self.older, self.parts = self.parts, {}  # parts met again come back from there
-        fresh = set().union(*cut).difference(self.parts)
-        again = {p for p in fresh if p in self.older}
+        fresh = set(chain.from_iterable(cut)).difference(self.parts)
+        again = {p for p in fresh if p in self.older} if self.older else set()
         self.parts.update((p, self.older[p]) for p in again)
-        new = [*fresh.difference(again)]
-        found = self.tokenizer.encode_batch_fast([p.decode() for p in new], add_special_tokens=False)
-        self.parts.update((p, np.array(e.ids, "<u4").tobytes()) for p, e in zip(new, found))
+        plain, other = [], []
+        for part in fresh.difference(again):
+            (plain if _PLAIN.fullmatch(part) else other).append(part)
+        groups = [plain[i:i + TOGETHER] for i in range(0, len(plain), TOGETHER)]
+        for words, ids in zip(groups, self._ids([b" ".join(g) for g in groups])):
+            last = 4 * (np.flatnonzero(self.ends[np.frombuffer(ids, "<u4")]) + 1)
+            if len(last) == len(words):  # each word has one token that ends a word
+                at = [0, *last.tolist()]
+                self.parts.update((w, ids[a:b]) for w, a, b in zip(words, at, at[1:]))
+            else:
+                other += words
+        self.parts.update(zip(other, self._ids(other)))
         get = self.parts.__getitem__
         self.ids.extend(b"".join(map(get, parts)) for parts in cut)
 
+    def _ids(self, texts: list[bytes]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
+        return [np.array(e.ids, "<u4").tobytes() for e in found]
+
 
 @cache
 def _encoder(path: str | None) -> Encoder:
