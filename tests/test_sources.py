@@ -9,9 +9,11 @@ from trilode.sources import (
     ensure_table,
     inline_rows,
     last_mark,
+    late_rows,
     load_increment,
     plan_increment,
     read_files,
+    read_increments,
     read_query,
     sales_rows,
     sales_sample,
@@ -207,14 +209,79 @@ def test_increments(spark, root):
     assert load_increment(spark, source(), control, out) == 3  # with the row that has no mark
     assert load_increment(spark, source(), control, out) == 0
     feed(spark, [(day(1), 1), (day(2), 2), (day(3), 3), (day(2), 4), (None, 9), (None, 8)])
-    assert load_increment(spark, source(), control, out) == 1
+    # the new mark, and two late rows: one with the old mark, one without any
+    assert load_increment(spark, source(), control, out) == 3
+    assert load_increment(spark, source(), control, out) == 0
     assert unmarked_rows(spark, source()) == 2
     bronze = spark.read.parquet(out)
-    assert unordered(bronze.select("v")) == [(1,), (2,), (3,), (9,)]
+    assert unordered(bronze.select("v")) == [(1,), (2,), (3,), (4,), (8,), (9,)]
     assert {"ingestion_timestamp", "source_query", "loaded_after"} <= set(bronze.columns)
     assert spark.read.parquet(control).count() == 2
 
 
+def control_rows(spark, path):
+    return unordered(spark.read.parquet(path).select(
+        "load_number", "last_value", "rows", "late_ties", "late_unmarked"))
+
+
+def test_ties_and_rows_without_a_mark_that_come_late(spark, root):
+    """Copies are counted; rows that were there are not loaded again, also when the source has
+    been emptied of them in between."""
+    control, out = f"{root}/control", f"{root}/bronze"
+    feed(spark, [(3, 1), (2, 2)], "k int, v int")
+    assert load_increment(spark, source(), control, out) == 2
+    feed(spark, [(3, 1), (3, 1), (3, 5), (None, 7), (None, 7)], "k int, v int")
+    assert load_increment(spark, source(), control, out) == 4
+    feed(spark, [(3, 6), (None, 8)], "k int, v int")
+    assert load_increment(spark, source(), control, out) == 2
+    feed(spark, [(3, 1), (3, 1), (3, 5), (3, 6), (None, 7), (None, 8), (4, 9)], "k int, v int")
+    assert load_increment(spark, source(), control, out) == 1
+    assert [v for v, in unordered(read_increments(spark, out).select("v"))] == [
+        1, 1, 2, 5, 6, 7, 7, 8, 9]
+    assert control_rows(spark, control) == [
+        (0, "3", 2, 0, 0), (1, "3", 4, 2, 2), (2, "3", 2, 1, 1), (3, "4", 1, 0, 0)]
+
+
+def test_a_source_without_any_mark_at_first(spark, root):
+    control, out = f"{root}/control", f"{root}/bronze"
+    feed(spark, [(None, 1)], "k int, v int")
+    assert [load_increment(spark, source(), control, out) for _ in range(2)] == [1, 0]
+    feed(spark, [(None, 1), (None, 2)], "k int, v int")
+    assert load_increment(spark, source(), control, out) == 1
+    feed(spark, [(None, 1), (None, 2), (None, 3), (7, 4)], "k int, v int")
+    assert [load_increment(spark, source(), control, out) for _ in range(2)] == [2, 0]
+    assert [v for v, in unordered(read_increments(spark, out).select("v"))] == [1, 2, 3, 4]
+
+
+def test_a_source_that_grew_a_column(spark, root):
+    control, out = f"{root}/control", f"{root}/bronze"
+    feed(spark, [(1, 1), (1, 1)], "k int, v int")
+    load_increment(spark, source(), control, out)
+    feed(spark, [(1, 1, {"a": 1}), (1, 1, {"a": 2}), (1, 1, None), (1, 2, None)],
+         "k int, v int, w map<string,int>")
+    assert load_increment(spark, source(), control, out) == 2
+    assert read_increments(spark, out).count() == 4
+
+
+def test_bounds_of_windows_are_text(spark, root):
+    feed(spark, [("007", 1)], "k string, v int")
+    load_increment(spark, source(), f"{root}/c", f"{root}/b")
+    feed(spark, [("008", 2)], "k string, v int")
+    load_increment(spark, source(), f"{root}/c", f"{root}/b")
+    bronze = read_increments(spark, f"{root}/b")
+    assert unordered(bronze.select("v", "loaded_after")) == [(1, None), (2, "007")]
+
+
+def test_late_rows_read_only_what_can_hold_them(spark, root):
+    control, out = f"{root}/control", f"{root}/bronze"
+    for n in (1, 2, 3):
+        feed(spark, [(k, k) for k in range(n + 1)], "k int, v int")
+        load_increment(spark, source(), control, out)
+    text = plan(late_rows(spark, source(), "3", out, 3, 2))
+    assert "load_number" in text.split("PartitionFilters")[1]
+    assert "EqualTo(k,3)" in text
+
+
 def test_a_window_is_replaced_when_the_mark_did_not_move(spark, root, monkeypatch):
     control, out = f"{root}/control", f"{root}/bronze"
     feed(spark, [(day(1), 1)])

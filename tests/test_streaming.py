@@ -1,7 +1,9 @@
 from pathlib import Path
 
+import pytest
 from helpers import rows, unordered
 
+from trilode.sinks.write import remove
 from trilode.spec import EventSource
 from trilode.streaming import ingest_stream, landing_stream, load_arrivals, read_arrivals
 
@@ -63,20 +65,90 @@ def test_files_per_batch_are_capped(spark, root):
     assert len([p for p in query.recentProgress if p["numInputRows"]]) == 3
 
 
-def test_archive_follows_one_batch_later(spark, root):
+def names(folder, pattern="*.csv"):
+    return sorted(p.name for p in Path(folder).rglob(pattern))
+
+
+def test_committed_files_are_archived(spark, root):
     archive = f"{root}/processed"
-    drop(root, "a.csv", "n,s\n1,x\n")
-    load(spark, root, archive_dir=archive)
-    drop(root, "b.csv", "n,s\n2,x\n")
-    load(spark, root, archive_dir=archive)
-    drop(root, "c.csv", "n,s\n3,x\n")
-    load(spark, root, archive_dir=archive)
-    archived = {p.name for p in Path(archive).rglob("*.csv")}
-    waiting = {p.name for p in Path(root, "landing").glob("*.csv")}
-    assert archived | waiting == {"a.csv", "b.csv", "c.csv"} and "a.csv" in archived
+    for name in "abc":
+        drop(root, f"{name}.csv", f"n,s\n{ord(name)},x\n")
+        assert load(spark, root, archive_dir=archive) == 1
+        assert names(f"{root}/landing") == []
+    assert names(archive) == ["a.csv", "b.csv", "c.csv"]
     assert spark.read.parquet(f"{root}/bronze").count() == 3
 
 
+def test_archive_makes_good_for_a_run_that_died(spark, root, monkeypatch):
+    archive = f"{root}/processed"
+    drop(root, "a.csv", "n,s\n1,x\n")
+    with monkeypatch.context() as broken:
+        broken.setattr("trilode.streaming.ingest.move_files", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            load(spark, root, archive_dir=archive)
+    assert names(f"{root}/landing") == ["a.csv"]
+    assert load(spark, root, archive_dir=archive) == 0
+    assert names(archive) == ["a.csv"] and names(f"{root}/landing") == []
+
+
+def test_files_of_one_name_do_not_overwrite_each_other(spark, root):
+    Path(root, "processed").mkdir()
+    Path(root, "processed", "a b.csv").write_text("old")
+    drop(root, "a b.csv", "n,s\n1,x\n")
+    load(spark, root, archive_dir=f"{root}/processed")
+    assert names(f"{root}/processed", "*.csv*") == ["a b.csv", "a b.csv.batch-0"]
+
+
+# ---------------------------------------------------------------- a lost checkpoint
+
+
+def reset(spark, root, after_reset, second):
+    drop(root, "a.csv", "n,s\n1,x\n2,y\n3,z\n")
+    load(spark, root)
+    remove(spark, f"{root}/checkpoint")
+    if second:
+        drop(root, "b.csv", second)
+    return load(spark, root, after_reset=after_reset)
+
+
+def numbers(spark, root):
+    return [n for n, in unordered(read_arrivals(spark, source(root), f"{root}/bronze").select("n"))]
+
+
+def test_another_checkpoint_is_refused(spark, root):
+    with pytest.raises(ValueError, match="another checkpoint"):
+        reset(spark, root, "refuse", "n,s\n4,x\n")
+    assert numbers(spark, root) == [1, 2, 3]
+
+
+def test_another_checkpoint_adds_when_asked(spark, root):
+    assert reset(spark, root, "new_files", "n,s\n4,x\n5,x\n") == 2
+    assert numbers(spark, root) == [1, 2, 3, 4, 5]
+    drop(root, "c.csv", "n,s\n6,x\n")
+    assert load(spark, root, after_reset="new_files") == 1
+    assert load(spark, root, after_reset="add") == 0
+
+
+def test_all_of_the_landing_again_when_asked(spark, root):
+    assert reset(spark, root, "add", None) == 3
+    assert numbers(spark, root) == [1, 1, 2, 2, 3, 3]
+
+
+def test_a_checkpoint_without_its_offsets_is_refused(spark, root):
+    drop(root, "a.csv", "n,s\n1,x\n")
+    load(spark, root)
+    remove(spark, f"{root}/checkpoint/offsets")
+    with pytest.raises(ValueError, match="lost its offsets"):
+        load(spark, root, after_reset="add")
+
+
+def test_reset_words():
+    with pytest.raises(ValueError, match="unknown after_reset"):
+        EventSource("x", schema="a int", after_reset="hope")
+    with pytest.raises(ValueError, match="needs track_file"):
+        EventSource("x", schema="a int", after_reset="new_files")
+
+
 def test_continuous_form(spark, root):
     drop(root, "a.csv", "n,s\n1,x\n")
     query = ingest_stream(spark, source(root), f"{root}/bronze", f"{root}/checkpoint", "1 second")

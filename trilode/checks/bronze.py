@@ -8,13 +8,16 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trilode.checks.dirt import dirty
 from trilode.checks.registry import check, table, workspace
 from trilode.operators import union_all
 from trilode.sinks import write_table, written_rows
+from trilode.sinks.write import entries, remove
 from trilode.sources import (
     load_increment,
     load_query,
     read_files,
+    read_increments,
     read_layer,
     sales_rows,
     with_lineage,
@@ -150,6 +153,78 @@ def bronze_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# the mark is the year; every 50th row has none
+YEARS = """
+SELECT o_orderkey, o_totalprice,
+       CASE WHEN o_orderkey % 50 > 2 THEN CAST(year(o_orderdate) AS INT) END AS year
+FROM orders
+"""
+_EVEN = "o_orderkey % 2 = 0"
+
+
+@check(
+    f"""SELECT *, CAST(CASE
+              WHEN year IS NULL THEN CASE WHEN {_EVEN} THEN 0 WHEN o_orderkey % 4 = 1 THEN 1 ELSE 2 END
+              WHEN year < 1994 OR (year = 1994 AND {_EVEN}) THEN 0
+              WHEN year < 1996 OR (year = 1996 AND {_EVEN}) THEN 1 ELSE 2 END AS BIGINT) AS load_number
+        FROM ({YEARS}) y"""
+)
+def bronze_incremental_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four loads past a high-water mark, where more rows of the newest year and rows without a mark
+    turn up between them; the last load finds nothing new."""
+    folder = f"{workspace(spark, sf_dir, 'bronze_incremental_ties')}/{uuid.uuid4().hex}"
+    feed = dirty(spark, sf_dir, YEARS)
+    source = CatalogSource(
+        "SELECT * FROM trilode_years", name="orders", increment=IncrementSpec("year")
+    )
+    arrivals = (
+        f"year < 1994 OR (({_EVEN}) AND (year = 1994 OR year IS NULL))",
+        f"year < 1996 OR (year = 1996 AND {_EVEN}) OR (year IS NULL AND o_orderkey % 4 <> 3)",
+        "true", "true",
+    )
+    for arrived in arrivals:
+        feed.filter(arrived).createOrReplaceTempView("trilode_years")
+        load_increment(spark, source, f"{folder}/control", f"{folder}/bronze")
+    bronze = read_increments(spark, f"{folder}/bronze")
+    return bronze.select("o_orderkey", "o_totalprice", "year", "load_number")
+
+
+@check("SELECT * FROM events")
+def bronze_stream_reset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The checkpoint is lost between two drops; the batches of the new one go beside the old."""
+    folder = f"{workspace(spark, sf_dir, 'bronze_stream_reset')}/{uuid.uuid4().hex}"
+    events = table(spark, sf_dir, "events")
+    views = F.coalesce(F.col("event_type") == "view", F.lit(False))
+    drop = SinkSpec(f"{folder}/landing", format="json", mode="append", options=TEXT_TIME)
+    source = EventSource(
+        drop.path, "json", drop.options, schema=EVENTS_DDL, suffix=".json",
+        track_file=True, after_reset="new_files",
+    )
+    for part in (events.filter(views), events.filter(~views)):
+        write_table(part, drop)
+        load_arrivals(spark, source, f"{folder}/bronze", f"{folder}/checkpoint")
+        remove(spark, f"{folder}/checkpoint")
+    return read_arrivals(spark, source, f"{folder}/bronze").drop(*LINEAGE)
+
+
+@check("SELECT *, 0 AS waiting, true AS capped FROM events")
+def bronze_archived(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What lies in the archive after a load of six files in batches of two: all of it."""
+    folder = f"{workspace(spark, sf_dir, 'bronze_archived')}/{uuid.uuid4().hex}"
+    drop = SinkSpec(f"{folder}/landing", format="csv", options={"header": "true", **TEXT_TIME})
+    write_table(table(spark, sf_dir, "events").repartition(6, "event_id"), drop)
+    source = EventSource(
+        drop.path, "csv", drop.options, schema=EVENTS_DDL, suffix=".csv",
+        max_files_per_trigger=2, archive_dir=f"{folder}/processed",
+    )
+    batches: list[int] = []
+    load_arrivals(spark, source, f"{folder}/bronze", f"{folder}/checkpoint", batches.append)
+    waiting = [n for n in entries(spark, drop.path) if n.endswith(".csv")]
+    archive = FileSource(source.archive_dir, "csv", drop.options, schema=EVENTS_DDL)
+    return read_files(spark, archive).withColumns(
+        {"waiting": F.lit(len(waiting)), "capped": F.lit(len(batches) >= 3)})
+
+
 @check("SELECT *, true AS from_csv FROM events")
 def bronze_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two drops of CSV files with strangers among them, each ingested once by its own run."""

@@ -34,7 +34,7 @@ GOLD_FORMATS = ("parquet", "orc", "csv", "json", "bigquery")
 SOURCE_KEYS = (
     "type", "environment", "format", "path", "options", "s3_bucket", "s3_prefix", "s3_suffix",
     "event_type", "gcs_bucket", "gcs_prefix", "gcs_suffix", "pubsub_topic", "database",
-    "mode", "max_files_per_trigger", "archive_dir",
+    "mode", "max_files_per_trigger", "archive_dir", "after_reset",
 )
 DATABASE_KEYS = (
     "connection", "query", "incremental", "batch_size", "name", "partition_column",
@@ -154,6 +154,7 @@ def _source(
         **landing, **common, schema=schema, streaming=mode == "stream",
         max_files_per_trigger=block.get("max_files_per_trigger"),
         archive_dir=block.get("archive_dir"),
+        after_reset=block.get("after_reset", "refuse"),
     )
 
 

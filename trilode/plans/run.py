@@ -24,9 +24,9 @@ from trilode.plans.gold import write_gold
 from trilode.sinks.write import entries, written_rows
 from trilode.sources.files import read_files, read_layer
 from trilode.sources.lineage import with_lineage
-from trilode.sources.queries import LOADED_AFTER, load_increment, load_query
+from trilode.sources.queries import LOADED_AFTER, load_increment, load_query, read_increments
 from trilode.spec import LAYERS, CatalogSource, EventSource, FlowSpec, SinkSpec, Source, layer_path
-from trilode.streaming.ingest import BATCH_ID, load_arrivals, read_arrivals
+from trilode.streaming.ingest import BATCH_ID, EPOCH, load_arrivals, read_arrivals
 
 
 @dataclass(frozen=True)
@@ -49,7 +49,7 @@ def load_kind(source: Source) -> str:
 def same_kind(spark: SparkSession, out: str, source: Source) -> None:
     """Refuse a Bronze folder that another kind of load has written: rows would be hidden, or
     loaded twice."""
-    marks = {BATCH_ID: "stream", LOADED_AFTER: "increments"}
+    marks = {EPOCH: "stream", BATCH_ID: "stream", LOADED_AFTER: "increments"}
     found = {marks.get(name.partition("=")[0], "files") for name in entries(spark, out)}
     wanted = load_kind(source)
     if found - {wanted}:
@@ -77,6 +77,8 @@ def run_bronze(spark: SparkSession, flow: FlowSpec) -> tuple[int, int]:
 def read_bronze(spark: SparkSession, flow: FlowSpec) -> DataFrame:
     if isinstance(flow.source, EventSource) and flow.source.streaming:
         return read_arrivals(spark, flow.source, flow.bronze_path)
+    if load_kind(flow.source) == "increments":
+        return read_increments(spark, flow.bronze_path)
     return read_layer(spark, flow.bronze_path)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -116,3 +117,30 @@ def entries(spark: SparkSession, path: str) -> list[str]:
         return []
     names = [status.getPath().getName() for status in store.listStatus(folder)]
     return [n for n in names if n != "_SUCCESS" and not n.startswith(".")]
+
+
+def move_files(
+    spark: SparkSession, files: Sequence[str], root: str, target: str, label: str
+) -> None:
+    """Move files from under ``root`` to the same place under ``target``.
+
+    ``files`` are URIs as Spark names them. A file that is gone has been moved before; where the
+    place is taken, ``label`` is put behind the name.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    conf = spark._jsc.hadoopConfiguration()
+    base = hadoop.Path(root)
+    store = base.getFileSystem(conf)
+    prefix = store.makeQualified(base).toUri().getPath().rstrip("/") + "/"
+    for name in files:
+        path = hadoop.Path(spark._jvm.java.net.URI(name))
+        if not store.exists(path):
+            continue
+        whole = path.toUri().getPath()
+        inner = whole.removeprefix(prefix) if whole.startswith(prefix) else path.getName()
+        goal = hadoop.Path(f"{target.rstrip('/')}/{inner}")
+        if store.exists(goal):
+            goal = hadoop.Path(f"{target.rstrip('/')}/{inner}.{label}")
+        store.mkdirs(goal.getParent())
+        if not store.rename(path, goal):
+            raise OSError(f"{name} could not be moved to {goal}")

@@ -3,19 +3,21 @@
 from __future__ import annotations
 
 import os
+import re
 from dataclasses import dataclass, replace
 from decimal import Decimal, InvalidOperation
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trilode.sinks.write import written_rows
-from trilode.sources.control import last_mark, mark_text, write_mark
-from trilode.sources.lineage import with_lineage
+from trilode.sinks.write import write_table, written_rows
+from trilode.sources.control import last_mark, mark_text, newest_mark, write_mark
+from trilode.sources.lineage import INGESTED_AT, SOURCE_QUERY, with_lineage
 from trilode.spec import UNNAMED, CatalogSource, DatabaseSource, SinkSpec
 
 LOADED_AFTER = "loaded_after"
+LOAD_NUMBER = "load_number"
 NO_VALUE = "__HIVE_DEFAULT_PARTITION__"  # Spark's directory name for a NULL partition value
 
 
@@ -126,15 +128,14 @@ def plan_increment(spark: SparkSession, source: CatalogSource, control_path: str
     """Fix the window first, so every retry and every parallel reader sees the same bounds.
 
     The bounds are plain filters on the scan; a JDBC source receives them in its WHERE clause. Rows
-    with a NULL mark come with the first window; ones that arrive later cannot be told from those
-    and stay out (:func:`unmarked_rows` counts them). A parallel read should split on the mark
-    column: the ranges then divide the window, not the whole table.
+    that turn up late with the mark ``last`` or without any are for :func:`late_rows`. A parallel
+    read should split on the mark column: the ranges then divide the window, not the whole table.
     """
     if source.name == UNNAMED:
         raise ValueError("an incremental source needs a name of its own for its high-water mark")
     column = source.increment.column
     last = last_mark(spark, control_path, source.name, column)
-    whole = read_query(spark, replace(source, **UNSPLIT) if has_readers(source) else source)
+    whole = _unsplit(spark, source)
     dtype = whole.select(column).schema.fields[0].dataType
     newest = F.col("newest").cast(dtype)
     past = F.lit(True) if last is None else newest > F.lit(last).cast(dtype)
@@ -151,39 +152,127 @@ def plan_increment(spark: SparkSession, source: CatalogSource, control_path: str
     return Increment(rows.filter(within & (F.col(column) > F.lit(last).cast(dtype))), last, upper)
 
 
+def _unsplit(spark: SparkSession, source: CatalogSource) -> DataFrame:
+    return read_query(spark, replace(source, **UNSPLIT) if has_readers(source) else source)
+
+
 def unmarked_rows(spark: SparkSession, source: CatalogSource) -> int:
     """Rows of the source whose mark column is NULL."""
     column = source.increment.column
-    return _one_row(spark, source, f"COUNT(*) - COUNT({column}) AS n").first()[0]
+    return _one_row(spark, source, "COUNT(*) AS n", f"{column} IS NULL").first()[0]
+
+
+def read_increments(spark: SparkSession, out: str) -> DataFrame:
+    """Bronze of an incremental source. The lower bound of a window is text, which Spark would
+    otherwise guess a type for: ``007`` is no number."""
+    kinds = {LOADED_AFTER: T.StringType(), LOAD_NUMBER: T.LongType()}
+    found = spark.read.parquet(out).schema
+    fixed = [T.StructField(f.name, kinds.get(f.name, f.dataType)) for f in found]
+    return spark.read.schema(T.StructType(fixed)).parquet(out)
+
+
+def _at_mark(source: CatalogSource, last: str | None, dtype: T.DataType) -> Column:
+    column = F.col(source.increment.column)
+    return F.lit(False) if last is None else column == F.lit(last).cast(dtype)
+
+
+def not_held(found: DataFrame, held: DataFrame) -> DataFrame:
+    """Rows of ``found`` beyond those in ``held``, copies counted.
+
+    Columns that ``held`` lacks, as a source that has grown may have, are not compared; maps
+    cannot be.
+    """
+    same = [f.name for f in found.schema
+            if f.name in held.columns and not re.search(r"\b(map<|variant\b)", f.dataType.simpleString())]
+    if same == found.columns:
+        return found.exceptAll(held.select(*[F.col(c).cast(found.schema[c].dataType) for c in same]))
+    copy = F.row_number().over(Window.partitionBy(*same).orderBy(F.lit(1)))
+    left = found.withColumn("__copy", copy).alias("l")
+    right = held.withColumn("__copy", copy).select(*same, "__copy").alias("r")
+    equal = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in [*same, "__copy"]]
+    return left.join(right, equal, "left_anti").drop("__copy")
+
+
+def late_rows(
+    spark: SparkSession, source: CatalogSource, last: str | None, out: str, loads: int, reached: int
+) -> DataFrame | None:
+    """Rows that were not there when their mark was passed: those with the mark ``last`` and those
+    without a mark that committed loads do not hold. None before the first load.
+
+    The source is asked for these marks again each time; rows are compared as a whole, so one that
+    was changed under an old mark comes again. Of Bronze, the loads that can hold the mark are read
+    (a partition each), and row groups with NULL marks.
+    """
+    if not loads:
+        return None
+    whole = _unsplit(spark, source)
+    dtype = whole.select(source.increment.column).schema.fields[0].dataType
+    missing = F.col(source.increment.column).isNull()
+    held = read_increments(spark, out)
+    committed = held.filter(F.coalesce(F.col(LOAD_NUMBER), F.lit(0)) < loads)
+    known = committed.filter(missing)
+    if last is not None:
+        at_mark = committed.filter(F.coalesce(F.col(LOAD_NUMBER), F.lit(0)) >= reached)
+        known = known.unionByName(at_mark.filter(_at_mark(source, last, dtype)))
+    known = known.drop(LOADED_AFTER, LOAD_NUMBER, INGESTED_AT, SOURCE_QUERY)
+    # two reads: an OR would keep a database from using an index on the mark
+    found = whole.filter(missing)
+    if last is not None:
+        found = found.unionByName(whole.filter(_at_mark(source, last, dtype)))
+    return not_held(found, known)
 
 
 def load_increment(spark: SparkSession, source: CatalogSource, control_path: str, out: str) -> int:
-    """Append the next window to Bronze, then move the mark; returns the rows written.
+    """Append the next window and late rows to Bronze, then move the mark; returns the rows written.
 
-    A window lives in the partition named after its lower bound. If a run dies before the mark
-    moves, the next run starts from the same bound and replaces that partition, so nothing is
-    loaded twice.
+    A load lives in a partition named after its lower bound and its number. If a run dies before its
+    row is in the control table, the next run has the same number and replaces that partition, so
+    nothing is loaded twice and no committed row is ever touched. The control row says how many rows
+    came late (:func:`late_rows`), with the last mark and without one.
     """
     step = plan_increment(spark, source, control_path)
-    if step.upper is None:
-        if step.last is None:
-            empty = _stamped(step, source).drop(LOADED_AFTER).limit(0)
-            empty.write.mode("ignore").parquet(f"{out.rstrip('/')}/{LOADED_AFTER}={NO_VALUE}")
-        return 0
+    column = source.increment.column
+    mark = newest_mark(spark, control_path, source.name, column)
+    if step.upper is None and not mark.loads:
+        empty = _stamped(step.rows, source, None, 0).drop(LOADED_AFTER, LOAD_NUMBER).limit(0)
+        first = f"{out.rstrip('/')}/{LOADED_AFTER}={NO_VALUE}/{LOAD_NUMBER}=0"
+        empty.write.mode("ignore").parquet(first)
+        if not unmarked_rows(spark, source):
+            return 0
+    dtype = step.rows.select(column).schema.fields[0].dataType
+    rows = step.rows
+    if not mark.loads:
+        if step.upper is None:  # rows without a mark only
+            rows = _unsplit(spark, source)
+    else:
+        late = late_rows(spark, source, step.last, out, mark.loads, mark.reached)
+        if step.upper is not None and step.last is None:  # the first marks after loads without any
+            rows = rows.filter(F.col(column).isNotNull())
+        rows = rows.unionByName(late)
     sink = SinkSpec(
         path=out,
         options={"compression": "snappy", "partitionOverwriteMode": "dynamic"},
-        partition_by=(LOADED_AFTER,),
-        rebalance=False,  # a window has one partition value
+        partition_by=(LOADED_AFTER, LOAD_NUMBER),
+        rebalance=False,  # a load has one partition value
     )
-    rows = written_rows(_stamped(step, source), sink)
-    write_mark(spark, control_path, source.name, source.increment.column, step.upper)
-    return rows
-
-
-def _stamped(step: Increment, source: CatalogSource) -> DataFrame:
-    stamped = with_lineage(step.rows, source)
-    return stamped.withColumn(LOADED_AFTER, F.lit(step.last).cast("string"))
+    seen = Observation()
+    late_here = F.lit(bool(mark.loads))
+    observed = _stamped(rows, source, step.last, mark.loads).observe(
+        seen, F.count(F.lit(1)).alias("rows"),
+        F.count_if(late_here & _at_mark(source, step.last, dtype)).alias("ties"),
+        F.count_if(late_here & F.col(column).isNull()).alias("unmarked"))
+    write_table(observed, sink)
+    counts = seen.get
+    if counts["rows"]:
+        upper = step.upper if step.upper is not None else step.last
+        write_mark(spark, control_path, source.name, column, upper, mark.loads, counts["rows"],
+                   counts["ties"], counts["unmarked"])
+    return counts["rows"]
+
+
+def _stamped(rows: DataFrame, source: CatalogSource, last: str | None, load: int) -> DataFrame:
+    return with_lineage(rows, source).withColumns(
+        {LOADED_AFTER: F.lit(last).cast("string"), LOAD_NUMBER: F.lit(load).cast("bigint")})
 
 
 def load_query(spark: SparkSession, source: CatalogSource, out: str) -> int:

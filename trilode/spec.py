@@ -18,6 +18,7 @@ Expr = Union[str, Column]
 LAYERS = ("bronze", "silver", "gold")
 FILE_FORMATS = ("csv", "json", "parquet")
 GRAINS = ("day", "hour")
+AFTER_RESET = ("refuse", "add", "new_files")
 
 # Aggregates whose state grows with the group: one hot group would end up whole in one task.
 UNBOUNDED_AGGREGATES = frozenset(
@@ -60,17 +61,27 @@ class EventSource(FileSource):
     own.
 
     ``streaming=True`` ingests each file exactly once through a checkpoint and needs ``schema``;
-    ``streaming=False`` reads the whole prefix and appends it.
+    ``streaming=False`` reads the whole prefix and appends it. With ``archive_dir`` the files of a
+    batch are moved there once it is committed.
+
+    ``after_reset`` says what happens when Bronze holds batches of another checkpoint, as after the
+    loss of the old one: ``refuse``; ``add`` all that is in the landing; or ``new_files``, which
+    leaves out rows of files that Bronze knows and needs ``track_file``.
     """
 
     streaming: bool = True
     max_files_per_trigger: int | None = None
     archive_dir: str | None = None
+    after_reset: str = "refuse"
 
     def __post_init__(self):
         super().__post_init__()
         if self.streaming and not self.schema:
             raise ValueError("a streaming event source needs a declared schema")
+        if self.after_reset not in AFTER_RESET:
+            raise ValueError(f"unknown after_reset {self.after_reset!r}, expected one of {AFTER_RESET}")
+        if self.after_reset == "new_files" and not (self.track_file or self.archive_dir):
+            raise ValueError("after_reset='new_files' needs track_file")
 
 
 @dataclass(frozen=True)
