@@ -187,3 +187,10 @@ def test_union_is_by_name_and_keeps_copies(spark):
     a = spark.createDataFrame([(1, "x")], "n int, s string")
     b = spark.createDataFrame([("x", 1)], "s string, n int")
     assert rows(union_all(a, b)) == [(1, "x"), (1, "x")]
+
+
+def test_order_items_have_a_direction(spark):
+    df = spark.createDataFrame([(1, 5), (1, 9), (1, None), (2, None)], "k int, v int")
+    for order, wanted in (("v DESC", 9), ("v desc nulls first", None), ("v", None), ("- v ASC NULLS LAST", 9),
+                          ("abs(v - 6)  nulls last", 5), (F.col("v").desc(), 9)):
+        assert [r.v for r in dedup(df, ["k"], [order]).orderBy("k").collect()] == [wanted, None]

@@ -15,7 +15,9 @@ from trilode.checks.silver import LINE_CLEANING, LINE_SILVER, SALES_SILVER
 from trilode.operators import (
     audit_summary,
     clean,
+    dedup,
     recent_runs,
+    repeated_keys,
     row_accounting,
     rule_report,
     silver_contract,
@@ -114,6 +116,22 @@ def quality_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@check(
+    """SELECT 'planted' AS stage, count(*) FILTER (l_orderkey % 3 = 0) AS violations FROM
+           (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)
+       UNION ALL SELECT 'clean', 0"""
+)
+def quality_unique_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows beyond the first of their key, where each third order comes twice and where none does."""
+    keys = ["l_orderkey", "l_linenumber"]
+    lines = dedup(table(spark, sf_dir, "lineitem"), keys)
+    twice = union_all(lines, lines.where("l_orderkey % 3 = 0"))
+    found = [repeated_keys(df, keys).select(F.lit(stage).alias("stage"),
+                                            F.col("repeats").alias("violations"))
+             for stage, df in (("planted", twice), ("clean", lines))]
+    return union_all(*found)
+
+
 _RAW = f"""SELECT TRY_CAST(transaction_date AS DATE) AS transaction_date, product_id,
                   customer_email, TRY_CAST(amount AS DOUBLE) AS amount,
                   CAST(trunc(TRY_CAST(quantity AS DOUBLE)) AS INT) AS quantity

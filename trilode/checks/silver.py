@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from trilode import functions as T
 from trilode.checks.dirt import CUSTOMERS, EVENTS, ORDERS, SALES, WEB_LOGS, dirty
-from trilode.checks.registry import check, table
+from trilode.checks.registry import check, table, workspace
 from trilode.operators import (
     apply_rules,
     clean,
@@ -21,7 +22,9 @@ from trilode.operators import (
 )
 from trilode.operators import select_columns
 from trilode.plans.domains import SALES_CLEANING, WEB_LOG_CLEANING
-from trilode.spec import CleaningSpec, RuleSpec
+from trilode.plans.run import run
+from trilode.sources import read_layer
+from trilode.spec import CatalogSource, CleaningSpec, FlowSpec, RuleSpec
 
 
 @check("SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem")
@@ -215,3 +218,43 @@ WHERE rn = 1
 @check(LINE_SILVER)
 def silver_clean_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean(table(spark, sf_dir, "lineitem"), LINE_CLEANING)
+
+
+REJECT_FEED = f"SELECT * FROM ({ORDERS}) o UNION ALL SELECT * FROM ({ORDERS}) o WHERE o_orderkey % 100 = 7"
+_FAILED = """CAST(CASE WHEN status IS NULL THEN 8 ELSE
+        CASE WHEN order_date <= current_date THEN 0 ELSE 1 END
+        + CASE WHEN o_totalprice > 100000 THEN 0 ELSE 2 END
+        + CASE WHEN fraud_flag IS NULL THEN 4 ELSE 0 END END AS BIGINT) AS failed_rules"""
+
+
+@check(
+    f"""WITH j AS (SELECT *, {_FAILED} FROM ({REJECT_FEED}) r)
+        SELECT DISTINCT 'silver' AS side, * FROM j WHERE failed_rules = 0
+        UNION ALL SELECT 'quarantine', * FROM j WHERE failed_rules <> 0
+        UNION ALL SELECT 'report', failed, NULL, NULL, NULL, NULL, NULL, NULL, total FROM (
+            SELECT count(*) FILTER (failed_rules & 1 = 1) AS failed,
+                   count(*) FILTER (failed_rules < 8) AS total FROM j)"""
+)
+def silver_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a run with quarantine writes: Silver, the rejected rows with the rules they broke, and
+    the stored report of the first rule."""
+    dirty(spark, sf_dir, REJECT_FEED).createOrReplaceTempView("trilode_rejects")
+    flow = FlowSpec(
+        domain="orders", root=f"{workspace(spark, sf_dir, 'silver_quarantine')}/{uuid.uuid4().hex}",
+        bronze_table="raw", silver_table="clean", gold_table="totals",
+        source=CatalogSource("SELECT * FROM trilode_rejects"),
+        cleaning=CleaningSpec(
+            null_drop=["status"], dedup_keys=["o_orderkey"],
+            rules=[RuleSpec("order_date", "order_date <= current_date()", "No future dates"),
+                   RuleSpec("o_totalprice", "o_totalprice > 100000", "Large orders"),
+                   RuleSpec("fraud_flag", "fraud_flag IS NOT NULL", "Flag is set")]),
+        quarantine=True,
+    )
+    run(spark, flow, ["bronze", "silver"], checks=True)
+    sides = {"silver": flow.silver_path, "quarantine": flow.quarantine_path}
+    tables = [read_layer(spark, path).drop("ingestion_timestamp", "source_query")
+              .withColumn("side", F.lit(side)) for side, path in sides.items()]
+    report = spark.read.parquet(flow.rules_path).where("position = 1").select(
+        F.lit("report").alias("side"), F.col("failed").alias("o_orderkey"),
+        F.col("total").alias("failed_rules"))
+    return union_all(*tables).unionByName(report, allowMissingColumns=True)

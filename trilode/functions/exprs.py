@@ -37,5 +37,27 @@ def sort_column(item: Expr) -> Column:
     return column.asc_nulls_last() if last else column.asc_nulls_first()
 
 
+_ORDER_ITEM = re.compile(
+    r"(?P<expr>.+?)(?:\s+(?P<way>asc|desc))?(?:\s+nulls\s+(?P<nulls>first|last))?\s*",
+    re.IGNORECASE | re.DOTALL,
+)
+
+
+def order_column(item: Expr) -> Column:
+    """``"expression [ASC|DESC] [NULLS FIRST|LAST]"``, the expression being Spark SQL. (Parsed as a
+    whole, a direction would be taken for an alias.)"""
+    if isinstance(item, Column):
+        return item
+    parts = _ORDER_ITEM.fullmatch(item)
+    if not parts:
+        raise ValueError(f"not an order item: {item!r}")
+    column = F.expr(parts["expr"])
+    down = (parts["way"] or "").lower() == "desc"
+    last = parts["nulls"].lower() == "last" if parts["nulls"] else down
+    if down:
+        return column.desc_nulls_last() if last else column.desc_nulls_first()
+    return column.asc_nulls_last() if last else column.asc_nulls_first()
+
+
 def sort_columns(sort: Sequence[Expr]) -> list[Column]:
     return [sort_column(item) for item in sort]

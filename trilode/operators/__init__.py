@@ -11,10 +11,13 @@ from trilode.operators.audit import audit_row, audit_summary, recent_runs
 from trilode.operators.clean import (
     apply_rules,
     clean,
+    clean_split,
     dedup,
     drop_nulls,
     fill_nulls,
+    failure_bits,
     fix_types,
+    judge,
     require_columns,
     select_columns,
     union_all,
@@ -22,6 +25,8 @@ from trilode.operators.clean import (
 from trilode.operators.quality import (
     bronze_contract,
     gold_contract,
+    rejected_report,
+    repeated_keys,
     row_accounting,
     rule_report,
     silver_contract,
@@ -29,7 +34,8 @@ from trilode.operators.quality import (
 
 __all__ = [
     "apply_rules", "audit_row", "audit_summary", "bronze_contract", "build_gold", "clean",
-    "dedup", "drop_nulls", "fill_nulls", "fix_types", "fused_groups", "gold_contract",
-    "group_table", "metric_table", "metrics", "recent_runs", "require_columns", "row_accounting",
+    "clean_split", "dedup", "drop_nulls", "failure_bits", "fill_nulls", "fix_types", "fused_groups", "gold_contract",
+    "group_table", "judge", "metric_table", "metrics", "recent_runs", "rejected_report",
+    "repeated_keys", "require_columns", "row_accounting",
     "rows_of", "rule_report", "select_columns", "silver_contract", "top_n", "union_all",
 ]

@@ -10,11 +10,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trilode.functions.exprs import as_column
+from trilode.functions.exprs import as_column, order_column
 from trilode.spec import CleaningSpec, Expr, RuleSpec
 
 KEY_HASH = "__key_hash"
 RANK = "__survivor_rank"
+FAILED_RULES = "failed_rules"
+REJECT = "__reject"
+MISSING = "__missing"
+MOST_BITS = 62
 
 
 def has_column(df: DataFrame, column: str) -> bool:
@@ -111,7 +115,7 @@ def dedup(df: DataFrame, keys: Sequence[str], order: Sequence[Expr] = ()) -> Dat
     hashed = df.withColumn(KEY_HASH, F.xxhash64(*plain) if plain else F.lit(0))
     if not order:
         return hashed.dropDuplicates([KEY_HASH, *keys]).drop(KEY_HASH)
-    first = Window.partitionBy(KEY_HASH, *keys).orderBy(*[as_column(o) for o in order])
+    first = Window.partitionBy(KEY_HASH, *keys).orderBy(*[order_column(o) for o in order])
     ranked = hashed.withColumn(RANK, F.row_number().over(first))
     return ranked.filter(F.col(RANK) == 1).drop(RANK, KEY_HASH)
 
@@ -124,6 +128,50 @@ def clean(df: DataFrame, spec: CleaningSpec) -> DataFrame:
     return dedup(df, spec.dedup_keys, spec.dedup_order)
 
 
+def failure_bits(spec: CleaningSpec) -> list[str]:
+    """What each bit of ``failed_rules`` stands for, from the lowest on: the rules, then the columns
+    that must not be missing."""
+    names = [r.description or r.column for r in spec.rules]
+    names += [f"no {column}" for column in spec.null_drop]
+    if len(names) > MOST_BITS:
+        raise ValueError(f"{len(names)} rules and required columns, at most {MOST_BITS} can be told apart")
+    return names
+
+
+def _mask(failures: Sequence[Column], first: int) -> Column:
+    bits = [F.when(f, F.lit(1 << (first + i))).otherwise(F.lit(0)) for i, f in enumerate(failures)]
+    return reduce(lambda a, b: a + b, bits, F.lit(0).cast("bigint"))
+
+
+def judge(df: DataFrame, spec: CleaningSpec) -> DataFrame:
+    """All rows, typed and filled, with a bit mask ``failed_rules`` of what keeps them out of Silver.
+
+    It is 0 for a row that :func:`clean` would keep or take for a copy. A row that misses a
+    required column is not held against the rules.
+    """
+    failure_bits(spec)
+    fixed = fix_types(df, spec.type_fixes)
+    gaps = _mask([~present(fixed, c) for c in spec.null_drop], len(spec.rules))
+    filled = fill_nulls(fixed.withColumn(MISSING, gaps), spec.null_fill)
+    broken = _mask([~F.coalesce(as_column(r.rule), F.lit(False)) for r in spec.rules], 0)
+    mask = F.when(F.col(MISSING) == 0, broken).otherwise(F.col(MISSING))
+    return filled.withColumn(FAILED_RULES, mask).drop(MISSING)
+
+
+def clean_split(df: DataFrame, spec: CleaningSpec) -> DataFrame:
+    """Silver rows and rejected ones from one scan, told apart by ``failed_rules``.
+
+    Rejected rows go through the de-duplication with a key of their own, so that all of them
+    stay, and after the last shuffle both kinds can be written together.
+    """
+    judged = judge(df, spec)
+    if not spec.dedup_keys:
+        return judged
+    own = F.when(F.col(FAILED_RULES) != 0, F.monotonically_increasing_id())
+    keyed = judged.withColumn(REJECT, own)
+    return dedup(keyed, [*spec.dedup_keys, REJECT], spec.dedup_order).drop(REJECT)
+
+
 def union_all(first: DataFrame, *rest: DataFrame) -> DataFrame:
     """Append by column name, keeping duplicates."""
     return reduce(lambda a, b: a.unionByName(b), rest, first)

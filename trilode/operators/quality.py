@@ -8,7 +8,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trilode.functions.exprs import as_column
-from trilode.operators.clean import fill_nulls, fix_types, has_column, present
+from trilode.operators.clean import (
+    FAILED_RULES,
+    KEY_HASH,
+    fill_nulls,
+    fix_types,
+    has_column,
+    present,
+    type_of,
+    union_all,
+)
 from trilode.sources.lineage import INGESTED_AT, lineage_column
 from trilode.spec import CleaningSpec, FlowSpec, RuleSpec, Source
 
@@ -28,7 +37,11 @@ def rule_report(df: DataFrame, rules: Sequence[RuleSpec]) -> DataFrame:
         F.count(F.lit(1)).alias("total"),
         *[F.count_if(_fails(r)).alias(f"failed_{i}") for i, r in enumerate(rules)],
     )
-    lines = [
+    return counts.select(F.inline(F.array(*_report_lines(rules))))
+
+
+def _report_lines(rules: Sequence[RuleSpec]) -> list[Column]:
+    return [
         F.struct(
             F.lit(i + 1).alias("position"),
             F.lit(r.column).alias("column_name"),
@@ -38,7 +51,6 @@ def rule_report(df: DataFrame, rules: Sequence[RuleSpec]) -> DataFrame:
         )
         for i, r in enumerate(rules)
     ]
-    return counts.select(F.inline(F.array(*lines)))
 
 
 def row_accounting(df: DataFrame, spec: CleaningSpec) -> DataFrame:
@@ -104,19 +116,44 @@ def bronze_contract(df: DataFrame, source: Source) -> DataFrame:
     return _schema_checks(df, "bronze", (INGESTED_AT, lineage_column(source)))
 
 
+def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``(repeats)``: rows beyond the first of their key, NULL parts being equal to each other.
+
+    Shuffled are 128 bits of hash in place of the whole key; among a trillion keys the chance that
+    two of them share these is below one in 10^14. Keys with a collation are compared themselves,
+    as equal ones can have different bytes.
+    """
+    folded = [k for k in keys if "collate" in type_of(df, k).simpleString()]
+    plain = [k for k in keys if k not in folded]
+    hashes = [F.xxhash64(*plain), F.xxhash64(F.lit("second"), *plain)] if plain else []
+    parts = {f"{KEY_HASH}{i}": h for i, h in enumerate([*hashes, *map(F.col, folded)])}
+    groups = df.select(*[c.alias(n) for n, c in parts.items()]).groupBy(*parts).agg(
+        F.count(F.lit(1)).alias("__n"))
+    return groups.agg(F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).alias("repeats"))
+
+
 def silver_contract(df: DataFrame, spec: CleaningSpec) -> DataFrame:
-    """Silver has no NULL in a required column and no key twice. One pass over the data."""
-    names = [f"no null {c}" for c in spec.null_drop]
-    checks = [F.count_if(~present(df, c)) for c in spec.null_drop]
+    """Silver has no NULL in a required column and no key twice."""
+    parts = []
+    if spec.null_drop:
+        counts = df.agg(*[F.count_if(~present(df, c)).alias(f"check_{i}")
+                          for i, c in enumerate(spec.null_drop)])
+        parts.append(_checked("silver", counts, [f"no null {c}" for c in spec.null_drop]))
     if spec.dedup_keys:
-        # a struct, so that keys with NULL parts are compared and not skipped
-        key = F.struct(*spec.dedup_keys)
-        names.append("unique key")
-        checks.append(F.count(F.lit(1)) - F.count_distinct(key))
-    if not checks:
-        return df.sparkSession.createDataFrame([], CONTRACT)
-    counts = df.agg(*[c.alias(f"check_{i}") for i, c in enumerate(checks)])
-    return _checked("silver", counts, names)
+        counts = repeated_keys(df, spec.dedup_keys).withColumnRenamed("repeats", "check_0")
+        parts.append(_checked("silver", counts, ["unique key"]))
+    return union_all(*parts) if parts else df.sparkSession.createDataFrame([], CONTRACT)
+
+
+def rejected_report(rejected: DataFrame, spec: CleaningSpec, bronze_rows: int) -> DataFrame:
+    """The rule report from the rows that were set aside, without another look at Bronze."""
+    first_gap = F.lit(1 << len(spec.rules))
+    counts = rejected.agg(
+        (F.lit(bronze_rows) - F.count_if(F.col(FAILED_RULES) >= first_gap)).alias("total"),
+        *[F.count_if(F.col(FAILED_RULES).bitwiseAND(F.lit(1 << i)) != 0).alias(f"failed_{i}")
+          for i in range(len(spec.rules))],
+    )
+    return counts.select(F.inline(F.array(*_report_lines(spec.rules))))
 
 
 def gold_contract(tables: Mapping[str, DataFrame], flow: FlowSpec) -> DataFrame:

@@ -107,6 +107,7 @@ def flow_from_config(
         columns=tuple(config.get("available_columns", ())),
         gold_sink=_gold_sink(config),
         fuse=config.get("fuse", True),
+        quarantine=config.get("quarantine", False),
     )
 
 

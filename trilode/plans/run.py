@@ -8,27 +8,39 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from trilode.operators.audit import audit_row
-from trilode.operators.clean import clean, drop_nulls, fill_nulls, fix_types, require_columns
+from trilode.operators.clean import (
+    FAILED_RULES,
+    clean,
+    clean_split,
+    drop_nulls,
+    fill_nulls,
+    fix_types,
+    require_columns,
+)
 from trilode.operators.quality import (
     CONTRACT,
     bronze_contract,
     gold_contract,
+    rejected_report,
     rule_report,
     silver_contract,
 )
 from trilode.plans.gold import write_gold
-from trilode.sinks.write import entries, written_rows
-from trilode.sources.files import read_files, read_layer
+from trilode.sinks.write import entries, remove, swap_in, write_table, written_rows
+from trilode.sources.files import ensure_table, read_files, read_layer
 from trilode.sources.lineage import with_lineage
 from trilode.sources.queries import LOADED_AFTER, load_increment, load_query, read_increments
 from trilode.spec import LAYERS, CatalogSource, EventSource, FlowSpec, SinkSpec, Source, layer_path
 from trilode.streaming.ingest import BATCH_ID, EPOCH, load_arrivals, read_arrivals
 
 
+OUTCOME = "outcome"
+
+
 @dataclass(frozen=True)
 class LayerResult:
     layer: str
@@ -84,10 +96,36 @@ def read_bronze(spark: SparkSession, flow: FlowSpec) -> DataFrame:
 
 def run_silver(spark: SparkSession, flow: FlowSpec) -> tuple[int, int]:
     bronze = require_columns(read_bronze(spark, flow), flow.columns)
+    if flow.quarantine:
+        return bronze.count(), write_split(spark, flow, bronze)
     written = written_rows(clean(bronze, flow.cleaning), SinkSpec(path=flow.silver_path))
     return bronze.count(), written
 
 
+def write_split(spark: SparkSession, flow: FlowSpec, bronze: DataFrame) -> int:
+    """Silver and its rejected rows in one write; returns the rows of Silver.
+
+    Both are written into a folder of the run and then put in place, so a failed run leaves the
+    tables of the last one.
+    """
+    staging = layer_path(flow.root, "staging", flow.silver_table) + uuid.uuid4().hex
+    split = clean_split(bronze, flow.cleaning)
+    outcome = F.when(F.col(FAILED_RULES) == 0, "kept").otherwise("rejected")
+    rows = Observation()
+    try:
+        write_table(
+            split.withColumn(OUTCOME, outcome).observe(
+                rows, F.count_if(F.col(FAILED_RULES) == 0).alias("kept")),
+            SinkSpec(path=staging, partition_by=(OUTCOME,), rebalance=False))
+        for name, place in (("kept", flow.silver_path), ("rejected", flow.quarantine_path)):
+            part = f"{staging}/{OUTCOME}={name}"
+            ensure_table(spark, part, split.schema)  # where no row had this outcome
+            swap_in(spark, part, place)
+    finally:
+        remove(spark, staging)
+    return rows.get["kept"]
+
+
 def run_gold(spark: SparkSession, flow: FlowSpec) -> tuple[int, int]:
     silver = read_layer(spark, flow.silver_path)
     return silver.count(), sum(write_gold(silver, flow).values())
@@ -126,7 +164,12 @@ def store_checks(spark: SparkSession, flow: FlowSpec, layer: str, run_id: str) -
     found = layer_contract(spark, flow, layer).select(
         F.lit(run_id).alias("run_id"), "layer", "check_name", "violations", "passed")
     found.write.mode("append").parquet(flow.checks_path)
-    if layer == "silver" and flow.cleaning.rules:
+    if layer == "silver" and flow.cleaning.rules and flow.quarantine:
+        rejected = read_layer(spark, flow.quarantine_path)
+        rows = read_bronze(spark, flow).count()  # from footers
+        report = rejected_report(rejected, flow.cleaning, rows)
+        report.withColumn("run_id", F.lit(run_id)).write.mode("append").parquet(flow.rules_path)
+    elif layer == "silver" and flow.cleaning.rules:
         fixed = fix_types(read_bronze(spark, flow), flow.cleaning.type_fixes)
         fed = fill_nulls(drop_nulls(fixed, flow.cleaning.null_drop), flow.cleaning.null_fill)
         report = rule_report(fed, flow.cleaning.rules)

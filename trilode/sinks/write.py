@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -119,6 +120,28 @@ def entries(spark: SparkSession, path: str) -> list[str]:
     return [n for n in names if n != "_SUCCESS" and not n.startswith(".")]
 
 
+def swap_in(spark: SparkSession, new: str, place: str) -> None:
+    """Put the folder ``new`` in the place of the table at ``place``.
+
+    The old table is moved aside first and removed last, so it is never half overwritten; a failure
+    of the second move puts it back.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    source, goal = hadoop.Path(new.rstrip("/")), hadoop.Path(place.rstrip("/"))
+    aside = hadoop.Path(f"{place.rstrip('/')}.old-{uuid.uuid4().hex}")
+    store = goal.getFileSystem(spark._jsc.hadoopConfiguration())
+    store.mkdirs(goal.getParent())
+    there = store.exists(goal)
+    if there and not store.rename(goal, aside):
+        raise OSError(f"{place} could not be moved aside")
+    if not store.rename(source, goal):
+        if there:
+            store.rename(aside, goal)
+        raise OSError(f"{new} could not be moved to {place}")
+    if there:
+        store.delete(aside, True)
+
+
 def move_files(
     spark: SparkSession, files: Sequence[str], root: str, target: str, label: str
 ) -> None:

@@ -253,7 +253,9 @@ class FlowSpec:
     """A whole Bronze -> Silver -> Gold flow.
 
     ``fuse`` computes all grouped outputs in one pass over Silver; without it each output makes
-    its own pass over the columns it needs.
+    its own pass over the columns it needs. ``quarantine`` keeps the rows that Silver rejects in a
+    table of their own, written in the same pass; both tables then have the column ``failed_rules``,
+    which is 0 in Silver.
     """
 
     domain: str
@@ -267,6 +269,7 @@ class FlowSpec:
     columns: Sequence[str] = ()
     gold_sink: SinkSpec = field(default_factory=SinkSpec)
     fuse: bool = True
+    quarantine: bool = False
 
     def __post_init__(self):
         names = [o.name for o in self.outputs]
@@ -294,6 +297,10 @@ class FlowSpec:
     def silver_path(self) -> str:
         return layer_path(self.root, "silver", self.silver_table)
 
+    @property
+    def quarantine_path(self) -> str:
+        return layer_path(self.root, "quarantine", self.silver_table)
+
     def gold_path(self, output: str) -> str:
         return layer_path(self.root, "gold", self.gold_table) + output
 

@@ -176,8 +176,14 @@ def load_arrivals(
     return sum(counts)
 
 
-def read_arrivals(spark: SparkSession, source: EventSource, out: str) -> DataFrame:
-    """What has been ingested; a schema of its own, as there may be no file yet to take it from."""
-    parts = [T.StructField(EPOCH, T.StringType()), T.StructField(BATCH_ID, T.LongType())]
-    schema = T.StructType([*landing_stream(spark, source).schema, *parts])
-    return spark.read.schema(schema).parquet(out).drop(EPOCH, BATCH_ID)
+def read_arrivals(
+    spark: SparkSession, source: EventSource, out: str, parts: bool = False
+) -> DataFrame:
+    """What has been ingested; a schema of its own, as there may be no file yet to take it from.
+
+    With ``parts`` every row says which checkpoint and batch brought it.
+    """
+    added = [T.StructField(EPOCH, T.StringType()), T.StructField(BATCH_ID, T.LongType())]
+    schema = T.StructType([*landing_stream(spark, source).schema, *added])
+    rows = spark.read.schema(schema).parquet(out)
+    return rows if parts else rows.drop(EPOCH, BATCH_ID)
