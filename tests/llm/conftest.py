@@ -3,7 +3,12 @@ from __future__ import annotations
 import pytest
 
 # Names that the operators use inside, as columns of the input.
-CLASHES = ("fp", "words", "pos", "window", "hash", "group", "start", "item_id", "node", "kept", "host")
+CLASHES = (
+    "fp", "words", "pos", "window", "hash", "group", "start", "item_id", "node", "kept", "host",
+    "__id", "__hash", "__text_hash", "__spans", "__lang", "__score", "__host", "__bad",
+    "text_hash", "best_id", "best_hash", "hit_id", "hit_hash", "label_id", "id", "y", "half",
+    "pii_spans", "lang_pred", "lang_score", "place", "row", "n", "bucket", "x", "v",
+)
 
 
 @pytest.fixture(scope="session")

@@ -131,3 +131,16 @@ def test_languages_have_words_of_their_own(spark, monkeypatch):
     seen.clear()
     langid.fit(docs, F.lit(True), pieces=PIECES)
     assert sum(n for lang, _, n in seen if lang == "y") == 82  # all 41 distinct texts, once each
+
+
+@pytest.mark.parametrize("text", ["\u00bd", "\u2163 \u00b2", "12 _ \u00b9\u00bd", "\U0001f600", ""])
+def test_number_signs_are_no_letters(spark, docs, text):
+    model = langid.fit(docs, F.lit(True))
+    df = spark.createDataFrame([(text,)], "text string")
+    assert [tuple(r) for r in langid.predict(df, model).collect()] == [(text, langid.UND, 0.0)]
+
+
+def test_words_are_runs_of_letters():
+    text = "Ab\u00bdcD \u2163x 3y_z \u00e9\u0301"
+    wanted = "".join(c if c.isalpha() else " " for c in text.lower()).split()
+    assert list(langid.words_in(text)) == wanted

@@ -213,3 +213,51 @@ def test_pipeline_on_odd_rows(spark, sf_dir, odd, none):
         for _, stage in corpus_pipeline.STAGES:
             now = stage(spark, now, sf_dir)
         assert now.count() >= 0
+
+
+# ---------------------------------------------------------------- broken inputs
+
+
+def spoiled(data, kind):
+    size = struct.unpack_from("<I", data, 4)[0]
+    if kind == "dictionary":
+        return data[:8] + bytes(b ^ 0x5A for b in data[8:8 + size]) + data[8 + size:]
+    if kind == "skippable head":
+        return data + b"\x50\x2a\x4d\x18\x09"
+    if kind == "skippable body":
+        return data + struct.pack("<II", 0x184D2A50, 9) + b"123"
+    return data[:8 + size // 2]
+
+
+@pytest.mark.parametrize("kind", ["dictionary", "skippable head", "skippable body", "cut dictionary"])
+def test_spoiled_archives_give_error_rows(spark, tmp_path, kind):
+    records = [warc.record("response", f"urn:page:{i}", "http://x.example/", "1970-01-01T00:00:00Z",
+                           b"payload %d" % i * 40, hashlib.sha1(b"payload %d" % i * 40).hexdigest(), None)
+               for i in range(300)]
+    whole = warc.archive(records)
+    data = spoiled(whole, kind)
+    with pytest.raises(warc.Invalid):
+        list(warc.frames(data))
+    (tmp_path / f"good{warc.SUFFIX}").write_bytes(whole)
+    (tmp_path / f"bad{warc.SUFFIX}").write_bytes(data)
+    rows = warc.read(spark, str(tmp_path)).collect()
+    assert sum(r.error is None and "good" in r.archive for r in rows) == 300
+    assert [r.error is not None for r in rows if "bad" in r.archive][-1]
+
+
+def test_totals_before_any_commit(spark, tmp_path):
+    found = token_counts.totals(spark, str(tmp_path / "none"))
+    assert found.count() == 0 and found.columns == ["source", "lang", "tokenizer", "docs", "tokens"]
+
+
+def test_odd_rows_are_counted(odd, none, spark, tmp_path):
+    folder = str(tmp_path / "counts")
+    counts = odd.select("source", "lang", token_counts.rule_counts("text").alias("counts"))
+    changes = token_counts.inserts(token_counts.by_version(counts, "counts"))
+    for _ in range(2):
+        token_counts.commit(changes, folder, 1)
+    token_counts.commit(changes.limit(0), folder, 2)
+    found = token_counts.totals(spark, folder).where("tokenizer = 'words-1'")
+    assert found.selectExpr("sum(docs)").first()[0] == odd.count()
+    wanted = sum(len((r.text or "").split()) for r in odd.select("text").collect())
+    assert found.selectExpr("sum(tokens)").first()[0] == wanted

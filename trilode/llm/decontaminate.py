@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trilode.llm.common import stored
+from trilode.llm.common import free_name, stored
 
 BREAK = "[^\\p{L}\\p{M}\\p{N}]+"
 SHINGLE = 5
@@ -178,8 +178,9 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
 def without_matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                     text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` in whose text no item was found, with all their columns."""
+    hit_id, hit_hash = free_name(docs, "hit_id"), free_name(docs, "hit_hash")
     hit = matches(docs, benchmark, id_col, text_col, **options).select(
-        F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
+        F.col("doc_id").alias(hit_id), F.col("text_hash").alias(hit_hash)).distinct()
     return docs.join(
-        hit, F.col(id_col).eqNullSafe(F.col("__id")) & (F.xxhash64(text_col) == F.col("__hash")),
+        hit, F.col(id_col).eqNullSafe(F.col(hit_id)) & (F.xxhash64(text_col) == F.col(hit_hash)),
         "left_anti")

@@ -35,13 +35,22 @@ CACHE_WORDS = 200_000
 CHUNK = 1 << 20
 SCALE = np.log(64)
 BASE = 1_000_003
+# Letters, and number signs such as a half, which are told apart in a second step where there are any.
 _WORD = re.compile(r"[^\W\d_]+")
-# What Python takes for a letter of a word, for Spark's expressions.
-_LETTER = r"[\p{L}\p{Nl}\p{No}]"
+_LETTER = r"\p{L}"
 # Lattice columns of a batch of words: fewer words where there are many languages.
 CELLS = 25_000
 
 
+def words_in(text: str) -> Iterator[str]:
+    """Runs of letters in lower case, one after another."""
+    for m in _WORD.finditer(text.lower()):
+        if m[0].isalpha():
+            yield m[0]
+        else:
+            yield from "".join(c if c.isalpha() else " " for c in m[0]).split()
+
+
 def public_pieces(path: str | None = None) -> list[str]:
     """Pieces of the public vocabulary: letters only, in lower case, the word start as ``\\u2581``."""
     import sentencepiece
@@ -222,7 +231,7 @@ def fit(docs: DataFrame, learn_from: Column, text_col: str = "text", lang_col: s
         for batch in slices(batches):
             seen: Counter = Counter()
             for text, lang in zip(batch["text"].to_pylist(), batch["lang"].to_pylist()):
-                seen.update((lang, w) for w in _WORD.findall(text.lower()))
+                seen.update((lang, w) for w in words_in(text))
             yield pa.RecordBatch.from_pydict({
                 "lang": [k[0] for k in seen], "word": [k[1] for k in seen],
                 "n": list(seen.values())},
@@ -266,7 +275,7 @@ class Scorer:
                     break
                 part.append(text)
             if len(part) > 1:
-                self._learn({w for t in part if t for w in _WORD.findall(t.lower())})
+                self._learn({w for t in part if t for w in words_in(t)})
             out += map(self.one, part)
         return out
 
@@ -274,7 +283,7 @@ class Scorer:
         """The likeliest language and its share against all others and the background."""
         if not self.model.langs:
             return UND, 0.0
-        found = (m[0] for m in _WORD.finditer(text.lower())) if text else iter(())
+        found = words_in(text) if text else iter(())
         total, empty = np.zeros(len(self.model.langs) + 1), True
         while part := Counter(islice(found, 1 << 16)):
             self._learn(part)

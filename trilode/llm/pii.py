@@ -1,19 +1,27 @@
 """Personal data: fixed patterns, and a semi-Markov conditional random field that adds to them.
 
 The patterns give the base spans, which always stay. The field looks at islands: runs of digit
-groups with little between them, and spelled-out addresses. In an island every run of up to
-``MAX_GROUPS`` groups is a candidate segment of each kind, scored by features of the whole span;
-dynamic programming over the lattice finds the best segmentation, or in training the expected
-features. Its segments are added where they do not touch a base span.
+groups with little between them, and spelled-out addresses. In an island every run of groups of up
+to ``MOST_DIGITS`` digits together (no kind has more) is a candidate segment of each kind, scored by
+features of the whole span; dynamic programming finds the best segmentation, or in training the
+expected features. Its segments are added where they do not touch a base span and score better by
+``MARGIN`` than being left alone. Decoding keeps the features of one start at a time, so an
+island may be as long as a text.
+
+Spelled-out addresses have up to 64 letters before the "at" and 63 in a label, the limits of the
+standard for mail addresses. Islands have at least seven digits, as the shortest phone numbers do,
+or four groups with dots between.
 
 The field is trained on base spans of all texts, ``TRAIN_SPANS`` distinct ones of each kind by hash,
-rewritten into forms that the patterns miss, and on rewritten spans that are no personal data. Fixed
-examples of the formats (``FORMATS``) stand in for a kind with fewer than ``LEAST_SPANS``.
+rewritten into forms that the patterns miss, and on number forms that are no personal data: dates,
+times, coordinates, versions, rows of a table. Fixed examples of the formats (``FORMATS``) stand in for
+a kind with fewer than ``LEAST_SPANS``.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from hashlib import blake2b
 from heapq import nsmallest
@@ -24,12 +32,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from trilode.llm.common import slices
+from trilode.llm.common import free_name, slices
 
 # The kinds in the order in which spans at one place are listed.
 KINDS = ("email", "ip", "card", "phone")
 TRAIN_SPANS = 30
 LEAST_SPANS = 5
+PLAIN_NUMBERS = 12
 # Addresses and numbers that stand for no one: reserved names, networks and exchanges, test cards.
 FORMATS = {
     "email": ("ann.lee@mail3.example.com", "x_1@a-b.example", "info@example.org",
@@ -41,11 +50,12 @@ FORMATS = {
               "+1 415 555 0123"),
 }
 EPOCHS = 40
-MAX_GROUPS = 6
+MOST_DIGITS = 19
+LEAST_DIGITS = 7
+MARGIN = 0.5
 
 # Fixed patterns of the base spans. The local part of an address is found backwards from "@" and a
 # dotted number only at the start of its digits, so that no text takes quadratic time.
-_LOCAL = re.compile(r"[A-Za-z0-9._%+-]+")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
@@ -53,13 +63,19 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 
 _GROUP = re.compile(r"[0-9]+")
-_GAP = re.compile(r"[\x20().+/-]{1,3}")
+# What may lie between two groups: up to three marks, or a dot that was put in brackets.
+_GAP = re.compile(r"[\x20().+/-]{1,3}|\x20?(?:\[(?:\.|(?i:dot))\]|[({](?:\.|(?i:dot))[)}])\x20?")
+_WRAPPED_DOT = re.compile(r"\x20?[\[({](?:\.|(?i:dot))[\])}]\x20?")
 _SPELLED = re.compile(
     r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}"
-    r"(?:\x20?[\[({]at[\])}]\x20?[A-Za-z0-9-]{1,63}"
-    r"(?:(?:\x20?[\[({]dot[\])}]\x20?|\.|\x20dot\x20)[A-Za-z0-9-]{1,63})+"
-    r"|\x20at\x20[A-Za-z0-9-]{1,63}(?:\x20dot\x20[A-Za-z0-9-]{1,63})+)")
-_MAY_SPELL = re.compile(r"[\[({]at[\])}]|\x20dot\x20")
+    r"(?:\x20?[\[({](?i:at)[\])}]\x20?[A-Za-z0-9-]{1,63}"
+    r"(?:(?:\x20?[\[({](?i:dot)[\])}]\x20?|\.|\x20(?i:dot)\x20)[A-Za-z0-9-]{1,63})+"
+    r"|\x20(?i:at)\x20[A-Za-z0-9-]{1,63}(?:\x20(?i:dot)\x20[A-Za-z0-9-]{1,63})+)")
+_MAY_SPELL = re.compile(r"[\[({](?i:at)[\])}]|\x20(?i:dot)\x20")
+_DATE = re.compile(
+    r"(?:(?:19|20)[0-9]{2}(?P<a>[-/.])(?:0?[1-9]|1[0-2])(?P=a)(?:0?[1-9]|[12][0-9]|3[01])"
+    r"|(?:0?[1-9]|[12][0-9]|3[01])(?P<b>[-/.])(?:0?[1-9]|[12][0-9]|3[01])(?P=b)(?:19|20)[0-9]{2})(?![0-9])")
+_FRACTION = re.compile(r"\.[0-9]{5,}")
 
 
 class Span(NamedTuple):
@@ -121,17 +137,23 @@ def base_spans(text: str) -> list[Span]:
 Groups = list[tuple[int, int]]
 
 
+def _may_be_personal(text: str, run: Groups) -> bool:
+    if sum(b - a for a, b in run) >= LEAST_DIGITS:
+        return True
+    return len(run) >= 4 and "." in text[run[0][1]:run[-1][0]]
+
+
 def islands(text: str) -> Iterator[Groups]:
-    """Digit groups that stand close together, where at least seven digits do; and spelled-out
-    addresses, as islands of one group."""
+    """Digit groups that stand close together, and spelled-out addresses as islands of one group;
+    digits first, each kind in the order of the text."""
     run: Groups = []
     for m in _GROUP.finditer(text):
         if run and not _GAP.fullmatch(text, run[-1][1], m.start()):
-            if sum(b - a for a, b in run) >= 7:
+            if _may_be_personal(text, run):
                 yield run
             run = []
         run.append(m.span())
-    if sum(b - a for a, b in run) >= 7:
+    if run and _may_be_personal(text, run):
         yield run
     if _MAY_SPELL.search(text):
         for m in _SPELLED.finditer(text):
@@ -153,23 +175,27 @@ def features(text: str, groups: Groups, i: int, j: int) -> np.ndarray:
     """Features of groups ``i..j`` as one span, the same for each kind."""
     start, end = _extent(text, groups, i, j)
     span = text[start:end]
-    spelled = float("at" in span)
+    spelled = float(not span[-1].isdigit() or "at" in span.lower())
+    plain = "" if spelled else _WRAPPED_DOT.sub(".", span)
+    wrapped = not spelled and len(plain) < len(span)
     digits = "" if spelled else _digits(span)
-    gaps = "" if spelled else _GROUP.sub("", span)
+    gaps = _GROUP.sub("", plain)
     n, parts = len(digits), j - i + 1
     lengths = [b - a for a, b in groups[i:j + 1]]
     before = text[start - 1:start] if start else ""
     after = text[end:end + 1]
     glued = before.isalnum() or after.isalnum() or before in ("_", "#") and bool(before)
     dotted = parts == 4 and gaps == "..."
+    alone = i == 0 and j == len(groups) - 1
     return np.array([
         1.0,
         spelled,
-        spelled * bool(re.search(r"[\[({]at", span)),
+        spelled * bool(re.search(r"[\[({]at", span.lower())),
         span.startswith("+"),
         "(" in span and ")" in span,
-        dotted and all(_octet(p) for p in span.split(".")),
+        dotted and all(_octet(p) for p in plain.split(".")),
         dotted,
+        dotted and wrapped and alone and all(_octet(p) for p in plain.split(".")),
         14 <= n <= 19 and luhn(digits),
         n < 10,
         n == 10,
@@ -184,10 +210,18 @@ def features(text: str, groups: Groups, i: int, j: int) -> np.ndarray:
         "/" in gaps,
         glued,
         n == 8 and parts == 3,
+        alone,
+        parts >= 10 and max(lengths) == 1,
+        10 <= parts <= 15 and max(lengths) == 1 and alone,
+        bool(_DATE.search(plain)),
+        bool(_FRACTION.search(plain)),
+        "." in gaps and " " in gaps,
+        parts > 1 and gaps.strip(" ") == "" and not len(set(lengths)) == 1,
+        n < 7,
     ], float)
 
 
-WIDTH = 21
+WIDTH = 30
 
 
 class Lattice(NamedTuple):
@@ -198,11 +232,20 @@ class Lattice(NamedTuple):
     phi: np.ndarray
 
 
+def _ends(groups: Groups, i: int) -> Iterator[int]:
+    """Last groups of the segments that begin at group ``i``."""
+    digits = 0
+    for j in range(i, len(groups)):
+        digits += groups[j][1] - groups[j][0]
+        if digits > MOST_DIGITS and not (i == j and digits <= 320):  # an address is one long group
+            return
+        yield j
+
+
 def lattice(text: str, groups: Groups) -> Lattice:
-    segments = [(i, j) for i in range(len(groups))
-                for j in range(i, min(len(groups), i + MAX_GROUPS))]
+    segments = [(i, j) for i in range(len(groups)) for j in _ends(groups, i)]
     return Lattice(len(groups), segments,
-                   np.array([features(text, groups, i, j) for i, j in segments]))
+                   np.array([features(text, groups, i, j) for i, j in segments]).reshape(-1, WIDTH))
 
 
 def _gradient(lat: Lattice, weights: np.ndarray, gold: dict[tuple[int, int], int]) -> np.ndarray:
@@ -231,32 +274,54 @@ def _gradient(lat: Lattice, weights: np.ndarray, gold: dict[tuple[int, int], int
     return (hit - share).T @ lat.phi
 
 
-def best_segments(lat: Lattice, weights: np.ndarray) -> list[tuple[int, int, int]]:
-    """The best segmentation as ``(i, j, kind)``; a group outside any segment scores zero."""
-    scores = lat.phi @ weights.T
-    kinds, values = scores.argmax(axis=1), scores.max(axis=1)
-    best, came = [0.0] + [-np.inf] * lat.size, [None] * (lat.size + 1)
-    by_start: dict[int, list[int]] = {}
-    for k, (i, _) in enumerate(lat.segments):
-        by_start.setdefault(i, []).append(k)
-    for i in range(lat.size):
+Choices = Iterator[list[tuple[int, float, int]]]
+
+
+def _decode(size: int, starting: Choices) -> list[tuple[int, int, int]]:
+    """The best segmentation as ``(i, j, kind)`` from what can begin at each group in turn:
+    ``(j, value, kind)``. A group outside any segment scores zero."""
+    best, came = [0.0] + [-np.inf] * size, [None] * (size + 1)
+    for i, choices in enumerate(starting):
         if best[i] > best[i + 1]:
             best[i + 1], came[i + 1] = best[i], None
-        for k in by_start[i]:
-            j = lat.segments[k][1]
-            if best[i] + values[k] > best[j + 1]:
-                best[j + 1], came[j + 1] = best[i] + values[k], k
-    found, at = [], lat.size
+        for j, value, kind in choices:
+            if best[i] + value > best[j + 1]:
+                best[j + 1], came[j + 1] = best[i] + value, (i, j, kind)
+    found, at = [], size
     while at:
-        if (k := came[at]) is None:
+        if (segment := came[at]) is None:
             at -= 1
         else:
-            i, j = lat.segments[k]
-            found.append((i, j, int(kinds[k])))
-            at = i
+            found.append(segment)
+            at = segment[0]
     return found
 
 
+def best_segments(lat: Lattice, weights: np.ndarray) -> list[tuple[int, int, int]]:
+    """The best segmentation of a lattice."""
+    scores = lat.phi @ weights.T
+    by_start: list[list[tuple[int, float, int]]] = [[] for _ in range(lat.size)]
+    for (i, j), row in zip(lat.segments, scores):
+        by_start[i].append((j, float(row.max()), int(row.argmax())))
+    return _decode(lat.size, iter(by_start))
+
+
+def decode(text: str, groups: Groups, weights: np.ndarray) -> list[tuple[int, int, int]]:
+    """Like :func:`best_segments`, less ``MARGIN`` for each segment, with the features of one start
+    at a time: those of the groups within ``MOST_DIGITS`` digits."""
+
+    def starting() -> Choices:
+        for i in range(len(groups)):
+            ends = list(_ends(groups, i))
+            if not ends:
+                yield []
+                continue
+            scores = np.array([features(text, groups, i, j) for j in ends]) @ weights.T
+            yield [(j, float(row.max()) - MARGIN, int(row.argmax())) for j, row in zip(ends, scores)]
+
+    return _decode(len(groups), starting())
+
+
 def _rewritten(kind: str, span: str, rng: np.random.Generator) -> Iterator[tuple[str, bool]]:
     """Forms of a base span, each with whether it is still personal data."""
     yield span, True
@@ -266,11 +331,14 @@ def _rewritten(kind: str, span: str, rng: np.random.Generator) -> Iterator[tuple
         yield f"{local} at {domain.replace('.', ' dot ')}", True
         yield f"{local} (at) {domain}", True
         yield f"{local}[at]{domain.replace('.', '[dot]')}", True
+        yield f"{local} AT {domain.replace('.', ' DOT ')}", True
     elif kind == "phone":
         last = digits[-10:]
         yield f"({last[:3]}) {last[3:6]}-{last[6:]}", True
         yield f"{last[:3]}-{last[3:6]}-{last[6:]}", True
         yield f"{last[:3]}.{last[3:6]}.{last[6:]}", True
+        yield " ".join(last), True
+        yield " ".join(last * 3), False
         yield last, False
         yield f"{last[:4]}-{last[4:6]}-{last[6:8]}", False
         yield f"{last[:3]} {last[3:8]}", False
@@ -284,11 +352,48 @@ def _rewritten(kind: str, span: str, rng: np.random.Generator) -> Iterator[tuple
         yield digits[:9], False
     else:
         parts = span.split(".")
+        yield "[.]".join(parts), True
+        yield "(.)".join(parts), True
+        yield "[dot]".join(parts), True
+        yield "[.]".join([*parts, "7"]), False
         yield ".".join([*parts[:3], str(256 + int(rng.integers(0, 700)))]), False
         yield ".".join([*parts, "7"]), False
         yield ".".join(parts[:3]) + "0", False
 
 
+def _plain_numbers(rng: np.random.Generator, count: int) -> Iterator[str]:
+    """Number forms that are nobody's: dates, times, coordinates, versions, codes, rows of a table."""
+    def n(low: int, high: int) -> int:
+        return int(rng.integers(low, high))
+
+    for _ in range(count):
+        year, month, day = n(1900, 2100), n(1, 13), n(1, 29)
+        date = f"{year}-{month:02}-{day:02}"
+        yield date
+        yield f"{date} {n(10, 10**8)}"
+        yield f"{date} {n(0, 24):02}"
+        yield f"{day:02}/{month:02}/{year} {n(0, 10**6)}"
+        yield f"{day}.{month}.{year}"
+        yield f"{year}{month:02}{day:02} {n(0, 240000):06}"
+        yield f"{date} {year + 1}-{month:02}-{day:02}"
+        yield f"{n(0, 90)}.{n(10**5, 10**6)} {n(0, 180)}"
+        yield f"{n(0, 90)}.{n(10**5, 10**6)} {n(0, 180)}.{n(10**5, 10**6)}"
+        yield f"{n(0, 90)}.{n(1000, 10**4)} {n(0, 180)}.{n(1000, 10**4)}"
+        yield f"{n(0, 10)}.{n(10**8, 10**12)}"
+        yield f"{n(0, 30)}.{n(0, 30)}.{n(0, 30)}-{n(1, 10**4)}"
+        yield f"{n(0, 30)}.{n(0, 30)}.{n(1000, 10**5)}.{n(256, 10**4)}"
+        yield f"{n(1, 9)}[.]{n(1, 30)}[.]{n(1, 30)}[.]{n(256, 999)}"
+        yield " ".join(str(n(0, 10**6)) for _ in range(n(2, 9)))
+        yield " ".join(str(n(100, 1000)) for _ in range(n(3, 9)))
+        yield " ".join(str(n(1000, 10**4)) for _ in range(n(2, 4)))
+        yield " ".join(str(n(0, 10)) for _ in range(n(14, 40)))
+        yield " ".join(str(n(10, 100)) for _ in range(n(4, 12)))
+        yield f"{n(1, 999)} {n(0, 999):03} {n(0, 999):03}"
+        yield f"978-{n(0, 9)}-{n(10, 99)}-{n(100000, 999999)}-{n(0, 9)}"
+        yield f"{year}-{year + 3} {n(0, 10**4)}"
+        yield f"{n(0, 10**4)}/{n(0, 10**4)} {n(0, 100)}"
+
+
 def train(examples: list[tuple[str, str]], seed: int = 0) -> np.ndarray | None:
     """Weights by kind and feature from ``(kind, span text)`` examples; None without any."""
     rng = np.random.default_rng(seed)
@@ -301,6 +406,9 @@ def train(examples: list[tuple[str, str]], seed: int = 0) -> np.ndarray | None:
                 data.append((lattice(text, groups), gold))
     if not data:
         return None
+    for form in _plain_numbers(rng, PLAIN_NUMBERS):
+        data += [(lattice(form, groups), {}) for groups in islands(form)]
+    data = [(lat, gold) for lat, gold in data if lat.segments and gold.keys() <= {*lat.segments}]
     weights, total = np.zeros((len(KINDS), WIDTH)), np.full((len(KINDS), WIDTH), 1e-6)
     for _ in range(EPOCHS):
         step = sum(_gradient(lat, weights, gold) for lat, gold in data) - 0.02 * weights
@@ -355,15 +463,29 @@ def all_spans(text: str, weights: np.ndarray | None) -> list[Span]:
     base = base_spans(text)
     if weights is None:
         return base
+    # base spans as disjoint stretches in order, so that each island finds its own by bisection
+    starts: list[int] = []
+    ends: list[int] = []
+    for span in base:
+        if ends and span.start < ends[-1]:
+            ends[-1] = max(ends[-1], span.end)
+        else:
+            starts.append(span.start)
+            ends.append(span.end)
+
+    def touched(start: int, end: int) -> bool:
+        at = bisect_right(ends, start)
+        return at < len(starts) and starts[at] < end
+
     added = []
     for groups in islands(text):
         first, last = groups[0][0], groups[-1][1]
-        touching = [s for s in base if s.start < last and first < s.end]
-        if any(s.start <= first and last <= s.end for s in touching):
+        at = bisect_right(ends, first)
+        if at < len(starts) and starts[at] <= first and last <= ends[at]:
             continue
-        for i, j, kind in best_segments(lattice(text, groups), weights):
+        for i, j, kind in decode(text, groups, weights):
             start, end = _extent(text, groups, i, j)
-            if not any(s.start < end and start < s.end for s in touching):
+            if not touched(start, end):
                 added.append(Span(start, end, KINDS[kind], False))
     if not added:
         return base
@@ -401,17 +523,18 @@ def find(docs: DataFrame, text_col: str = "text", spans_col: str = "pii_spans",
 def redact(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:
     """``docs`` with every span replaced by its kind, as in ``[EMAIL]``; overlapping spans become
     one mark, named by the first. Null texts stay null; ``n_chars``, if there, is counted again."""
-    spanned = find(docs, text_col, "__spans", **options)
+    spans_col = free_name(docs, "pii_spans")
+    spanned = find(docs, text_col, spans_col, **options)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             at = batch.schema.get_field_index(text_col)
             texts = [None if t.as_py() is None else _marked(t.as_py(), s.as_py())
-                     for t, s in zip(batch.column(at), batch["__spans"])]
+                     for t, s in zip(batch.column(at), batch[spans_col])]
             columns = [pa.array(texts, pa.string()) if i == at else c
-                       for i, c in enumerate(batch.columns) if batch.schema.names[i] != "__spans"]
+                       for i, c in enumerate(batch.columns) if batch.schema.names[i] != spans_col]
             yield pa.RecordBatch.from_arrays(
-                columns, names=[n for n in batch.schema.names if n != "__spans"])
+                columns, names=[n for n in batch.schema.names if n != spans_col])
 
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     out = spanned.mapInArrow(cut, columns)

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trilode.llm.common import slices, stored
+from trilode.llm.common import free_name, slices, stored
 from trilode.llm.components import components
 
 SEED = 42
@@ -250,13 +250,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              **options) -> DataFrame:
     """One row of each near-duplicate group with all its columns: the one with the least id."""
+    text_hash, best_id, best_hash = (
+        free_name(docs, n) for n in ("text_hash", "best_id", "best_hash"))
     best = near_duplicates(docs, id_col, text_col, **options).select(
-        F.col("component_id").alias("__id"), F.col("component_text_hash").alias("__hash"),
+        F.col("component_id").alias(best_id), F.col("component_text_hash").alias(best_hash),
     ).distinct()
-    keyed = docs.withColumn("__text_hash", F.xxhash64(text_col))
-    same = F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__text_hash") == F.col("__hash"))
-    return keyed.join(best, same, "left_semi").dropDuplicates([id_col, "__text_hash"]).drop(
-        "__text_hash")
+    keyed = docs.withColumn(text_hash, F.xxhash64(text_col))
+    same = F.col(id_col).eqNullSafe(F.col(best_id)) & (F.col(text_hash) == F.col(best_hash))
+    return keyed.join(best, same, "left_semi").dropDuplicates([id_col, text_hash]).drop(text_hash)
 
 
 def hex_digits(fp: str = "fp"):

@@ -90,7 +90,7 @@ def commit(changes: DataFrame, folder: str, batch_id: int) -> None:
 
     Fits ``foreachBatch``, whose batch ids and rows come again unchanged after a failure.
     """
-    (deltas(changes).withColumn("batch", F.lit(batch_id).cast("long")).coalesce(1)
+    (deltas(changes).withColumn("batch", F.lit(batch_id).cast("long"))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("batch").parquet(folder))
 
@@ -98,6 +98,9 @@ def commit(changes: DataFrame, folder: str, batch_id: int) -> None:
 def totals(spark: SparkSession, folder: str) -> DataFrame:
     """``source, lang, tokenizer, docs, tokens`` over all committed batches; without any, no rows."""
     schema = "source string, lang string, tokenizer string, docs bigint, tokens bigint, batch bigint"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return spark.createDataFrame([], schema).drop("batch")
     return spark.read.schema(schema).parquet(folder).groupBy(*GROUP).agg(
         F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"),
     ).where("docs <> 0 OR tokens <> 0")

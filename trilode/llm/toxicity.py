@@ -234,12 +234,13 @@ def fit(docs: DataFrame, labels: DataFrame, learn_from: Column, id_col: str = "d
     Copies of a text count once, so that a text repeated many times lends its words no weight.
     """
     known = labels.where(learn_from & F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
-    chosen = sampled(known.select(F.col(id_col).alias("__id"), F.col(label_col).alias("y")),
-                     TRAIN_DOCS, "__id").distinct().limit(2 * TRAIN_DOCS)
+    chosen = sampled(known.select(F.col(id_col).alias("label_id"), F.col(label_col).alias("y")),
+                     TRAIN_DOCS, "label_id").distinct().limit(2 * TRAIN_DOCS)
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     # At most 2 * TRAIN_DOCS ids and labels of 16 bytes: small by the bound of the sample.
-    sample = stored(docs.join(F.broadcast(chosen), F.col(id_col) == F.col("__id")).select(
-        F.col(text_col).alias("text"), F.col("y").cast("int").alias("y"),
-        F.pmod(F.xxhash64(text_col), F.lit(2)).cast("int").alias("half"),
+    sample = stored(texts.join(F.broadcast(chosen), F.col("id") == F.col("label_id")).select(
+        "text", F.col("y").cast("int").alias("y"),
+        F.pmod(F.xxhash64("text"), F.lit(2)).cast("int").alias("half"),
     ).where("text IS NOT NULL").dropDuplicates(["text"]), "labelled")
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -112,14 +112,23 @@ def frames(data: bytes) -> Iterator[tuple[int, bytes]]:
         if 8 + size > len(data):
             raise Invalid("dictionary frame is cut short")
         stored = data[8:8 + size]
-        if stored[:4] == ZSTD_MAGIC:
-            stored = zstandard.ZstdDecompressor().decompressobj().decompress(stored)
-        known = zstandard.ZstdCompressionDict(stored)
+        try:
+            if stored[:4] == ZSTD_MAGIC:
+                stored = zstandard.ZstdDecompressor().decompressobj().decompress(stored)
+            known = zstandard.ZstdCompressionDict(stored)
+            zstandard.ZstdDecompressor(dict_data=known).decompressobj()  # loads the dictionary
+        except (zstandard.ZstdError, ValueError) as broken:
+            raise Invalid("the dictionary cannot be loaded") from broken
         at = 8 + size
     reader = zstandard.ZstdDecompressor(dict_data=known)
     while at < len(data):
         if data[at + 1:at + 4] == b"\x2a\x4d\x18" and data[at] & 0xF0 == 0x50:
-            at += 8 + struct.unpack_from("<I", data, at + 4)[0]
+            if at + 8 > len(data):
+                raise Invalid(f"skippable frame at byte {at} is cut short")
+            after = at + 8 + struct.unpack_from("<I", data, at + 4)[0]
+            if after > len(data):
+                raise Invalid(f"skippable frame at byte {at} is cut short")
+            at = after
             continue
         size = _frame_size(view, at)
         try:
