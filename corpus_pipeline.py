@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trilode.llm import decontaminate, langid, packing, pii, simhash
-from trilode.llm.common import stored, table
+from trilode.llm.common import free_name, stored, table
 
 # A text is rejected when its best language explains it a million times worse than the background
 # model does; clean texts of a single rare word stay above.
@@ -21,9 +21,10 @@ LEAST_SCORE = 1e-6
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop texts of no known language; where ``lang`` is null the prediction fills it."""
     model = langid.fit(docs, F.lit(True))
-    found = langid.predict(docs, model, lang_col="__lang", score_col="__score")
-    kept = found.where((F.col("__lang") != langid.UND) & (F.col("__score") >= LEAST_SCORE))
-    return kept.withColumn("lang", F.coalesce("lang", "__lang")).select(*docs.columns)
+    lang, score = free_name(docs, "lang_pred"), free_name(docs, "lang_score")
+    found = langid.predict(docs, model, lang_col=lang, score_col=score)
+    kept = found.where((F.col(lang) != langid.UND) & (F.col(score) >= LEAST_SCORE))
+    return kept.withColumn("lang", F.coalesce("lang", lang)).select(*docs.columns)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
