@@ -32,7 +32,9 @@ END_ID = 1
 GRID = 32
 SLACK = 0.002
 GROUP_TOKENS = 1 << 21
-CACHE_WORDS = 500_000
+# Words, and parts of words with punctuation, that a Python worker remembers: some 130 MB at most.
+CACHE_WORDS = 250_000
+CACHE_PARTS = 150_000
 CHUNK = 1 << 20
 LINEAR, QUADRATIC = 1.0, 1.0 / 1024
 
@@ -118,7 +120,7 @@ class Encoder:
         cut = [[word] if _PLAIN.fullmatch(word) or b"<|" in word
                else _PUNCTUATION.sub(rb" \g<0>", word).split(b" ") for word in self.places.fresh]
         self.places.fresh = []
-        if len(self.parts) > CACHE_WORDS:
+        if len(self.parts) > CACHE_PARTS:
             self.older, self.parts = self.parts, {}  # parts met again come back from there
         fresh = set(chain.from_iterable(cut)).difference(self.parts)
         again = {p for p in fresh if p in self.older} if self.older else set()
