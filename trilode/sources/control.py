@@ -1,6 +1,6 @@
 """High-water marks: an append-only control table, one row per committed load.
 
-Every load leaves one small file. :func:`compact` folds them into one when there are many.
+Every load leaves one small file.
 """
 
 from __future__ import annotations
