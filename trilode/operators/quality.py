@@ -16,7 +16,6 @@ from trilode.operators.clean import (
     has_column,
     present,
     type_of,
-    union_all,
 )
 from trilode.sources.lineage import INGESTED_AT, lineage_column
 from trilode.spec import CleaningSpec, FlowSpec, RuleSpec, Source
@@ -116,8 +115,8 @@ def bronze_contract(df: DataFrame, source: Source) -> DataFrame:
     return _schema_checks(df, "bronze", (INGESTED_AT, lineage_column(source)))
 
 
-def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``(repeats)``: rows beyond the first of their key, NULL parts being equal to each other.
+def _by_key(df: DataFrame, keys: Sequence[str], flags: Sequence[Column] = ()) -> DataFrame:
+    """``(__n, __flag_0, ...)`` per key: its rows, and those for which each flag holds.
 
     Shuffled are 128 bits of hash in place of the whole key; among a trillion keys the chance that
     two of them share these is below one in 10^14. Keys with a collation are compared themselves,
@@ -127,22 +126,31 @@ def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     plain = [k for k in keys if k not in folded]
     hashes = [F.xxhash64(*plain), F.xxhash64(F.lit("second"), *plain)] if plain else []
     parts = {f"{KEY_HASH}{i}": h for i, h in enumerate([*hashes, *map(F.col, folded)])}
-    groups = df.select(*[c.alias(n) for n, c in parts.items()]).groupBy(*parts).agg(
-        F.count(F.lit(1)).alias("__n"))
-    return groups.agg(F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).alias("repeats"))
+    named = [c.alias(n) for n, c in parts.items()]
+    marks = [f.alias(f"__flag_{i}") for i, f in enumerate(flags)]
+    return df.select(*named, *marks).groupBy(*parts).agg(
+        F.count(F.lit(1)).alias("__n"),
+        *[F.count_if(f"__flag_{i}").alias(f"__flag_{i}") for i in range(len(flags))])
+
+
+def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``(repeats)``: rows beyond the first of their key, NULL parts being equal to each other."""
+    return _by_key(df, keys).agg(F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).alias("repeats"))
 
 
 def silver_contract(df: DataFrame, spec: CleaningSpec) -> DataFrame:
-    """Silver has no NULL in a required column and no key twice."""
-    parts = []
-    if spec.null_drop:
-        counts = df.agg(*[F.count_if(~present(df, c)).alias(f"check_{i}")
-                          for i, c in enumerate(spec.null_drop)])
-        parts.append(_checked("silver", counts, [f"no null {c}" for c in spec.null_drop]))
+    """Silver has no NULL in a required column and no key twice. One pass over the data."""
+    names = [f"no null {c}" for c in spec.null_drop]
+    gaps = [~present(df, c) for c in spec.null_drop]
     if spec.dedup_keys:
-        counts = repeated_keys(df, spec.dedup_keys).withColumnRenamed("repeats", "check_0")
-        parts.append(_checked("silver", counts, ["unique key"]))
-    return union_all(*parts) if parts else df.sparkSession.createDataFrame([], CONTRACT)
+        counts = _by_key(df, spec.dedup_keys, gaps).agg(
+            *[F.coalesce(F.sum(f"__flag_{i}"), F.lit(0)).alias(f"check_{i}") for i in range(len(gaps))],
+            F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).alias(f"check_{len(gaps)}"))
+        return _checked("silver", counts, [*names, "unique key"])
+    if not gaps:
+        return df.sparkSession.createDataFrame([], CONTRACT)
+    counts = df.agg(*[F.count_if(g).alias(f"check_{i}") for i, g in enumerate(gaps)])
+    return _checked("silver", counts, names)
 
 
 def rejected_report(rejected: DataFrame, spec: CleaningSpec, bronze_rows: int) -> DataFrame:
