@@ -58,6 +58,51 @@ def test_casts_give_null(df, text, values):
     assert [r[0] for r in df.selectExpr(as_sql(text)).collect()] == values
 
 
+@pytest.mark.parametrize("text, values", [
+    ("col('t').cast('int')", [12, -3, None, 7, None]), ("col('t').cast('bigint')", [12, -3, None, 7, None]),
+    ("col('t').cast('smallint')", [12, -3, None, 7, None]),
+    ("col('big').cast('long')", [9007199254740993, 1, None, 2, 3]),
+])
+def test_whole_numbers_from_text_with_a_fraction(spark, text, values):
+    """As a cast without ANSI mode reads them."""
+    texts = spark.createDataFrame(
+        [("12.5", "9007199254740993.5"), ("-3.9", "1"), ("abc", "x"), (" 7 ", "2"), (None, "3")],
+        "t string, big string")
+    assert [r[0] for r in texts.selectExpr(as_sql(text)).collect()] == values
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        assert [r[0] for r in texts.select(eval(text, {"col": col})).collect()] == values
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
+@pytest.mark.parametrize("text", [
+    "round(col('amount'), 1)", "abs(col('amount'))", "upper(col('name'))", "length(trim(col('name')))",
+    "coalesce(col('amount'), lit(9.0))", "concat(col('name'), lit('-'), col('status'))",
+    "greatest(col('id'), lit(2))", "col('name').startswith('a')", "col('name').contains(\"'\")",
+    "col('status').like('P%')", "col('name').substr(1, 2)", "floor(col('amount')) + ceil(col('amount'))",
+])
+def test_scalar_functions(df, text):
+    want = df.select(eval(text, vars(F).copy())).collect()
+    assert df.selectExpr(as_sql(text)).collect() == want
+
+
+@pytest.mark.parametrize("text, value", [
+    ("round(avg('amount'), 2)", 1.17), ("abs(min('amount'))", 1.5),
+    ("coalesce(sum(when(col('id') > 9, col('amount'))), lit(0))", 0.0),
+    ("round(stddev_pop('id'), 3)", 1.118), ("mean('id')", 2.5), ("count_distinct('status')", 2),
+])
+def test_functions_of_aggregates(df, text, value):
+    assert df.agg(F.expr(as_sql(text))).first()[0] == value
+
+
+@pytest.mark.parametrize("text", ["round(col('a'), 1, 2)", "upper()", "col('a').startswith()",
+                                  "collect_list(col('a'))", "sqrt(col('a'), col('b'))"])
+def test_wrong_arguments_are_refused(text):
+    with pytest.raises(ValueError):
+        to_sql(text)
+
+
 @pytest.mark.parametrize("text", ["amount > 0", "sum(amount)", "status IN ('a')", "count(*)",
                                   "CASE WHEN a THEN b END", "try_cast(x AS INT)", "a AND b"])
 def test_sql_stays(text):

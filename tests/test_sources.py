@@ -26,6 +26,8 @@ from trilode.sources.queries import (
     as_relation,
     jdbc_options,
     partition_options,
+    rank_query,
+    split_predicates,
     split_window,
     unmarked_rows,
 )
@@ -383,3 +385,48 @@ def test_sales_rows_depend_on_the_id_alone(spark):
     ids = spark.range(500)
     assert unordered(sales_rows(ids)) == unordered(sales_rows(ids.repartition(7)))
     assert unordered(sales_rows(ids)) != unordered(sales_rows(ids, seed=7))
+
+
+def uneven(spark):
+    spark.sql("""SELECT CASE WHEN id % 10 <> 0 THEN power(id, 5) END AS x, id,
+                        DATE'2024-01-01' + CAST(sqrt(id) AS int) AS day FROM range(1000)
+              """).createOrReplaceTempView("uneven")
+    return CatalogSource("SELECT * FROM uneven")
+
+
+@pytest.mark.parametrize("column", ["x", "id", "day"])
+def test_quantile_predicates_cover_every_row_once(spark, column):
+    source = uneven(spark)
+    conditions = split_predicates(spark, source, column, 8)
+    sizes = [spark.sql(f"{source.query} WHERE {c}").count() for c in conditions]
+    assert sum(sizes) == 1000 and max(sizes) <= 2 * 1000 / 8
+    held = " + ".join(f"CAST(coalesce({c}, false) AS int)" for c in conditions)
+    assert spark.sql(f"SELECT 1 FROM uneven WHERE {held} <> 1").count() == 0
+
+
+def test_ranks_in_the_database_cut_evenly(spark):
+    source = uneven(spark)  # the text a database gets, run by Spark
+    cuts = sorted(r[0] for r in spark.sql(rank_query(source, "x", 4)).collect())
+    assert len(cuts) == 4 and cuts[0] == 1.0
+    edges = [*cuts, float("inf")]
+    sizes = [spark.sql(f"SELECT 1 FROM uneven WHERE x >= {a!r}D AND x < {b}").count()
+             for a, b in zip(cuts, [f"{c!r}D" for c in cuts[1:]] + ["double('inf')"])]
+    assert len(edges) == 5 and sizes == [225] * 4
+    inside = spark.sql(rank_query(source, "id", 2, "id BETWEEN 100 AND 199")).collect()
+    assert sorted(r[0] for r in inside) == [100, 150]
+
+
+def test_quantiles_of_hardly_anything(spark):
+    spark.sql("SELECT CAST(NULL AS int) AS x").createOrReplaceTempView("no_value")
+    assert split_predicates(spark, CatalogSource("SELECT * FROM no_value"), "x", 8) == ["1 = 1"]
+    spark.sql("SELECT 7 AS x FROM range(50)").createOrReplaceTempView("one_value")
+    source = CatalogSource("SELECT * FROM one_value")
+    sizes = [spark.sql(f"{source.query} WHERE {c}").count()
+             for c in split_predicates(spark, source, "x", 4)]
+    assert sorted(sizes)[-1] == 50 and sum(sizes) == 50
+    assert split_predicates(spark, source, "x", 1) == ["1 = 1"]
+
+
+def test_unknown_split_is_refused():
+    with pytest.raises(ValueError, match="split"):
+        DatabaseSource("SELECT 1", partition_column="x", num_partitions=2, split="hash")

@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 from trilode.checks.dirt import dirty
 from trilode.checks.registry import check, table, workspace
 from trilode.operators import union_all
+from trilode.plans.run import read_bronze, read_rescued, run
 from trilode.sinks import write_table, written_rows
 from trilode.sinks.write import entries, remove
 from trilode.sources import (
+    inline_rows,
     load_increment,
     load_query,
     read_files,
@@ -33,7 +35,16 @@ from trilode.sources.samples import (
     PRODUCTS,
     REGIONS,
 )
-from trilode.spec import CatalogSource, EventSource, FileSource, IncrementSpec, SinkSpec
+from trilode.sources.files import RESCUED, rescued_report
+from trilode.sources.queries import split_predicates
+from trilode.spec import (
+    CatalogSource,
+    EventSource,
+    FileSource,
+    FlowSpec,
+    IncrementSpec,
+    SinkSpec,
+)
 from trilode.streaming import load_arrivals, read_arrivals
 
 ORDERS_DDL = (
@@ -284,3 +295,108 @@ def _picked(names, draw: int) -> str:
 def samples_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Synthetic sales for the order keys."""
     return sales_rows(table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id")))
+
+
+# Lines of orders: one in ten is too short, one too long, and one has a key that is no number.
+RESCUED_CSV = """CASE o_orderkey % 10
+    WHEN 1 THEN concat(o_orderkey, ',', o_custkey)
+    WHEN 2 THEN concat(o_orderkey, ',', o_custkey, ',', o_orderstatus, ',more')
+    WHEN 3 THEN concat(o_orderkey, ',x', o_custkey, ',', o_orderstatus)
+    ELSE concat(o_orderkey, ',', o_custkey, ',', o_orderstatus) END"""
+RESCUED_JSON = """CASE o_orderkey % 10
+    WHEN 1 THEN concat('{"o_orderkey": ', o_orderkey, ', "o_custkey": ')
+    WHEN 2 THEN concat('{"o_orderkey": ', o_orderkey, ', "o_custkey": [', o_custkey, ']}')
+    WHEN 3 THEN concat('{"o_orderkey": ', o_orderkey, ', "o_custkey": "x', o_custkey, '"}')
+    ELSE concat('{"o_orderkey": ', o_orderkey, ', "o_custkey": ', o_custkey, ', "o_orderstatus": "',
+                o_orderstatus, '"}') END"""
+
+
+def _rescued_sql(kind: str, line: str) -> str:
+    return f"""SELECT '{kind}' AS kind, o_orderkey,
+                      CASE WHEN o_orderkey % 10 NOT IN (1, 2, 3) THEN o_custkey END AS o_custkey,
+                      CASE WHEN o_orderkey % 10 IN (1, 2, 3) THEN {line} END AS line,
+                      CAST(NULL AS BIGINT) AS counted FROM orders
+               UNION ALL SELECT '{kind}', NULL, NULL, NULL,
+                      count(*) FILTER (o_orderkey % 10 IN (1, 2, 3)) FROM orders"""
+
+
+@check(f"{_rescued_sql('csv', RESCUED_CSV)} UNION ALL {_rescued_sql('json', RESCUED_JSON)}")
+def bronze_rescued(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that fit and lines that do not, and the latter counted over all files."""
+    root = f"{workspace(spark, sf_dir, 'bronze_rescued')}/{uuid.uuid4().hex}"
+    orders = table(spark, sf_dir, "orders")
+    parts = []
+    for kind, line in (("csv", RESCUED_CSV), ("json", RESCUED_JSON)):
+        orders.select(F.expr(line)).write.text(f"{root}/landing/{kind}")
+        source = FileSource(f"{root}/landing/{kind}", kind, rescue=True,
+                            schema="o_orderkey bigint, o_custkey bigint, o_orderstatus string")
+        flow = FlowSpec("rescue", f"{root}/{kind}", "raw", "clean", "totals", source)
+        run(spark, flow, ["bronze"])
+        rescued = read_rescued(spark, flow)
+        parts += [
+            read_bronze(spark, flow).selectExpr(
+                f"'{kind}' kind", "o_orderkey", "o_custkey", "CAST(NULL AS string) line",
+                "CAST(NULL AS bigint) counted"),
+            rescued.selectExpr(
+                f"'{kind}' kind", f"CAST(regexp_extract({RESCUED}, '[0-9]+', 0) AS bigint) o_orderkey",
+                "CAST(NULL AS bigint) o_custkey", f"{RESCUED} line", "CAST(NULL AS bigint) counted"),
+            rescued_report(rescued).selectExpr(
+                f"'{kind}' kind", "CAST(NULL AS bigint) o_orderkey", "CAST(NULL AS bigint) o_custkey",
+                "CAST(NULL AS string) line", "rescued counted").groupBy(
+                "kind", "o_orderkey", "o_custkey", "line").agg(F.sum("counted").alias("counted")),
+        ]
+    return union_all(*parts)
+
+
+SPLIT_READERS = 8
+
+
+@check(
+    """SELECT o_orderkey, CASE WHEN o_orderkey % 10 <> 0 THEN o_totalprice END AS price,
+              true AS evenly FROM orders"""
+)
+def bronze_split_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A read in parallel parts by quantiles of a very uneven column that also has NULLs."""
+    table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey", "CASE WHEN o_orderkey % 10 <> 0 THEN o_totalprice END AS price",
+        "CASE WHEN o_orderkey % 10 <> 0 THEN power(o_totalprice, 6) END AS uneven",
+    ).createOrReplaceTempView("trilode_split")
+    source = CatalogSource("SELECT * FROM trilode_split")
+    conditions = split_predicates(spark, source, "uneven", SPLIT_READERS)
+    readers = [
+        spark.sql(f"{source.query} WHERE {condition}").withColumn("reader", F.lit(i))
+        for i, condition in enumerate(conditions)
+    ]
+    rows = union_all(*readers)
+    sizes = rows.groupBy("reader").count()
+    evenly = sizes.agg(F.max("count") <= 2 * F.sum("count") / SPLIT_READERS).first()[0]
+    return rows.select("o_orderkey", "price", F.lit(evenly).alias("evenly"))
+
+
+@check("SELECT o_orderkey, o_orderstatus AS folder, true AS path FROM orders")
+def bronze_source_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The two forms of ``source_file``: the file of each row, and the path that was read."""
+    landing = f"{workspace(spark, sf_dir, 'bronze_source_file')}/landing"
+    orders = table(spark, sf_dir, "orders").withColumn("status", F.col("o_orderstatus"))
+    write_table(orders, SinkSpec(landing, partition_by=["status"]))
+    source = FileSource(landing, "parquet", track_file=True)
+    tracked = with_lineage(read_files(spark, source), source).withColumnRenamed(SOURCE_FILE, "file")
+    named = with_lineage(tracked, replace(source, track_file=False))
+    return named.select(
+        "o_orderkey", F.regexp_extract("file", "/status=([^/]*)/[^/]*$", 1).alias("folder"),
+        (F.col(SOURCE_FILE) == landing).alias("path"))
+
+
+STATUS_NAMES = [("F", "finished", 3), ("O", "open", 1), ("P", None, 2)]
+
+
+@check(
+    """SELECT o_orderkey, name, step FROM orders LEFT JOIN (VALUES
+           ('F', 'finished', 3), ('O', 'open', 1), ('P', NULL, 2)) AS v(status, name, step)
+       ON o_orderstatus = status"""
+)
+def bronze_inline_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A literal lookup table joined to orders."""
+    names = inline_rows(spark, STATUS_NAMES, "o_orderstatus string, name string, step int")
+    orders = table(spark, sf_dir, "orders")
+    return orders.join(names, "o_orderstatus", "left").select("o_orderkey", "name", "step")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,9 +20,11 @@ from trilode.operators import (
     union_all,
 )
 from trilode.operators.aggregate import OUTPUT, rows_of
+from trilode.plans.gold import read_outputs
+from trilode.plans.run import run
 from trilode.sinks import write_table
 from trilode.sources import read_layer
-from trilode.spec import AggSpec, GroupSpec, MetricSpec, SinkSpec
+from trilode.spec import AggSpec, FileSource, FlowSpec, GroupSpec, MetricSpec, SinkSpec
 
 
 def cents(df: DataFrame, *columns: str) -> DataFrame:
@@ -314,3 +318,40 @@ def gold_text_sinks(spark: SparkSession, sf_dir: str) -> DataFrame:
     from_csv = spark.read.schema(ddl).option("header", "true").csv(f"{folder}/csv")
     write_table(from_csv, SinkSpec(f"{folder}/json", format="json"))
     return spark.read.schema(ddl).json(f"{folder}/json")
+
+
+@check(
+    """WITH parts AS (SELECT 'old' AS run, * FROM orders WHERE o_orderkey % 2 = 0
+                      UNION ALL SELECT 'new' AS run, * FROM orders)
+       SELECT run, 'by_status' AS output, o_orderstatus AS key, count(*) AS orders FROM parts GROUP BY ALL
+       UNION ALL SELECT run, 'total', NULL, count(*) FROM parts GROUP BY ALL"""
+)
+def gold_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What readers see after a run that failed over new rows, and then after one that did not."""
+    root = f"{workspace(spark, sf_dir, 'gold_published')}/{uuid.uuid4().hex}"
+    orders = table(spark, sf_dir, "orders")
+    flow = FlowSpec(
+        "orders", root, "raw", "clean", "totals", FileSource(f"{root}/landing", "parquet"),
+        outputs=[MetricSpec("total", "count(*)", "orders"),
+                 GroupSpec("by_status", [AggSpec("*", "count", "orders")], ["o_orderstatus"])],
+        publish=True,
+    )
+    broken = MetricSpec("broken", "count(*) + CAST(raise_error('broken') AS bigint)", "broken")
+
+    def seen(run_name: str) -> list[DataFrame]:
+        tables = read_outputs(spark, flow)
+        return [
+            table.select(F.lit(run_name).alias("run"), F.lit(name).alias("output"),
+                         key.cast("string").alias("key"), "orders")
+            for name, table, key in (
+                ("total", tables["total"], F.lit(None)),
+                ("by_status", tables["by_status"], F.col("o_orderstatus")))
+        ]
+
+    write_table(orders.where("o_orderkey % 2 = 0"), SinkSpec(flow.source.path))
+    run(spark, flow)
+    write_table(orders, SinkSpec(flow.source.path))
+    run(spark, flow.override(outputs=[*flow.outputs, broken]))
+    old = seen("old")
+    run(spark, flow)
+    return union_all(*old, *seen("new"))  # the old run can still be read

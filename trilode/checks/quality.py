@@ -25,6 +25,8 @@ from trilode.operators import (
 )
 from trilode.plans.domains import SALES_CLEANING
 from trilode.plans.run import run
+from trilode.sinks.log import append_log, read_log
+from trilode.sinks.write import entries
 from trilode.spec import (
     AggSpec,
     CleaningSpec,
@@ -243,3 +245,18 @@ def quality_run_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("rules").alias("layer"), F.col("description").alias("check_name"),
         F.col("failed").alias("violations"), F.lit(None).cast("boolean").alias("passed"))
     return contracts.unionByName(rules)
+
+
+@check(
+    f"""SELECT *, true AS compacted FROM ({RUNS}) r
+        ORDER BY started_at DESC, run_id DESC, layer DESC LIMIT 5"""
+)
+def quality_compacted_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest runs of a history that came as hundreds of files and has one now."""
+    path = f"{workspace(spark, sf_dir, 'quality_compacted_log')}/{uuid.uuid4().hex}"
+    runs = dirty(spark, sf_dir, RUNS)
+    half = F.pmod(F.xxhash64("run_id", "layer"), F.lit(2)) == 0
+    runs.where(half).repartition(200).write.parquet(path)
+    append_log(runs.where(~half), path)
+    compacted = len(entries(spark, path)) == 1
+    return recent_runs(read_log(spark, path)).withColumn("compacted", F.lit(compacted))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from trilode import functions as T
 from trilode.checks.dirt import CUSTOMERS, EVENTS, ORDERS, SALES, WEB_LOGS, dirty
 from trilode.checks.registry import check, table, workspace
+from trilode.functions.column_text import as_sql
 from trilode.operators import (
     apply_rules,
     clean,
@@ -258,3 +259,22 @@ def silver_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("report").alias("side"), F.col("failed").alias("o_orderkey"),
         F.col("total").alias("failed_rules"))
     return union_all(*tables).unionByName(report, allowMissingColumns=True)
+
+
+@check(
+    """SELECT o_orderkey, CAST(trunc(o_totalprice) AS INTEGER) AS whole,
+              upper(substr(o_orderpriority, 1, 3)) AS short, o_custkey * 2 AS long_key
+       FROM orders WHERE trunc(o_totalprice) > 100000 AND o_orderstatus IN ('F', 'O')"""
+)
+def silver_column_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Column text in Python notation over columns that arrive as text."""
+    orders = table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey", "CAST(o_totalprice AS string) AS whole", "o_orderstatus",
+        "o_orderpriority AS short", "concat(o_custkey * 2, '.50') AS long_key")
+    return clean(orders, CleaningSpec(
+        type_fixes={"whole": as_sql("col('whole').cast('int')"),
+                    "short": as_sql("upper(col('short').substr(1, 3))"),
+                    "long_key": as_sql("col('long_key').cast('bigint')")},
+        rules=[RuleSpec("whole", as_sql("col('whole') > 100000")),
+               RuleSpec("o_orderstatus", as_sql("col('o_orderstatus').isin(['F', 'O'])"))],
+    )).drop("o_orderstatus")

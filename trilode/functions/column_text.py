@@ -9,10 +9,23 @@ from __future__ import annotations
 import ast
 
 # The functions and methods such texts use.
-AGGREGATES = ("sum", "avg", "count", "min", "max", "countDistinct")
+AGGREGATES = ("sum", "avg", "mean", "count", "min", "max", "countDistinct", "count_distinct")
+SPREADS = ("stddev", "stddev_pop", "stddev_samp", "variance", "var_pop", "var_samp")
 NOW = {"current_date": "current_date()", "current_timestamp": "current_timestamp()"}
-STARTS = ("col", "lit", "when", "to_date", "to_timestamp", *AGGREGATES, *NOW)
+STARTS = ("col", "lit", "when", "to_date", "to_timestamp", *AGGREGATES, *SPREADS, *NOW)
 COMPARISONS = {ast.Eq: "=", ast.NotEq: "<>", ast.Lt: "<", ast.LtE: "<=", ast.Gt: ">", ast.GtE: ">="}
+# Name in Spark SQL with the least and the most arguments.
+SCALARS = {
+    "abs": (1, 1), "ceil": (1, 1), "coalesce": (1, 99), "concat": (1, 99), "datediff": (2, 2),
+    "dayofmonth": (1, 1), "floor": (1, 1), "greatest": (2, 99), "hour": (1, 1), "initcap": (1, 1),
+    "least": (2, 99), "length": (1, 1), "lower": (1, 1), "ltrim": (1, 1), "month": (1, 1),
+    "round": (1, 2), "rtrim": (1, 1), "sqrt": (1, 1), "trim": (1, 1), "upper": (1, 1),
+    "year": (1, 1),
+}
+# A whole number is read from text with a fraction as well: '12.5' is 12.
+WHOLE = {"byte": "tinyint", "tinyint": "tinyint", "short": "smallint", "smallint": "smallint",
+         "int": "int", "integer": "int"}
+LONG = ("long", "bigint")
 OPERATORS = {ast.BitAnd: "AND", ast.BitOr: "OR", ast.Add: "+", ast.Sub: "-", ast.Mult: "*"}
 
 
@@ -125,9 +138,15 @@ class _Sql:
         if name in AGGREGATES and len(args) == 1:
             if name == "count" and isinstance(args[0], ast.Constant) and args[0].value in ("*", 1):
                 return "count(*)"
-            if name == "countDistinct":
+            if name in ("countDistinct", "count_distinct"):
                 return f"count(DISTINCT {self.column(args[0])})"
             return f"{name}({self.column(args[0])})"
+        if name in SPREADS and len(args) == 1:
+            return f"{name}({self.column(args[0])})"
+        if name in SCALARS and SCALARS[name][0] <= len(args) <= SCALARS[name][1]:
+            given = [self.of(a) if name == "round" and i else self.column(a)
+                     for i, a in enumerate(args)]
+            return f"{name}({', '.join(given)})"
         if name in ("to_date", "to_timestamp") and len(args) in (1, 2):
             kind = name.removeprefix("to_")
             if len(args) == 1:
@@ -164,7 +183,16 @@ class _Sql:
             kind = str(self.constant(args[0]))
             if not kind.replace("(", "").replace(")", "").replace(",", "").replace(" ", "").isalnum():
                 raise self.unknown()
+            if kind.lower() in WHOLE:
+                return f"try_cast(try_cast({value} AS double) AS {WHOLE[kind.lower()]})"
+            if kind.lower() in LONG:  # a double is exact only to 2^53
+                return f"try_cast(try_cast({value} AS decimal(38,6)) AS bigint)"
             return f"try_cast({value} AS {kind})"
+        if name in ("startswith", "endswith", "contains", "like") and len(args) == 1:
+            given = self.of(args[0])
+            return f"({value} LIKE {given})" if name == "like" else f"{name}({value}, {given})"
+        if name == "substr" and len(args) == 2:
+            return f"substr({value}, {self.of(args[0])}, {self.of(args[1])})"
         if name in ("isNull", "isNotNull") and not args:
             return f"({value} IS {'NOT ' * (name == 'isNotNull')}NULL)"
         raise self.unknown()

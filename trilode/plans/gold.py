@@ -21,8 +21,18 @@ from trilode.operators.aggregate import (
     metrics,
     rows_of,
 )
-from trilode.sinks.write import remove, write_table, written_rows
-from trilode.spec import FlowSpec, GroupSpec, SinkSpec, layer_path
+from trilode.sinks.write import (
+    FILE_FORMATS,
+    entries,
+    remove,
+    save_mode,
+    swap_all,
+    write_table,
+    written_rows,
+)
+from trilode.sources.control import CONTROL_SCHEMA, last_mark, newest_mark, write_mark
+from trilode.sources.files import read_layer
+from trilode.spec import FlowSpec, GroupSpec, SinkSpec
 
 
 T = TypeVar("T")
@@ -53,7 +63,10 @@ def write_gold(df: DataFrame, flow: FlowSpec) -> dict[str, int]:
     """
     spark = df.sparkSession
     # a folder per run, so that runs of one flow do not overwrite each other's staging
-    staging = layer_path(flow.root, "staging", flow.gold_table) + uuid.uuid4().hex
+    staging, run_id = flow.staging_path(flow.gold_table), uuid.uuid4().hex
+    sink = flow.gold_sink
+    whole = not sink.table and sink.format in FILE_FORMATS and save_mode(sink.mode) == "overwrite"
+    made = run_folder(flow, run_id) if flow.publish else f"{staging}/outputs"
     try:
         metric_part, group_part = _together(
             spark, [lambda: _metric_tables(df, flow, staging),
@@ -62,14 +75,76 @@ def write_gold(df: DataFrame, flow: FlowSpec) -> dict[str, int]:
         tables = {**metric_part, **group_part}
 
         def save(name: str) -> int:
-            return written_rows(tables[name], output_sink(flow, name, tables[name].columns))
+            target = output_sink(flow, name, tables[name].columns)
+            if whole:
+                target = replace(target, path=f"{made}/{name}")
+            return written_rows(tables[name], target)
 
         names = [o.name for o in flow.outputs]
-        return dict(zip(names, _together(spark, [partial(save, name) for name in names])))
+        counts = dict(zip(names, _together(spark, [partial(save, name) for name in names])))
+        if flow.publish:
+            publish(spark, flow, run_id)
+        elif whole:
+            swap_all(spark, [(f"{made}/{name}", flow.gold_path(name)) for name in names])
+        return counts
+    except BaseException:
+        if flow.publish:
+            remove(spark, made)  # nobody reads a run that was not published
+        raise
     finally:
         remove(spark, staging)
 
 
+# ---------------------------------------------------------------- publication
+
+
+PUBLISHED = "published"
+
+
+def run_folder(flow: FlowSpec, run_id: str) -> str:
+    return flow.gold_path("runs") + f"/{run_id}"
+
+
+def publish(spark: SparkSession, flow: FlowSpec, run_id: str) -> None:
+    """Move all readers to the outputs of a run, by one row in a log; then remove old runs.
+
+    Published runs beyond the newest ``keep_runs`` go. Folders of runs that were never published are
+    left alone, as they may be still writing.
+    """
+    log = flow.publications_path
+    before = newest_mark(spark, log, flow.gold_table, PUBLISHED)
+    write_mark(spark, log, flow.gold_table, PUBLISHED, run_id, load_number=before.loads)
+    there = entries(spark, flow.gold_path("runs"))
+    ours = (F.col("source") == flow.gold_table) & F.col("last_value").isin(there)
+    newest = spark.read.schema(CONTROL_SCHEMA).parquet(log).where(ours).orderBy(
+        F.desc("load_number"), F.desc("updated_at"))
+    for row in newest.offset(flow.keep_runs).select("last_value").collect():
+        remove(spark, run_folder(flow, row.last_value))
+
+
+def published_run(spark: SparkSession, flow: FlowSpec) -> str | None:
+    return last_mark(spark, flow.publications_path, flow.gold_table, PUBLISHED)
+
+
+def read_outputs(
+    spark: SparkSession, flow: FlowSpec, names: Sequence[str] | None = None
+) -> dict[str, DataFrame]:
+    """Gold outputs by name, all of the same run where runs are published."""
+    names = [o.name for o in flow.outputs] if names is None else names
+    if flow.gold_sink.table:
+        return {name: spark.table(f"{flow.gold_sink.table}.{name}") for name in names}
+    if not flow.publish:
+        return {name: read_layer(spark, flow.gold_path(name)) for name in names}
+    run_id = published_run(spark, flow)
+    if run_id is None:
+        raise ValueError(f"no run of {flow.gold_table} is published")
+    return {name: read_layer(spark, f"{run_folder(flow, run_id)}/{name}") for name in names}
+
+
+def read_output(spark: SparkSession, flow: FlowSpec, name: str) -> DataFrame:
+    return read_outputs(spark, flow, [name])[name]
+
+
 def _together(spark: SparkSession, jobs: Sequence[Callable[[], T]]) -> list[T]:
     """Submit Spark jobs from several driver threads; the first failure is raised."""
     if not jobs:

@@ -8,7 +8,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trilode.operators.audit import audit_row
@@ -29,18 +29,17 @@ from trilode.operators.quality import (
     rule_report,
     silver_contract,
 )
-from trilode.plans.gold import write_gold
-from trilode.sinks.write import entries, remove, swap_in, write_table, written_rows
-from trilode.sources.files import ensure_table, read_files, read_layer
+from trilode.plans.gold import read_outputs, write_gold
+from trilode.sinks.log import append_log
+from trilode.sinks.split import split_rows
+from trilode.sinks.write import entries, replaced_rows, written_rows
+from trilode.sources.files import RESCUED, read_files, read_layer
 from trilode.sources.lineage import with_lineage
 from trilode.sources.queries import LOADED_AFTER, load_increment, load_query, read_increments
 from trilode.spec import LAYERS, CatalogSource, EventSource, FlowSpec, SinkSpec, Source, layer_path
 from trilode.streaming.ingest import BATCH_ID, EPOCH, load_arrivals, read_arrivals
 
 
-OUTCOME = "outcome"
-
-
 @dataclass(frozen=True)
 class LayerResult:
     layer: str
@@ -78,11 +77,18 @@ def run_bronze(spark: SparkSession, flow: FlowSpec) -> tuple[int, int]:
         else:
             rows = load_query(spark, source, out)
     elif isinstance(source, EventSource) and source.streaming:
-        rows = load_arrivals(spark, source, out, flow.checkpoint_path)
+        rows = load_arrivals(spark, source, out, flow.checkpoint_path, rescued=flow.rescued_path)
     else:
         mode = "append" if isinstance(source, EventSource) else "overwrite"
         sink = SinkSpec(path=out, mode=mode, options={"compression": "snappy"})
-        rows = written_rows(with_lineage(read_files(spark, source), source), sink)
+        landed = with_lineage(read_files(spark, source), source)
+        staging = flow.staging_path(flow.bronze_table)
+        if source.rescue:
+            fit, misfit = split_rows(
+                landed, F.col(RESCUED).isNull(), out, flow.rescued_path, staging)
+            return fit + misfit, fit
+        rows = written_rows(landed, sink) if mode == "append" else replaced_rows(
+            landed, sink, staging)
     return rows, rows
 
 
@@ -91,39 +97,30 @@ def read_bronze(spark: SparkSession, flow: FlowSpec) -> DataFrame:
         return read_arrivals(spark, flow.source, flow.bronze_path)
     if load_kind(flow.source) == "increments":
         return read_increments(spark, flow.bronze_path)
-    return read_layer(spark, flow.bronze_path)
+    bronze = read_layer(spark, flow.bronze_path)
+    return bronze.drop(RESCUED) if getattr(flow.source, "rescue", False) else bronze
+
+
+def read_rescued(spark: SparkSession, flow: FlowSpec) -> DataFrame:
+    """Lines that did not fit the schema, as text, with what could be read of them."""
+    return read_layer(spark, flow.rescued_path).drop(EPOCH, BATCH_ID)
 
 
 def run_silver(spark: SparkSession, flow: FlowSpec) -> tuple[int, int]:
     bronze = require_columns(read_bronze(spark, flow), flow.columns)
     if flow.quarantine:
         return bronze.count(), write_split(spark, flow, bronze)
-    written = written_rows(clean(bronze, flow.cleaning), SinkSpec(path=flow.silver_path))
+    written = replaced_rows(clean(bronze, flow.cleaning), SinkSpec(path=flow.silver_path),
+                            flow.staging_path(flow.silver_table))
     return bronze.count(), written
 
 
 def write_split(spark: SparkSession, flow: FlowSpec, bronze: DataFrame) -> int:
-    """Silver and its rejected rows in one write; returns the rows of Silver.
-
-    Both are written into a folder of the run and then put in place, so a failed run leaves the
-    tables of the last one.
-    """
-    staging = layer_path(flow.root, "staging", flow.silver_table) + uuid.uuid4().hex
-    split = clean_split(bronze, flow.cleaning)
-    outcome = F.when(F.col(FAILED_RULES) == 0, "kept").otherwise("rejected")
-    rows = Observation()
-    try:
-        write_table(
-            split.withColumn(OUTCOME, outcome).observe(
-                rows, F.count_if(F.col(FAILED_RULES) == 0).alias("kept")),
-            SinkSpec(path=staging, partition_by=(OUTCOME,), rebalance=False))
-        for name, place in (("kept", flow.silver_path), ("rejected", flow.quarantine_path)):
-            part = f"{staging}/{OUTCOME}={name}"
-            ensure_table(spark, part, split.schema)  # where no row had this outcome
-            swap_in(spark, part, place)
-    finally:
-        remove(spark, staging)
-    return rows.get["kept"]
+    """Silver and its rejected rows in one write; returns the rows of Silver."""
+    kept, _ = split_rows(
+        clean_split(bronze, flow.cleaning), F.col(FAILED_RULES) == 0, flow.silver_path,
+        flow.quarantine_path, flow.staging_path(flow.silver_table))
+    return kept
 
 
 def run_gold(spark: SparkSession, flow: FlowSpec) -> tuple[int, int]:
@@ -147,15 +144,9 @@ def layer_contract(spark: SparkSession, flow: FlowSpec, layer: str) -> DataFrame
         return bronze_contract(read_bronze(spark, flow), flow.source)
     if layer == "silver":
         return silver_contract(read_layer(spark, flow.silver_path), flow.cleaning)
-    sink = flow.gold_sink
-    if sink.format != "parquet":
+    if flow.gold_sink.format != "parquet":
         return spark.createDataFrame([], CONTRACT)
-    tables = {
-        o.name: spark.table(f"{sink.table}.{o.name}") if sink.table
-        else read_layer(spark, flow.gold_path(o.name))
-        for o in flow.outputs
-    }
-    return gold_contract(tables, flow)
+    return gold_contract(read_outputs(spark, flow), flow)
 
 
 def store_checks(spark: SparkSession, flow: FlowSpec, layer: str, run_id: str) -> list[str]:
@@ -163,17 +154,17 @@ def store_checks(spark: SparkSession, flow: FlowSpec, layer: str, run_id: str) -
     the checks that failed."""
     found = layer_contract(spark, flow, layer).select(
         F.lit(run_id).alias("run_id"), "layer", "check_name", "violations", "passed")
-    found.write.mode("append").parquet(flow.checks_path)
+    append_log(found, flow.checks_path)
     if layer == "silver" and flow.cleaning.rules and flow.quarantine:
         rejected = read_layer(spark, flow.quarantine_path)
         rows = read_bronze(spark, flow).count()  # from footers
         report = rejected_report(rejected, flow.cleaning, rows)
-        report.withColumn("run_id", F.lit(run_id)).write.mode("append").parquet(flow.rules_path)
+        append_log(report.withColumn("run_id", F.lit(run_id)), flow.rules_path)
     elif layer == "silver" and flow.cleaning.rules:
         fixed = fix_types(read_bronze(spark, flow), flow.cleaning.type_fixes)
         fed = fill_nulls(drop_nulls(fixed, flow.cleaning.null_drop), flow.cleaning.null_fill)
         report = rule_report(fed, flow.cleaning.rules)
-        report.withColumn("run_id", F.lit(run_id)).write.mode("append").parquet(flow.rules_path)
+        append_log(report.withColumn("run_id", F.lit(run_id)), flow.rules_path)
     stored = spark.read.schema(CHECKS).parquet(flow.checks_path)
     failed = stored.where((F.col("run_id") == run_id) & (F.col("layer") == layer) & ~F.col("passed"))
     return [r.check_name for r in failed.select("check_name").collect()]
@@ -216,7 +207,7 @@ def run(
                 run_id, layer, result.success, result.seconds, result.input_rows,
                 result.output_rows, result.output_path, result.error, started,
             )
-            audit_row(spark, row).write.mode("append").parquet(flow.audit_path)
+            append_log(audit_row(spark, row), flow.audit_path)
         if not result.success:
             break
     return results

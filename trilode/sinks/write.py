@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -120,28 +121,58 @@ def entries(spark: SparkSession, path: str) -> list[str]:
     return [n for n in names if n != "_SUCCESS" and not n.startswith(".")]
 
 
-def swap_in(spark: SparkSession, new: str, place: str) -> None:
-    """Put the folder ``new`` in the place of the table at ``place``.
+def swap_all(spark: SparkSession, moves: Sequence[tuple[str, str]]) -> None:
+    """Put each folder ``new`` of ``(new, place)`` in the place of the table at ``place``.
 
-    The old table is moved aside first and removed last, so it is never half overwritten; a failure
-    of the second move puts it back.
+    Old tables are moved aside first and removed last, so none is ever half overwritten; a failure
+    puts all of them back.
     """
     hadoop = spark._jvm.org.apache.hadoop.fs
-    source, goal = hadoop.Path(new.rstrip("/")), hadoop.Path(place.rstrip("/"))
-    aside = hadoop.Path(f"{place.rstrip('/')}.old-{uuid.uuid4().hex}")
-    store = goal.getFileSystem(spark._jsc.hadoopConfiguration())
-    store.mkdirs(goal.getParent())
-    there = store.exists(goal)
-    if there and not store.rename(goal, aside):
-        raise OSError(f"{place} could not be moved aside")
-    if not store.rename(source, goal):
-        if there:
-            store.rename(aside, goal)
-        raise OSError(f"{new} could not be moved to {place}")
-    if there:
+    conf = spark._jsc.hadoopConfiguration()
+    done: list[tuple] = []  # moves to undo, in order
+
+    def move(store, source, goal) -> None:
+        if not store.rename(source, goal):
+            raise OSError(f"{source} could not be moved to {goal}")
+        done.append((store, goal, source))
+
+    asides = []
+    try:
+        for new, place in moves:
+            source, goal = hadoop.Path(new.rstrip("/")), hadoop.Path(place.rstrip("/"))
+            store = goal.getFileSystem(conf)
+            store.mkdirs(goal.getParent())
+            if not store.exists(source):
+                raise OSError(f"there is nothing at {new}")
+            if store.exists(goal):
+                aside = hadoop.Path(f"{place.rstrip('/')}.old-{uuid.uuid4().hex}")
+                move(store, goal, aside)
+                asides.append((store, aside))
+            move(store, source, goal)
+    except Exception:
+        for store, source, goal in reversed(done):
+            store.rename(source, goal)
+        raise
+    for store, aside in asides:
         store.delete(aside, True)
 
 
+def swap_in(spark: SparkSession, new: str, place: str) -> None:
+    swap_all(spark, [(new, place)])
+
+
+def replaced_rows(df: DataFrame, sink: SinkSpec, staging: str) -> int:
+    """Like :func:`written_rows` for overwritten files, but written to ``staging`` and then put in
+    place: a write that fails leaves the old table."""
+    spark = df.sparkSession
+    try:
+        rows = written_rows(df, replace(sink, path=staging))
+        swap_in(spark, staging, sink.path)
+    finally:
+        remove(spark, staging)
+    return rows
+
+
 def move_files(
     spark: SparkSession, files: Sequence[str], root: str, target: str, label: str
 ) -> None:

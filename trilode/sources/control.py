@@ -1,6 +1,6 @@
 """High-water marks: an append-only control table, one row per committed load.
 
-Every load leaves one small file.
+Every load leaves one small file, and many small files are put together.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from trilode.sinks.log import append_log
 from trilode.sources.files import ensure_table
 from trilode.sources.samples import one_row
 
@@ -60,4 +61,4 @@ def write_mark(
     load_number: int = 0, rows: int | None = None, late_ties: int = 0, late_unmarked: int = 0,
 ) -> None:
     row = (source, column, value, F.current_timestamp(), load_number, rows, late_ties, late_unmarked)
-    one_row(spark, row, CONTROL_SCHEMA).write.mode("append").parquet(control_path)
+    append_log(one_row(spark, row, CONTROL_SCHEMA), control_path)

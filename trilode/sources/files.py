@@ -9,6 +9,9 @@ from pyspark.sql.types import StructType
 from trilode.spec import FileSource
 
 
+RESCUED = "rescued_text"
+
+
 def configure(reader, source: FileSource):
     """The reader options shared by the batch and the streaming form of a scan.
 
@@ -16,7 +19,10 @@ def configure(reader, source: FileSource):
     """
     reader = reader.format(source.format)
     if source.schema:
-        reader = reader.schema(source.schema).option("enforceSchema", "false")
+        schema = f"{source.schema}, {RESCUED} string" if source.rescue else source.schema
+        reader = reader.schema(schema).option("enforceSchema", "false")
+    if source.rescue:
+        reader = reader.option("columnNameOfCorruptRecord", RESCUED)
     if source.suffix:
         reader = reader.option("pathGlobFilter", f"*{source.suffix}")
     return reader.options(**source.options)
@@ -35,3 +41,8 @@ def ensure_table(spark: SparkSession, path: str, schema: str | StructType) -> No
     fields = StructType.fromDDL(schema) if isinstance(schema, str) else schema
     nothing = spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
     nothing.write.mode("ignore").parquet(path)
+
+
+def rescued_report(rescued: DataFrame) -> DataFrame:
+    """Lines that did not fit, by file."""
+    return rescued.groupBy("source_file").agg(F.count(F.lit(1)).alias("rescued"))

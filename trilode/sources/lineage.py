@@ -16,7 +16,7 @@ def with_lineage(df: DataFrame, source: Source) -> DataFrame:
     """Apply directly on the scan: the file name is a hidden column of the scan itself."""
     if isinstance(source, CatalogSource):
         origin = {SOURCE_QUERY: F.lit(source.query)}
-    elif source.track_file:
+    elif source.track_file or source.rescue:  # lines that do not fit are counted by file
         origin = {SOURCE_FILE: F.col("_metadata.file_path")}
     else:
         origin = {SOURCE_FILE: F.lit(source.path)}

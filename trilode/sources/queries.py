@@ -75,6 +75,53 @@ def partition_options(spark: SparkSession, source: DatabaseSource) -> dict[str,
     }
 
 
+def rank_query(
+    source: CatalogSource, column: str, parts: int, window: str | None = None
+) -> str:
+    """The least value of each of ``parts`` equal shares of the rows, NULL left out."""
+    where = f"{column} IS NOT NULL" + (f" AND {window}" if window else "")
+    ranked = (f"SELECT {column} AS cut, NTILE({parts}) OVER (ORDER BY {column}) AS part "
+              f"FROM {as_relation(source.query)} WHERE {where}")
+    return f"SELECT MIN(cut) AS cut FROM ({ranked}) AS ranked GROUP BY part"
+
+
+def cut_points(spark: SparkSession, source: CatalogSource, column: str, parts: int) -> list[str]:
+    """SQL literals that cut the source's rows by ``column`` into about equal parts, rising.
+
+    The values come as one small result: a database numbers its rows by rank, Spark takes approximate
+    percentiles (of numbers, dates and times).
+    """
+    if isinstance(source, DatabaseSource):
+        window = None
+        if source.lower_bound is not None:
+            kind = _one_row(spark, source, f"{column} AS cut", "1 = 0").schema["cut"].dataType
+            low, high = (mark_literal(b, kind) for b in (source.lower_bound, source.upper_bound))
+            window = f"{column} BETWEEN {low} AND {high}"
+        reader = spark.read.format("jdbc").options(**jdbc_options(source))
+        query = rank_query(source, column, parts, window)
+        cuts = reader.option("dbtable", as_relation(query)).load()
+    else:
+        shares = ", ".join(f"{k}D / {parts}" for k in range(1, parts))
+        cuts = _one_row(spark, source, f"percentile_approx({column}, array({shares})) AS cuts")
+        cuts = cuts.select(F.explode("cuts").alias("cut"))
+    kind = cuts.schema["cut"].dataType
+    values = sorted({row.cut for row in cuts.collect() if row.cut is not None and row.cut == row.cut})
+    if isinstance(source, DatabaseSource):
+        values = values[1:]  # the least value of all cuts nothing off
+    return [mark_literal(str(value), kind) for value in values]
+
+
+def split_predicates(
+    spark: SparkSession, source: CatalogSource, column: str, parts: int
+) -> list[str]:
+    """Conditions of which every row meets exactly one; rows with NULL have one of their own."""
+    cuts = cut_points(spark, source, column, parts) if parts > 1 else []
+    if not cuts:
+        return ["1 = 1"]
+    between = [f"{column} >= {low} AND {column} < {high}" for low, high in zip(cuts, cuts[1:])]
+    return [f"{column} < {cuts[0]}", *between, f"{column} >= {cuts[-1]}", f"{column} IS NULL"]
+
+
 def _bound(value: str) -> str:
     """Spark takes whole numbers, dates and times as bounds."""
     try:
@@ -94,6 +141,12 @@ def split_window(source: CatalogSource, last: str | None, upper: str) -> Catalog
 def read_query(spark: SparkSession, source: CatalogSource) -> DataFrame:
     if not isinstance(source, DatabaseSource):
         return spark.sql(f"SELECT * FROM {as_relation(source.query)}")
+    if source.split == "quantile" and has_readers(source):
+        options = jdbc_options(source)
+        return spark.read.jdbc(
+            options.pop("url"), as_relation(source.query), properties=options,
+            predicates=split_predicates(
+                spark, source, source.partition_column, source.num_partitions))
     return (
         spark.read.format("jdbc")
         .options(**jdbc_options(source))

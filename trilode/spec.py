@@ -7,6 +7,7 @@ evaluated as Python text.
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field, replace
 from typing import Union
@@ -18,6 +19,7 @@ Expr = Union[str, Column]
 LAYERS = ("bronze", "silver", "gold")
 FILE_FORMATS = ("csv", "json", "parquet")
 GRAINS = ("day", "hour")
+SPLITS = ("stride", "quantile")
 AFTER_RESET = ("refuse", "add", "new_files")
 
 # Aggregates whose state grows with the group: one hot group would end up whole in one task.
@@ -39,7 +41,11 @@ def layer_path(root: str, layer: str, table: str) -> str:
 
 @dataclass(frozen=True)
 class FileSource:
-    """A file or directory scan. ``schema`` is a DDL string; giving it skips the inference pass."""
+    """A file or directory scan. ``schema`` is a DDL string; giving it skips the inference pass.
+
+    With ``rescue`` lines that do not fit the schema (CSV: a value that does not parse, too few or too
+    many fields; JSON: a value that does not parse, broken text) go to a table of their own as text.
+    """
 
     path: str
     format: str = "csv"
@@ -47,8 +53,11 @@ class FileSource:
     schema: str | None = None
     suffix: str | None = None
     track_file: bool = False
+    rescue: bool = field(default=False, kw_only=True)
 
     def __post_init__(self):
+        if self.rescue and not (self.schema and self.format in ("csv", "json")):
+            raise ValueError("rescue needs a declared schema and a text format")
         if not self.path:
             raise ValueError("a file source needs a path")
         if self.format not in FILE_FORMATS:
@@ -78,6 +87,8 @@ class EventSource(FileSource):
         super().__post_init__()
         if self.streaming and not self.schema:
             raise ValueError("a streaming event source needs a declared schema")
+        if self.rescue and not self.streaming:
+            raise ValueError("rescue needs an event source that streams")
         if self.after_reset not in AFTER_RESET:
             raise ValueError(f"unknown after_reset {self.after_reset!r}, expected one of {AFTER_RESET}")
         if self.after_reset == "new_files" and not (self.track_file or self.archive_dir):
@@ -117,6 +128,9 @@ class DatabaseSource(CatalogSource):
 
     ``partition_column`` (number, date or timestamp) splits the read into ``num_partitions``
     range queries; without bounds they are asked from the database in one aggregate query.
+    ``split="stride"`` makes ranges of equal width, ``split="quantile"`` ranges of about equally many
+    rows, for a column whose values are uneven; the database then sorts that column once. A value is
+    never split over readers, so a column with a very frequent value remains a poor choice.
     """
 
     url: str = ""
@@ -128,9 +142,12 @@ class DatabaseSource(CatalogSource):
     num_partitions: int = 1
     lower_bound: str | None = None
     upper_bound: str | None = None
+    split: str = "stride"
 
     def __post_init__(self):
         super().__post_init__()
+        if self.split not in SPLITS:
+            raise ValueError(f"unknown split {self.split!r}, expected one of {SPLITS}")
         if self.num_partitions > 1 and not self.partition_column:
             raise ValueError("a parallel database read needs a partition_column")
         if (self.lower_bound is None) != (self.upper_bound is None):
@@ -255,7 +272,9 @@ class FlowSpec:
     ``fuse`` computes all grouped outputs in one pass over Silver; without it each output makes
     its own pass over the columns it needs. ``quarantine`` keeps the rows that Silver rejects in a
     table of their own, written in the same pass; both tables then have the column ``failed_rules``,
-    which is 0 in Silver.
+    which is 0 in Silver. ``publish`` keeps the Gold outputs of each run in a folder of the run, and
+    moves the readers (``read_output``) from the last run to the new one in one step, for all outputs;
+    ``keep_runs`` published runs stay, for readers that have begun.
     """
 
     domain: str
@@ -270,8 +289,15 @@ class FlowSpec:
     gold_sink: SinkSpec = field(default_factory=SinkSpec)
     fuse: bool = True
     quarantine: bool = False
+    publish: bool = False
+    keep_runs: int = 2
 
     def __post_init__(self):
+        sink = self.gold_sink
+        if self.publish and (sink.table or sink.format != "parquet" or sink.mode != "overwrite"):
+            raise ValueError("publish needs Gold outputs that are Parquet files and overwritten")
+        if self.keep_runs < 1:
+            raise ValueError("keep_runs must be at least 1")
         names = [o.name for o in self.outputs]
         doubled = sorted({n for n in names if names.count(n) > 1})
         if doubled:
@@ -301,6 +327,18 @@ class FlowSpec:
     def quarantine_path(self) -> str:
         return layer_path(self.root, "quarantine", self.silver_table)
 
+    @property
+    def rescued_path(self) -> str:
+        return layer_path(self.root, "rescued", self.bronze_table)
+
+    @property
+    def publications_path(self) -> str:
+        return layer_path(self.root, "control", "publications")
+
+    def staging_path(self, table: str) -> str:
+        """A new folder for intermediate files of one run."""
+        return layer_path(self.root, "staging", table) + uuid.uuid4().hex
+
     def gold_path(self, output: str) -> str:
         return layer_path(self.root, "gold", self.gold_table) + output
 

@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from trilode.sinks.split import split_rows
 from trilode.sinks.write import entries, move_files, remove, written_rows
-from trilode.sources.files import configure, ensure_table
+from trilode.sources.files import RESCUED, configure, ensure_table
 from trilode.sources.lineage import SOURCE_FILE, with_lineage
 from trilode.sources.queries import NO_VALUE
 from trilode.sources.samples import one_row
@@ -111,6 +112,7 @@ def ingest_stream(
     checkpoint: str,
     every: str | None = None,
     written: Callable[[int], None] = lambda rows: None,
+    rescued: str | None = None,
 ) -> StreamingQuery:
     """Add arriving files to the Parquet table at ``out``, a partition per checkpoint and batch.
 
@@ -118,8 +120,11 @@ def ingest_stream(
     the table is plain Parquet that any reader sees whole. A new checkpoint counts its batches from 0
     again, in a partition of its own; without leave (``after_reset``) it is refused where Bronze
     holds batches of another one. Without ``every`` the query takes what has arrived and ends; with
-    an interval it keeps going. ``written`` hears the rows of each batch.
+    an interval it keeps going. ``written`` hears the rows of each batch. A source with ``rescue``
+    puts lines that do not fit under ``rescued``, by checkpoint and batch as well.
     """
+    if source.rescue and not rescued:
+        raise ValueError("a source with rescue needs a place for lines that do not fit")
     epoch = _accepted_epoch(spark, source, out, checkpoint)
     others = stored_epochs(spark, out) - {epoch}
     sink = SinkSpec(
@@ -135,12 +140,19 @@ def ingest_stream(
             held = spark.read.schema(f"{SOURCE_FILE} string, {EPOCH} string").parquet(out).where(
                 F.col(EPOCH) != epoch).select(SOURCE_FILE).distinct()
             batch = batch.join(held, SOURCE_FILE, "left_anti").select(*batch.columns)
-        written(written_rows(batch.withColumns(
-            {EPOCH: F.lit(epoch), BATCH_ID: F.lit(batch_id).cast("long")}), sink))
+        folders = [_batch_folder(out, epoch, batch_id)]
+        if source.rescue:
+            folders.append(_batch_folder(rescued, epoch, batch_id))
+            fit, _ = split_rows(batch, F.col(RESCUED).isNull(), *folders,
+                                _folder(checkpoint, "trilode_staging"), empty=False)
+            written(fit)
+        else:
+            written(written_rows(batch.withColumns(
+                {EPOCH: F.lit(epoch), BATCH_ID: F.lit(batch_id).cast("long")}), sink))
         if source.archive_dir:
-            folder = _batch_folder(out, epoch, batch_id)
-            if entries(spark, folder):
-                spark.read.schema(f"{SOURCE_FILE} string").parquet(folder).distinct().write.mode(
+            folders = [folder for folder in folders if entries(spark, folder)]
+            if folders:
+                spark.read.schema(f"{SOURCE_FILE} string").parquet(*folders).distinct().write.mode(
                     "overwrite").parquet(_folder(checkpoint, "trilode_files", str(batch_id)))
 
     writer = (
@@ -155,6 +167,7 @@ def ingest_stream(
 def load_arrivals(
     spark: SparkSession, source: EventSource, out: str, checkpoint: str,
     written: Callable[[int], None] = lambda rows: None,
+    rescued: str | None = None,
 ) -> int:
     """Ingest what has arrived since the last call; returns the rows added to ``out``.
 
@@ -164,14 +177,16 @@ def load_arrivals(
     """
     counts: list[int] = []
     epoch = _accepted_epoch(spark, source, out, checkpoint)
-    ensure_table(spark, _folder(out, f"{EPOCH}={epoch}", f"{BATCH_ID}={NO_VALUE}"),
-                 landing_stream(spark, source).schema)
+    for table in [out, rescued] if source.rescue else [out]:
+        ensure_table(spark, _folder(table, f"{EPOCH}={epoch}", f"{BATCH_ID}={NO_VALUE}"),
+                     landing_stream(spark, source).schema)
 
     def count(rows: int) -> None:
         counts.append(rows)
         written(rows)
 
-    ingest_stream(spark, source, out, checkpoint, written=count).awaitTermination()
+    ingest_stream(
+        spark, source, out, checkpoint, written=count, rescued=rescued).awaitTermination()
     _move_committed(spark, source, checkpoint)
     return sum(counts)
 
@@ -186,4 +201,5 @@ def read_arrivals(
     added = [T.StructField(EPOCH, T.StringType()), T.StructField(BATCH_ID, T.LongType())]
     schema = T.StructType([*landing_stream(spark, source).schema, *added])
     rows = spark.read.schema(schema).parquet(out)
+    rows = rows.drop(RESCUED) if source.rescue else rows
     return rows if parts else rows.drop(EPOCH, BATCH_ID)
