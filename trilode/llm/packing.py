@@ -117,28 +117,32 @@ class Encoder:
 
     def _learn(self) -> None:
         """Ids of the words that have been met for the first time."""
-        cut = [[word] if _PLAIN.fullmatch(word) or b"<|" in word
-               else _PUNCTUATION.sub(rb" \g<0>", word).split(b" ") for word in self.places.fresh]
-        self.places.fresh = []
+        words, self.places.fresh = self.places.fresh, []
+        # all words with more than ASCII letters are cut in one go; no word has a line end
+        odd = [word for word in words if not word.isalpha() and b"<|" not in word]
+        marked = _PUNCTUATION.sub(rb" \g<0>", b"\n".join(odd)).split(b"\n") if odd else []
+        cut = {w: m.split(b" ") for w, m in zip(odd, marked) if len(m) > len(w)}
         if len(self.parts) > CACHE_PARTS:
             self.older, self.parts = self.parts, {}  # parts met again come back from there
-        fresh = set(chain.from_iterable(cut)).difference(self.parts)
+        fresh = set(words).difference(cut)
+        fresh.update(chain.from_iterable(cut.values()))
+        fresh.difference_update(self.parts)
         again = {p for p in fresh if p in self.older} if self.older else set()
         self.parts.update((p, self.older[p]) for p in again)
         plain, other = [], []
         for part in fresh.difference(again):
-            (plain if _PLAIN.fullmatch(part) else other).append(part)
+            (plain if part.isalpha() or _PLAIN.fullmatch(part) else other).append(part)
         groups = [plain[i:i + TOGETHER] for i in range(0, len(plain), TOGETHER)]
-        for words, ids in zip(groups, self._ids([b" ".join(g) for g in groups])):
+        for group, ids in zip(groups, self._ids([b" ".join(g) for g in groups])):
             last = 4 * (np.flatnonzero(self.ends[np.frombuffer(ids, "<u4")]) + 1)
-            if len(last) == len(words):  # each word has one token that ends a word
+            if len(last) == len(group):  # each word has one token that ends a word
                 at = [0, *last.tolist()]
-                self.parts.update((w, ids[a:b]) for w, a, b in zip(words, at, at[1:]))
+                self.parts.update((w, ids[a:b]) for w, a, b in zip(group, at, at[1:]))
             else:
-                other += words
+                other += group
         self.parts.update(zip(other, self._ids(other)))
         get = self.parts.__getitem__
-        self.ids.extend(b"".join(map(get, parts)) for parts in cut)
+        self.ids.extend(b"".join(map(get, cut[w])) if w in cut else get(w) for w in words)
 
     def _ids(self, texts: list[bytes]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
