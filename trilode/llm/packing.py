@@ -12,11 +12,13 @@ is put together from checksums of blocks of ``GRID`` tokens.
 
 from __future__ import annotations
 
+import gc
 import math
 import os
 import re
 import zlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache, reduce
 from itertools import chain
 
@@ -59,6 +61,18 @@ def _tokenizer(path: str | None):
     return Tokenizer.from_file(path or public_tokenizers.path("word_bpe_49k.json"))
 
 
+@contextmanager
+def _uncollected() -> Iterator[None]:
+    """No search for reference cycles meanwhile: there are none, and it goes through all known words."""
+    enabled = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if enabled:
+            gc.enable()
+
+
 class _Places(dict):
     """Words and the places of their ids in a list; words not met before are gathered."""
 
@@ -109,8 +123,9 @@ class Encoder:
         if len(self.places) > CACHE_WORDS:
             self.places, self.ids = _Places(), []
         place = self.places.__getitem__
-        found = [list(map(place, words)) for words in docs]
-        self._learn()
+        with _uncollected():
+            found = [list(map(place, words)) for words in docs]
+            self._learn()
         ids = self.ids.__getitem__
         for places in found:
             yield b"".join(map(ids, places))
