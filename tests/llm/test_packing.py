@@ -113,10 +113,21 @@ def test_plain_words_are_encoded_together_as_alone():
     got = list(encoder.batch([t.encode() for t in texts]))
     assert [np.frombuffer(b, "<u4").tolist() for b in got] == [ids(t)[:-1] for t in texts]
     encoder.ends[:] = False  # a vocabulary without marks of word ends goes word by word
-    encoder.places, encoder.ids, encoder.parts = packing._Places(), [], {}
+    encoder.known, encoder.older = {}, {}
     assert list(encoder.batch([t.encode() for t in texts])) == got
 
 
+def test_parts_are_cut_as_the_tokenizer_cuts(monkeypatch):
+    texts = ["a.b,c;d:e!f?g#h*i$j%k&l|m", "x), y... z!!a --- .5 1.5,6 a--b.c (d).(e) 'tis it's.", "é. éa, aé, a\u0301. ÉT.",
+             "<|endoftext|> A.B <|x|> a.b", "A.B\x0bC\x0c.D\r\n,e\u00a0.f\u3000g.", ",", "..", ""]
+    monkeypatch.setattr(packing, "CACHE_PARTS", 3)  # renewed for every chunk
+    monkeypatch.setattr(packing, "CHUNK", 8)
+    encoder = packing.Encoder()
+    got = [list(encoder.batch([t.encode() for t in texts])) for _ in range(2)]
+    assert got[0] == got[1] and len(encoder.older) > 0
+    assert [np.frombuffer(b, "<u4").tolist() for b in got[0]] == [ids(t)[:-1] for t in texts]
+
+
 def test_full_pieces_go_into_no_group(spark):
     df = spark.createDataFrame([(1, "a " * 5000), (2, "b c")], "doc_id bigint, text string")
     rows = packing.pack(df, length=64).collect()

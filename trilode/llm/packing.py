@@ -17,7 +17,7 @@ import math
 import os
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 from functools import cache, reduce
 from itertools import chain
@@ -34,21 +34,21 @@ END_ID = 1
 GRID = 32
 SLACK = 0.002
 GROUP_TOKENS = 1 << 21
-# Words, and parts of words with punctuation, that a Python worker remembers: some 130 MB at most.
-CACHE_WORDS = 250_000
-CACHE_PARTS = 150_000
+# Parts of texts that a Python worker remembers, and as many again from before the last renewal.
+CACHE_PARTS = 250_000
 CHUNK = 1 << 20
 LINEAR, QUADRATIC = 1.0, 1.0 / 1024
 
 
-# ASCII punctuation after an ASCII letter or digit or a Latin letter of two bytes. The tokenizer cuts
-# there anyway, so cutting first changes no id and leaves far fewer different words.
-_PUNCTUATION = re.compile(
-    rb"[.,!?#*$%&|;:](?:(?<=[a-z0-9].)|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf].))")
+# Words, cut before ASCII punctuation that follows an ASCII letter or digit. The tokenizer cuts there
+# anyway, so this changes no id and leaves far fewer different parts.
+_PARTS = re.compile(
+    rb"(?:[^a-z0-9\s]++[a-z0-9]*+|[a-z0-9]++)"
+    rb"(?:[^a-z0-9\s.,!?#*$%&|;:][^a-z0-9\s]*+[a-z0-9]*+)*+").findall
 # Words of letters that stay one piece before the merges: such words can be encoded many at a time.
 _PLAIN = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
 WORD_END = "</w>"
-TOGETHER = 50
+TOGETHER = 20
 
 
 @cache
@@ -74,24 +74,19 @@ def _uncollected() -> Iterator[None]:
 
 
 class _Places(dict):
-    """Words and the places of their ids in a list; words not met before are gathered."""
+    """Numbers the parts of a chunk in the order in which they are first met."""
 
-    def __init__(self):
-        super().__init__()
-        self.fresh: list[bytes] = []
-
-    def __missing__(self, word: bytes) -> int:
-        place = self[word] = len(self)
-        self.fresh.append(word)
+    def __missing__(self, part: bytes) -> int:
+        place = self[part] = len(self)
         return place
 
 
 class Encoder:
     """Token ids of texts as little-endian unsigned 32-bit bytes.
 
-    The tokenizer drops white space and case and never joins across white space, so each word is
-    encoded once and remembered. Words are looked up as they stand in the text; only a new one is cut
-    at punctuation, and only parts not met before go to the tokenizer.
+    The tokenizer drops white space and case and never joins across white space, nor across the cuts
+    of ``_PARTS``, so each part is encoded once and remembered. Parts are numbered within a chunk of
+    text first: most lookups then go to a small table, and one per part of the chunk to the large one.
     """
 
     def __init__(self, path: str | None = None):
@@ -99,15 +94,14 @@ class Encoder:
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
-        self.places, self.ids = _Places(), []
-        self.parts: dict[bytes, bytes] = {}
+        self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
 
     def batch(self, texts: list[bytes | None]) -> Iterator[bytes]:
         part: list[list[bytes]] = []
         size = 0
         for text in texts:
-            part.append(self._words(text) if text else [])
+            part.append(self._cut(text) if text else [])
             size += len(text or b"")
             if size >= CHUNK:
                 yield from self._encode(part)
@@ -115,49 +109,39 @@ class Encoder:
         yield from self._encode(part)
 
     @staticmethod
-    def _words(text: bytes) -> list[bytes]:
+    def _cut(text: bytes) -> list[bytes]:
         # "<|" may begin a special token, which is matched as it is written
-        return (text if b"<|" in text else text.lower()).split()
+        return text.split() if b"<|" in text else _PARTS(text.lower())
 
     def _encode(self, docs: list[list[bytes]]) -> Iterator[bytes]:
-        if len(self.places) > CACHE_WORDS:
-            self.places, self.ids = _Places(), []
-        place = self.places.__getitem__
         with _uncollected():
-            found = [list(map(place, words)) for words in docs]
-            self._learn()
-        ids = self.ids.__getitem__
-        for places in found:
-            yield b"".join(map(ids, places))
-
-    def _learn(self) -> None:
-        """Ids of the words that have been met for the first time."""
-        words, self.places.fresh = self.places.fresh, []
-        # all words with more than ASCII letters are cut in one go; no word has a line end
-        odd = [word for word in words if not word.isalpha() and b"<|" not in word]
-        marked = _PUNCTUATION.sub(rb" \g<0>", b"\n".join(odd)).split(b"\n") if odd else []
-        cut = {w: m.split(b" ") for w, m in zip(odd, marked) if len(m) > len(w)}
-        if len(self.parts) > CACHE_PARTS:
-            self.older, self.parts = self.parts, {}  # parts met again come back from there
-        fresh = set(words).difference(cut)
-        fresh.update(chain.from_iterable(cut.values()))
-        fresh.difference_update(self.parts)
-        again = {p for p in fresh if p in self.older} if self.older else set()
-        self.parts.update((p, self.older[p]) for p in again)
+            places = _Places()
+            found = [list(map(places.__getitem__, parts)) for parts in docs]
+            self._learn(places)
+            ids = list(map(self.known.__getitem__, places)).__getitem__
+        for numbers in found:
+            yield b"".join(map(ids, numbers))
+
+    def _learn(self, parts: Iterable[bytes]) -> None:
+        """Make the ids of these parts known; parts met again come back from the older ones."""
+        if len(self.known) > CACHE_PARTS:
+            self.older, self.known = self.known, {}
+        known = self.known
+        fresh = [p for p in parts if p not in known]
+        known.update([(p, self.older[p]) for p in fresh if p in self.older])
         plain, other = [], []
-        for part in fresh.difference(again):
-            (plain if part.isalpha() or _PLAIN.fullmatch(part) else other).append(part)
+        for part in fresh:
+            if part not in known:
+                (plain if part.isalpha() or _PLAIN.fullmatch(part) else other).append(part)
         groups = [plain[i:i + TOGETHER] for i in range(0, len(plain), TOGETHER)]
         for group, ids in zip(groups, self._ids([b" ".join(g) for g in groups])):
             last = 4 * (np.flatnonzero(self.ends[np.frombuffer(ids, "<u4")]) + 1)
             if len(last) == len(group):  # each word has one token that ends a word
                 at = [0, *last.tolist()]
-                self.parts.update((w, ids[a:b]) for w, a, b in zip(group, at, at[1:]))
+                known.update((w, ids[a:b]) for w, a, b in zip(group, at, at[1:]))
             else:
                 other += group
-        self.parts.update(zip(other, self._ids(other)))
-        get = self.parts.__getitem__
-        self.ids.extend(b"".join(map(get, cut[w])) if w in cut else get(w) for w in words)
+        known.update(zip(other, self._ids(other)))
 
     def _ids(self, texts: list[bytes]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
