@@ -177,6 +177,80 @@ def test_isotonic():
     assert fitted[0] < 0.3 and fitted[7] > 0.7 and len(set(fitted[2:5])) == 1
 
 
+def test_isotonic_is_the_minimax_fit():
+    rng = np.random.default_rng(1)
+    for _ in range(30):
+        rows = int(rng.integers(1, 40))
+        x, y = rng.integers(0, 25, rows) * 1.0, rng.integers(0, 2, rows) * 1.0
+        w = rng.choice([1.0, 7.5], rows)
+        points = np.unique(x)  # rows with equal x count together
+        n = len(points)
+        a, b = (np.array([v[x == p].sum() for p in points]) for v in (y * w, w))
+
+        def mean(i, j):
+            return a[i:j + 1].sum() / b[i:j + 1].sum()
+
+        best = np.array([max(min(mean(i, j) for j in range(k, n)) for i in range(k + 1)) for k in range(n)])
+        blocks = [np.isclose(best, value) for value in best]
+        want = np.maximum.accumulate([(a[m].sum() + 0.5) / (b[m].sum() + 1) for m in blocks])
+        knots, values = toxicity.isotonic(x, y, w)
+        assert np.allclose(np.interp(points, knots, values), want)
+
+
+def test_splits_are_the_best_of_all(monkeypatch):
+    """One tree against a search of every split of every node."""
+    monkeypatch.setattr(toxicity, "TREES", 1)
+    monkeypatch.setattr(toxicity, "DEPTH", 2)
+    rng = np.random.default_rng(2)
+    for _ in range(10):
+        x, y = rng.integers(0, 6, (60, 3)) * 1.0, rng.integers(0, 2, 60) * 1.0
+        model = toxicity.boost(x, y)
+        p = np.full(60, y.mean())
+        g, h = y - p, p * (1 - p)
+
+        def worth(rows):
+            return g[rows].sum() ** 2 / (h[rows].sum() + 1)
+
+        parts = [np.ones(60, bool)]
+        for level in range(2):
+            halves = []
+            for k, rows in enumerate(parts):
+                node = 2**level - 1 + k
+                low = model.bins(x)[:, model.feature[0, node]] <= model.bound[0, node]
+                every = [worth(rows & (x[:, f] <= t)) + worth(rows & (x[:, f] > t))
+                         for f in range(3) for t in range(6)]
+                assert np.isclose(worth(rows & low) + worth(rows & ~low), max(every))
+                halves += [rows & low, rows & ~low]
+            parts = halves
+        for k, rows in enumerate(parts):
+            leaf = toxicity.RATE * g[rows].sum() / (h[rows].sum() + 1)
+            assert np.allclose(model.margin(x)[rows], np.log(y.mean() / (1 - y.mean())) + leaf), k
+
+
+def test_rare_labels_are_all_drawn(spark):
+    known = spark.range(30_000).selectExpr("id AS label_id", "int(id % 600 = 0) AS y")
+    some, weight = toxicity.drawn(known, 1000)
+    n = {r.y: r["count"] for r in some.groupBy("y").count().collect()}
+    assert n[1] == 50 and 850 < n[0] < 1050
+    assert weight == {0: 29_950 / 950, 1: 1.0}
+    few, weight = toxicity.drawn(known.where("label_id < 900"), 1000)
+    assert few.count() == 900 and weight == {0: 1.0, 1: 1.0}
+    none, weight = toxicity.drawn(known.limit(0), 1000)
+    assert none.count() == 0 and weight == {0: 1.0, 1: 1.0}
+
+
+def test_scores_keep_to_the_share_of_rare_labels(spark, monkeypatch):
+    """Half of the texts with the stem are toxic and the draw leaves most clean texts out."""
+    monkeypatch.setattr(toxicity, "TRAIN_DOCS", 800)
+    texts = spark.range(8000).selectExpr(
+        "id AS doc_id", "concat('text ', id, IF(id % 40 < 2, ' vilest', ' mild')) AS text")
+    labels = spark.range(8000).selectExpr("id AS doc_id", "int(id % 40 = 0) AS toxic")
+    model = toxicity.fit(texts, labels, F.lit(True))
+    scores = toxicity.score(texts.where("doc_id < 400"), model).collect()
+    bad = np.mean([r.toxicity for r in scores if r.doc_id % 40 < 2])
+    assert 0.35 < bad < 0.7 and max(r.toxicity for r in scores if r.doc_id % 40 >= 2) < 0.05
+
+
 def test_boosting_learns_an_interaction():
     rng = np.random.default_rng(0)
     x = rng.random((2000, 3))

@@ -49,15 +49,6 @@ def crc_mod(column: str, n: int) -> Column:
     return F.crc32(F.col(column).cast("string")) % n
 
 
-def sampled(df: DataFrame, rows: int, *keys: str) -> DataFrame:
-    """About ``rows`` rows, or all if there are fewer, chosen by a hash of ``keys``: the same rows
-    on every run. For fitting a model only."""
-    total = df.count()
-    if total <= rows:
-        return df
-    return df.where(F.pmod(F.xxhash64(*keys), F.lit(1 << 30)) < int(rows / total * (1 << 30)))
-
-
 def slices(batches: Iterable[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
     """Arrow batches in small pieces, so that a task holds few texts as Python objects at once."""
     for batch in batches:

@@ -5,7 +5,7 @@ DataFrame functions only. Words are runs of letters and digits in lower case, an
 windows of a class are twice as long and start every class size, so that a notice lies whole in
 one of them. At a containment of 0.8 a window and its template then have a Jaccard similarity of
 at least about 0.17, so that with ``BANDS`` bands of one row they share a band with a probability of
-at least 0.999 (0.9999 for verbatim notices).
+at least 0.999. A verbatim notice of one shingle, which is one of six of its window, has no more.
 
 A window has a template's value in a band only if it holds the shingle that gives the template this
 value. Windows are therefore built only around such shingles, which leaves out none that would

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trilode.llm.common import sampled, slices, stored
+from trilode.llm.common import slices, stored
 
 # Bounds of what is learned from; every text is scored.
 TRAIN_DOCS = 12_000
@@ -188,15 +188,18 @@ def boost(x: np.ndarray, y: np.ndarray) -> Trees:
     return model
 
 
-def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def isotonic(x: np.ndarray, y: np.ndarray,
+             weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Pool adjacent violators: knots and values of the best non-decreasing fit of ``y`` on ``x``.
 
-    Each block counts half a row of either answer besides its own, so no value is 0 or 1.
+    ``weight`` says for how many rows each one stands. Each block counts half a row of either answer
+    besides its own, so no value is 0 or 1.
     """
     blocks: list[list[float]] = []  # least x, greatest x, sum of y, rows
-    order = np.lexsort((y, x))
-    for a, b in zip(x[order], y[order]):
-        blocks.append([a, a, b, 1.0])
+    order = np.lexsort((-y, x))  # rows with equal x are violators in this order and get one value
+    weight = np.ones(len(x)) if weight is None else weight
+    for a, b, w in zip(x[order], y[order], weight[order]):
+        blocks.append([a, a, w * b, w])
         while len(blocks) > 1 and (blocks[-2][2] * blocks[-1][3] >= blocks[-1][2] * blocks[-2][3]):
             low, high, s, n = blocks.pop()
             blocks[-1][1] = high
@@ -227,15 +230,32 @@ def _lexicon(rows: Iterable[tuple[str, int, int]], toxic: int, clean: int) -> di
     return dict(sorted(odds.items(), key=lambda x: (-x[1], x[0]))[:LEXICON])
 
 
+def drawn(known: DataFrame, rows: int) -> tuple[DataFrame, dict[int, float]]:
+    """About ``rows`` of ``known(label_id, y)``, up to half of them of each label and more where the
+    other has fewer, chosen by a hash of the id; and for how many rows one of each label stands.
+
+    A rare label is thus learned from all its rows as long as they fit.
+    """
+    toxic = F.col("y") > 0
+    total = known.agg(*[F.count(F.when(toxic == bool(y), 1)).alias(f"n{y}") for y in (0, 1)]).first()
+    want = [min(total[y], max(rows // 2, rows - total[1 - y])) for y in (0, 1)]
+    weight = {y: total[y] / want[y] if want[y] else 1.0 for y in (0, 1)}
+    below = F.when(toxic, F.lit(int((1 << 30) / weight[1]))).otherwise(
+        F.lit(int((1 << 30) / weight[0])))
+    return known.where(F.pmod(F.xxhash64("label_id"), F.lit(1 << 30)) < below), weight
+
+
 def fit(docs: DataFrame, labels: DataFrame, learn_from: Column, id_col: str = "doc_id",
         text_col: str = "text", label_col: str = "toxic") -> Model | None:
     """Fit on about ``TRAIN_DOCS`` labelled rows where ``learn_from`` holds; None if there are none.
 
-    Copies of a text count once, so that a text repeated many times lends its words no weight.
+    Rows are drawn by label, and the calibration weighs them by what they stand for, so scores keep
+    to the share of toxic texts among all labelled rows. Copies of a text count once, so that a text repeated many times lends its words no weight.
     """
     known = labels.where(learn_from & F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
-    chosen = sampled(known.select(F.col(id_col).alias("label_id"), F.col(label_col).alias("y")),
-                     TRAIN_DOCS, "label_id").distinct().limit(2 * TRAIN_DOCS)
+    some, weight = drawn(
+        known.select(F.col(id_col).alias("label_id"), F.col(label_col).alias("y")), TRAIN_DOCS)
+    chosen = some.distinct().limit(2 * TRAIN_DOCS)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     # At most 2 * TRAIN_DOCS ids and labels of 16 bytes: small by the bound of the sample.
     sample = stored(texts.join(F.broadcast(chosen), F.col("id") == F.col("label_id")).select(
@@ -298,7 +318,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn_from: Column, id_col: str = "d
     for h in (0, 1):
         other = half != h if (half != h).any() else half == h
         margin[half == h] = boost(x[other], y[other]).margin(x[half == h])
-    return Model(whole, boost(x, y), *isotonic(margin, y))
+    return Model(whole, boost(x, y), *isotonic(margin, y, np.where(y > 0, weight[1], weight[0])))
 
 
 def score(docs: DataFrame, model: Model | None, text_col: str = "text",
