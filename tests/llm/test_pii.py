@@ -227,3 +227,9 @@ def test_redact_keeps_columns_of_any_name(spark, weights):
     df = spark.createDataFrame([("a@b.example", "x", "y", 3)],
                                "text string, pii_spans string, __spans string, PII_SPANS_ int")
     assert [tuple(r) for r in pii.redact(df, weights=weights).collect()] == [("[EMAIL]", "x", "y", 3)]
+
+
+def test_redact_takes_one_python_worker_per_task(spark, weights):
+    df = spark.createDataFrame([("a@b.example",)], "text string")
+    plan = pii.redact(df, weights=weights)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1

@@ -106,6 +106,33 @@ def test_keep_one(odd, none):
     assert simhash.keep_one(none).count() == 0
 
 
+def test_keep_one_shuffles_whole_rows_once(spark):
+    rows = [(None, "a b c d", "x"), (None, "a b c d", "x"), (1, "a b c d", "y"),
+            (2, "quite another text here", "z"), (2, "quite another text here", "z"), (3, None, "n")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = simhash.keep_one(docs)
+        plan = kept._jdf.queryExecution().executedPlan()
+        assert {tuple(r) for r in kept.collect()} == {rows[2], rows[3], rows[5]}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    whole, todo = 0, [plan]
+    while todo:
+        node = todo.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            todo.append(node.initialPlan())
+            continue
+        wide = any(node.output().apply(i).name() in ("text", "first")
+                   for i in range(node.output().size()))
+        whole += kind == "ShuffleExchangeExec" and wide
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    assert whole == 1
+
+
+
 @pytest.mark.parametrize("edges,want", [
     ([], {}),
     ([(1, 1), (None, 2)], {}),

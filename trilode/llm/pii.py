@@ -520,34 +520,36 @@ def find(docs: DataFrame, text_col: str = "text", spans_col: str = "pii_spans",
     return rest.mapInArrow(add, f"{columns}, `{spans_col}` {SPANS}")
 
 
-def redact(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:
+def redact(docs: DataFrame, text_col: str = "text",
+           weights: np.ndarray | None = None) -> DataFrame:
     """``docs`` with every span replaced by its kind, as in ``[EMAIL]``; overlapping spans become
-    one mark, named by the first. Null texts stay null; ``n_chars``, if there, is counted again."""
-    spans_col = free_name(docs, "pii_spans")
-    spanned = find(docs, text_col, spans_col, **options)
+    one mark, named by the first. Null texts stay null; ``n_chars``, if there, is counted again.
+
+    Spans are those of ``find``. They are found and replaced in one pass, so that a task needs one
+    Python worker: executors keep idle workers, with all they have loaded, for later stages.
+    """
+    if weights is None:
+        weights = fit(docs, text_col)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             at = batch.schema.get_field_index(text_col)
-            texts = [None if t.as_py() is None else _marked(t.as_py(), s.as_py())
-                     for t, s in zip(batch.column(at), batch[spans_col])]
-            columns = [pa.array(texts, pa.string()) if i == at else c
-                       for i, c in enumerate(batch.columns) if batch.schema.names[i] != spans_col]
-            yield pa.RecordBatch.from_arrays(
-                columns, names=[n for n in batch.schema.names if n != spans_col])
+            texts = [_marked(t, all_spans(t, weights)) if t else t
+                     for t in (x.as_py() for x in batch.column(at))]
+            yield batch.set_column(at, batch.schema.names[at], pa.array(texts, pa.string()))
 
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    out = spanned.mapInArrow(cut, columns)
+    out = docs.mapInArrow(cut, columns)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         out = out.withColumn("n_chars", F.length(text_col).cast(kind)).select(*docs.columns)
     return out
 
 
-def _marked(text: str, spans: list[dict]) -> str:
+def _marked(text: str, spans: list[Span]) -> str:
     parts, done = [], 0
     for s in spans:
-        if s["start"] >= done:
-            parts += [text[done:s["start"]], f"[{s['kind'].upper()}]"]
-        done = max(done, s["end"])
+        if s.start >= done:
+            parts += [text[done:s.start], f"[{s.kind.upper()}]"]
+        done = max(done, s.end)
     return "".join([*parts, text[done:]]) if parts else text

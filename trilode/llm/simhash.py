@@ -249,15 +249,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              **options) -> DataFrame:
-    """One row of each near-duplicate group with all its columns: the one with the least id."""
-    text_hash, best_id, best_hash = (
-        free_name(docs, n) for n in ("text_hash", "best_id", "best_hash"))
+    """One row of each near-duplicate group with all its columns: the one with the least id.
+
+    Whole rows are shuffled once: repeated rows go first, within each task and then by the key of
+    the join. The id is in a struct there, since a null one has to meet a null one.
+    """
+    key, text_hash, best_key, best_hash = (
+        free_name(docs, n) for n in ("id_key", "text_hash", "best_key", "best_hash"))
     best = near_duplicates(docs, id_col, text_col, **options).select(
-        F.col("component_id").alias(best_id), F.col("component_text_hash").alias(best_hash),
+        F.struct(F.col("component_id").alias("id")).alias(best_key),
+        F.col("component_text_hash").alias(best_hash),
     ).distinct()
-    keyed = docs.withColumn(text_hash, F.xxhash64(text_col))
-    same = F.col(id_col).eqNullSafe(F.col(best_id)) & (F.col(text_hash) == F.col(best_hash))
-    return keyed.join(best, same, "left_semi").dropDuplicates([id_col, text_hash]).drop(text_hash)
+    keyed = docs.withColumns({
+        key: F.struct(F.col(id_col).alias("id")), text_hash: F.xxhash64(text_col)})
+    same = (F.col(key) == F.col(best_key)) & (F.col(text_hash) == F.col(best_hash))
+    return keyed.dropDuplicates([key, text_hash]).join(best, same, "left_semi").drop(key, text_hash)
 
 
 def hex_digits(fp: str = "fp"):
